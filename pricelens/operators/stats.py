@@ -60,19 +60,20 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
               .withColumn("_before", F.coalesce(F.sum("_cnt").over(
                   wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_n", F.sum("_cnt").over(wg)))
-    h = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
-    wanted = F.array(*[
-        F.struct(F.lit(float(p)).alias("prob"), F.lit(kind).alias("kind"),
-                 (F.floor(hh) if kind == "lo" else F.ceil(hh)).cast("long").alias("rank"),
-                 (hh - F.floor(hh)).alias("frac"))
-        for p, hh in zip(probs, h) for kind in ("lo", "hi")])
-    needed = (slices.select("_pid", *gcols, "_first", "_before", "_cnt",
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(kind).alias("kind"))
+                       for p in probs for kind in ("lo", "hi")])
+    hh = (F.col("_n") - 1).cast("double") * F.col("prob")
+    needed = (slices.select("_pid", *gcols, "_first", "_before", "_cnt", "_n",
                             F.explode(wanted).alias("w"))
-              .where((F.col("w.rank") >= F.col("_before"))
-                     & (F.col("w.rank") < F.col("_before") + F.col("_cnt")))
+              .select("_pid", *gcols, "_first", "_before", "_cnt", "w.prob", "w.kind",
+                      F.when(F.col("w.kind") == "lo", F.floor(hh)).otherwise(F.ceil(hh))
+                      .cast("long").alias("rank"),
+                      (hh - F.floor(hh)).alias("frac"))
+              .where((F.col("rank") >= F.col("_before"))
+                     & (F.col("rank") < F.col("_before") + F.col("_cnt")))
               .select("_pid", *[F.col(c).alias("_k_" + c) for c in gcols],
-                      (F.col("w.rank") - F.col("_before") + F.col("_first")).alias("_want"),
-                      "w.prob", "w.kind", "w.frac"))
+                      (F.col("rank") - F.col("_before") + F.col("_first")).alias("_want"),
+                      "prob", "kind", "frac"))
     cond = (s["_pid"] == needed["_pid"]) & (s["_pos"] == needed["_want"])
     for c in gcols:
         cond = cond & s[c].eqNullSafe(needed["_k_" + c])
@@ -101,9 +102,10 @@ def quantiles_wide(df: DataFrame, value: str | Column, named: Mapping[str, float
 
 def _join_by(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     if not by:
-        # both sides are single-row aggregates; a keyed join keeps this out of a cross join
-        return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)),
-                                                      "_one").drop("_one")
+        # both sides are single-row aggregates with disjoint columns: stack and fold
+        cols = left.columns + [c for c in right.columns if c not in left.columns]
+        return left.unionByName(right, allowMissingColumns=True).agg(
+            *[F.max(c).alias(c) for c in cols])
     r = right
     for c in by:
         r = r.withColumnRenamed(c, "_r_" + c)

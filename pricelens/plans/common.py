@@ -114,3 +114,109 @@ def sql_with(body: str, upto: str, *fixtures: str, extra: tuple = ()) -> str:
     names = [n for n, _ in CHAIN]
     chain = CHAIN[: names.index(upto) + 1] if upto else []
     return fx.with_ctes(body, *fixtures, extra=tuple(chain) + tuple(extra))
+
+
+# ---------------------------------------------------------------- study / geo / scored
+
+STUDY_LO, STUDY_HI = 20.0, 10000.0  # open range on both study prices
+EXCLUDED_SITE = "nation_0"
+SITE_IDS = [f"nation_{k}" for k in range(25)]  # the 25 nation rows, lower-cased
+NEAR_KM, FAR_KM = 1.0, 0.5
+
+
+def study(spark: SparkSession, d: str) -> DataFrame:
+    """Two prices per item inside the open study range, with differences."""
+    ts = clean.open_range(fx.two_source(spark, d), ["price_local", "price_global"],
+                          STUDY_LO, STUDY_HI)
+    return ts.withColumn("price_diff", F.col("price_global") - F.col("price_local"))
+
+
+def study_series() -> dict:
+    """The six series of the price study: both prices, their difference, and the same on
+    the log10(x + 1) scale."""
+    return {
+        "price_local": F.col("price_local"),
+        "price_global": F.col("price_global"),
+        "price_diff": F.col("price_diff"),
+        "log_local": F.log10(F.col("price_local") + 1),
+        "log_global": F.log10(F.col("price_global") + 1),
+        "log_diff": F.log10(F.col("price_global") + 1) - F.log10(F.col("price_local") + 1),
+    }
+
+SQL_STUDY_SERIES = {
+    "price_local": "price_local",
+    "price_global": "price_global",
+    "price_diff": "price_diff",
+    "log_local": "log10(price_local + 1)",
+    "log_global": "log10(price_global + 1)",
+    "log_diff": "log10(price_global + 1) - log10(price_local + 1)",
+}
+
+SQL_STUDY = f"""
+    SELECT *, price_global - price_local AS price_diff FROM two_source
+    WHERE price_local > {STUDY_LO}::DOUBLE AND price_local < {STUDY_HI}::DOUBLE
+      AND price_global > {STUDY_LO}::DOUBLE AND price_global < {STUDY_HI}::DOUBLE"""
+
+
+def site_cols() -> list[str]:
+    from ..operators.geo import site_column
+    return sorted(site_column(s) for s in SITE_IDS if s != EXCLUDED_SITE)
+
+
+def geo_features(spark: SparkSession, d: str) -> DataFrame:
+    """Points + one distance column per site + nearest station distance (G1)."""
+    from ..operators import geo
+    pts = fx.points(spark, d)
+    with_sites = geo.site_distances(pts, fx.sites(spark, d), exclude=[EXCLUDED_SITE])
+    near = geo.nearest_neighbour(pts, fx.stations(spark, d), s_keep=["station_name"],
+                                 out_dist="dist_nearest_metro")
+    return with_sites.join(near.select("id", "station_id", "station_name",
+                                       "dist_nearest_metro"), "id", "left")
+
+
+def flagged(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators import geo
+    return geo.near_flags(geo_features(spark, d), site_cols(), "dist_nearest_metro",
+                          NEAR_KM, FAR_KM)
+
+
+def sql_haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    a = (f"pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * "
+         f"cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)")
+    return f"(6371.0 * 2.0 * atan2(sqrt({a}), sqrt(1.0 - ({a}))))"
+
+
+def _sql_geo_features() -> str:
+    cols = ",\n".join(
+        f"max(CASE WHEN s.site_id = '{s}' THEN {sql_haversine('p.lat', 'p.lon', 's.lat', 's.lon')}"
+        f" END) AS dist_{s}" for s in SITE_IDS if s != EXCLUDED_SITE)
+    return f"""
+    SELECT sd.*, nn.station_id, nn.station_name, nn.dist_nearest_metro FROM (
+      SELECT p.id, any_value(p.grp) AS grp, any_value(p.lat) AS lat, any_value(p.lon) AS lon,
+             any_value(p.log_price) AS log_price, {cols}
+      FROM points p, sites s GROUP BY p.id) sd
+    LEFT JOIN (
+      SELECT id, station_id, station_name, dist_nearest_metro FROM (
+        SELECT p.id, s.station_id, s.station_name,
+               {sql_haversine('p.lat', 'p.lon', 's.lat', 's.lon')} AS dist_nearest_metro,
+               row_number() OVER (PARTITION BY p.id ORDER BY
+                 {sql_haversine('p.lat', 'p.lon', 's.lat', 's.lon')}, s.station_id) AS rn
+        FROM points p, stations s) WHERE rn = 1) nn ON sd.id = nn.id"""
+
+
+def _sql_flagged() -> str:
+    cols = [f"dist_{s}" for s in SITE_IDS if s != EXCLUDED_SITE]
+    least = "least(" + ", ".join(cols) + ")"
+    count = " + ".join(f"coalesce(CAST({c} < {NEAR_KM}::DOUBLE AS INTEGER), 0)" for c in cols)
+    return f"""
+    SELECT *, coalesce(CAST({least} < {NEAR_KM}::DOUBLE AS INTEGER), 0) AS near_site,
+           {count} AS sites_nearby,
+           coalesce(CAST(dist_nearest_metro > {FAR_KM}::DOUBLE AS INTEGER), 0) AS far_from_metro
+    FROM geo_features"""
+
+
+GEO_CTES = (("geo_features", _sql_geo_features()), ("flagged", _sql_flagged()))
+
+
+def geo_sql(body: str) -> str:
+    return fx.with_ctes(body, "points", "stations", "sites", extra=GEO_CTES)

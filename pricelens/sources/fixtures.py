@@ -178,4 +178,6 @@ SQL = {
 def with_ctes(sql_body: str, *names: str, extra: tuple = ()) -> str:
     """Prefix a query with the named fixture CTEs, then ``extra`` (name, sql) CTEs."""
     parts = [f"{n} AS ({SQL[n]})" for n in names] + [f"{n} AS ({q})" for n, q in extra]
+    if sql_body.lstrip().upper().startswith("WITH"):
+        sql_body = f"SELECT * FROM ({sql_body})"
     return "WITH " + ",\n".join(parts) + "\n" + sql_body
