@@ -32,8 +32,8 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     """Exact linearly-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
 
     Returns long form: ``by..., prob, quantile``. Null and NaN values are ignored.
-    Cost: one range shuffle of (group, value) plus two small aggregates; the shuffle is
-    planned once and reused by both consumers (ReuseExchange).
+    Cost: one range shuffle of (group, value), one checkpoint write of the sorted
+    (group, value) pairs, and two small aggregates.
     """
     spark = df.sparkSession
     by = list(by)
@@ -53,6 +53,11 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
           .select(*gcols, "_v",
                   F.shiftright("_mid", _POS_BITS).alias("_pid"),
                   (F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))).alias("_pos")))
+    # Positions depend on the physical layout (range bounds come from a sample, AQE may
+    # coalesce reads), so freeze them once in the shared checkpoint folder: both
+    # consumers below then see identical (_pid, _pos) and a lost executor re-reads the
+    # files instead of recomputing a different layout.
+    s = s.checkpoint(eager=True)
     slices = s.groupBy("_pid", *gcols).agg(F.min("_pos").alias("_first"),
                                           F.count(F.lit(1)).alias("_cnt"))
     wg = Window.partitionBy(*gcols)

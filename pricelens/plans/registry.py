@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["ingest", "study"]
+_MODULES = ["ingest", "study", "geofeat"]
 
 
 def _load():
