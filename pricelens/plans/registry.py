@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["ingest", "study", "geofeat"]
+_MODULES = ["ingest", "study", "geofeat", "prep"]
 
 
 def _load():

@@ -125,14 +125,107 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amenity_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, amenities (JSON array text of the words of the part name and type)."""
+    """id, amenities: JSON array text = a run of the shared amenity names chosen by the
+    part size (start p_size % 19, length p_size % 7 + 1) followed by the part-name words."""
+    from ..operators.features import SHARED_AMENITIES
     p = table(spark, sf_dir, "part")
-    words = F.concat(F.split(F.col("p_name"), " "), F.array(F.initcap(F.col("p_type"))))
+    vocab = F.array(*[F.lit(a) for a in SHARED_AMENITIES])
+    run = F.slice(vocab, F.pmod(F.col("p_size"), F.lit(19)) + 1, F.pmod(F.col("p_size"), F.lit(7)) + 1)
+    words = F.concat(run, F.split(F.col("p_name"), " "))
     return p.select(F.col("p_partkey").alias("id"), F.to_json(words).alias("amenities"))
 
 
+def local_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing feature table (gold v4 contract) with one row per customer with orders.
+
+    Order history stands in for listing attributes (fixed rules, see SQL twin)."""
+    o = table(spark, sf_dir, "orders")
+    agg = o.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("nf"),
+        F.count_if(F.col("o_orderstatus") == "O").alias("no"),
+        F.count_if(F.col("o_orderstatus") == "P").alias("np"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("nu"),
+        F.avg("o_totalprice").alias("avg_tp"), F.max("o_totalprice").alias("max_tp"),
+        F.min("o_totalprice").alias("min_tp"),
+        F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")  # fixed 25-row dimension
+    j = agg.join(c, agg.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return j.select(
+        F.col("c_custkey").alias("id"),
+        F.log1p(F.abs(F.col("c_acctbal"))).alias("log_price"),
+        _lat("c_custkey", 37, 1000).alias("latitude"),
+        _lon("c_custkey", 91, 1000).alias("longitude"),
+        F.col("n").alias("accommodates"),
+        F.col("nf").alias("beds"),
+        F.col("no").alias("bedrooms"),
+        (F.col("np") * F.lit(0.5)).alias("bathrooms"),
+        F.col("n").alias("number_of_reviews"),
+        (F.col("n") / F.lit(12.0)).alias("reviews_per_month"),
+        F.pmod(F.datediff(F.col("last"), F.col("first")), F.lit(366)).alias("availability_365"),
+        (F.col("nf") % 7 + 3).alias("amenities_count"),
+        (F.col("np") > 0).cast("int").alias("has_dishwasher"),
+        (F.col("no") > 2).cast("int").alias("has_washer"),
+        F.when(F.col("nu") >= 2, F.lit("t")).otherwise(F.lit("f")).alias("host_is_superhost"),
+        F.year(F.col("first")).alias("host_since"),
+        (F.col("avg_tp") / F.lit(100000.0)).alias("review_scores_rating"),
+        (F.col("max_tp") / F.lit(100000.0)).alias("review_scores_accuracy"),
+        (F.col("min_tp") / F.lit(100000.0)).alias("review_scores_cleanliness"),
+        (F.col("avg_tp") / F.lit(50000.0)).alias("review_scores_checkin"),
+        (F.col("nf") / F.col("n")).alias("review_scores_communication"),
+        (F.col("no") / F.col("n")).alias("review_scores_location"),
+        (F.col("np") / F.col("n")).alias("review_scores_value"),
+        F.col("n_name").alias("neighbourhood_cleansed"),
+        F.col("c_mktsegment").alias("listing_type"),
+        F.when(F.col("np") > 3, F.lit("within an hour")).when(F.col("np") > 1, F.lit("within a day"))
+        .alias("host_response_time"),
+    )
+
+
+def _amenity_sql_list() -> str:
+    from ..operators.features import SHARED_AMENITIES
+    return "[" + ", ".join("'" + a + "'" for a in SHARED_AMENITIES) + "]"
+
+
+_AMENITY_LIST = _amenity_sql_list()
+
 # DuckDB twins, as CTE bodies over the pre-registered views.
 SQL = {
+    "amenity_text": f"""
+        SELECT p_partkey AS id,
+               to_json(list_concat(list_slice({_AMENITY_LIST}, p_size % 19 + 1,
+                                              p_size % 19 + p_size % 7 + 1),
+                                   string_split(p_name, ' '))) AS amenities
+        FROM part""",
+    "local_gold": """
+        SELECT c_custkey AS id, ln(1 + abs(c_acctbal)) AS log_price,
+               48.80::DOUBLE + ((c_custkey * 37) % 1000) * 0.0001::DOUBLE AS latitude,
+               2.25::DOUBLE + ((c_custkey * 91) % 1000) * 0.0002::DOUBLE AS longitude,
+               n AS accommodates, nf AS beds, no AS bedrooms, np * 0.5::DOUBLE AS bathrooms,
+               n AS number_of_reviews, n / 12.0::DOUBLE AS reviews_per_month,
+               CAST(date_diff('day', CAST(first AS DATE), CAST(last AS DATE)) % 366 AS INTEGER)
+                 AS availability_365,
+               nf % 7 + 3 AS amenities_count,
+               CAST(np > 0 AS INTEGER) AS has_dishwasher, CAST(no > 2 AS INTEGER) AS has_washer,
+               CASE WHEN nu >= 2 THEN 't' ELSE 'f' END AS host_is_superhost,
+               CAST(year(first) AS INTEGER) AS host_since,
+               avg_tp / 100000.0::DOUBLE AS review_scores_rating,
+               max_tp / 100000.0::DOUBLE AS review_scores_accuracy,
+               min_tp / 100000.0::DOUBLE AS review_scores_cleanliness,
+               avg_tp / 50000.0::DOUBLE AS review_scores_checkin,
+               nf / n AS review_scores_communication, no / n AS review_scores_location,
+               np / n AS review_scores_value,
+               n_name AS neighbourhood_cleansed, c_mktsegment AS listing_type,
+               CASE WHEN np > 3 THEN 'within an hour' WHEN np > 1 THEN 'within a day' END
+                 AS host_response_time
+        FROM (SELECT o_custkey, count(*) AS n, count_if(o_orderstatus = 'F') AS nf,
+                     count_if(o_orderstatus = 'O') AS no, count_if(o_orderstatus = 'P') AS np,
+                     count_if(o_orderpriority = '1-URGENT') AS nu, avg(o_totalprice) AS avg_tp,
+                     max(o_totalprice) AS max_tp, min(o_totalprice) AS min_tp,
+                     min(o_orderdate) AS first, max(o_orderdate) AS last
+              FROM orders GROUP BY o_custkey) a
+        JOIN customer ON a.o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "local_raw": """
         SELECT o_custkey AS id, o_orderkey AS row_key,
                48.80::DOUBLE + ((o_custkey * 37) % 1000) * 0.0001::DOUBLE AS latitude,
