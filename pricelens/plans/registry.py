@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["ingest", "study", "geofeat", "prep"]
+_MODULES = ["ingest", "study", "geofeat", "prep", "models", "curveplan"]
 
 
 def _load():
