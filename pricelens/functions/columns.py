@@ -103,6 +103,13 @@ def flag_above(x, threshold: float) -> Column:
     return F.coalesce((_c(x) > F.lit(threshold)).cast("int"), F.lit(0))
 
 
+def safe_corr(x, y) -> Column:
+    """Pearson correlation as an aggregate that returns null (instead of failing under
+    ANSI mode) when either side has zero variance."""
+    x, y = _c(x), _c(y)
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def clamp_at_zero(x) -> Column:
     return F.greatest(_c(x), F.lit(0.0))
 

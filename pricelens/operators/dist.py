@@ -64,14 +64,14 @@ def kde_1d(df: DataFrame, series: Mapping[str, str | Column], points: int = 100)
     g = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
     x = lf.join(st, "series").select("series", "value", "_lo", "_hi", "_h", "_n", g)
     gx = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("i") / F.lit(float(points - 1))
-    z = (gx - F.col("value")) / F.col("_h")
+    z = F.try_divide(gx - F.col("value"), F.col("_h"))
     contrib = F.exp(F.lit(-0.5) * z * z)
     s = x.groupBy("series", "i").agg(F.sum(contrib).alias("_s"))
     return (s.join(st, "series")
             .select("series", "i",
                     (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("i")
                      / F.lit(float(points - 1))).alias("x"),
-                    (F.col("_s") / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))))
+                    F.try_divide(F.col("_s"), F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))
                     .alias("density")))
 
 

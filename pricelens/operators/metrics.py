@@ -27,8 +27,8 @@ def log_model_metrics(df: DataFrame, label: str = "log_price", pred: str = "pred
             F.avg(err).alias("mae"),
             (F.avg(F.when(F.col("_y") != 0, err / F.abs(F.col("_y")))) * 100).alias("mape_pct"),
             F.sqrt(F.avg(F.pow(F.col("_y") - F.col("_p"), 2))).alias("rmse"),
-            (F.lit(1.0) - F.sum(F.pow(F.col("_ly") - F.col("_lp"), 2))
-             / (F.count(F.lit(1)) * F.var_pop("_ly"))).alias("r2_log")]
+            (F.lit(1.0) - F.try_divide(F.sum(F.pow(F.col("_ly") - F.col("_lp"), 2)),
+                                       F.count(F.lit(1)) * F.var_pop("_ly"))).alias("r2_log")]
     if not exact_median:
         aggs.append(F.percentile_approx(err, 0.5, 10000).alias("medae"))
     m = base.groupBy(*by).agg(*aggs) if by else base.agg(*aggs)
@@ -50,7 +50,8 @@ def dollar_metrics(df: DataFrame, label: str = "log_price", pred: str = "predict
     aggs = [F.count(F.lit(1)).alias("n"),
             F.sqrt(F.avg(d * d)).alias("dollar_rmse"),
             F.avg(F.abs(d)).alias("dollar_mae"),
-            (F.lit(1.0) - F.sum(d * d) / (F.count(F.lit(1)) * F.var_pop("_y"))).alias("dollar_r2"),
+            (F.lit(1.0) - F.try_divide(F.sum(d * d), F.count(F.lit(1)) * F.var_pop("_y")))
+            .alias("dollar_r2"),
             F.avg(F.when(F.col("_y") > 0, F.abs(d) / F.col("_y"))).alias("dollar_mape")]
     return base.groupBy(*by).agg(*aggs) if by else base.agg(*aggs)
 

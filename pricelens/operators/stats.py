@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import nan_to_null
+from ..functions.columns import nan_to_null, safe_corr
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
@@ -159,8 +159,9 @@ def moment_table(df: DataFrame, series: Mapping[str, str | Column]) -> DataFrame
         F.kurtosis("value").alias("_g2"))
     n = F.col("count").cast("double")
     m = m.select("series", "count", "mean", "std", "min", "max",
-                 (F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2)).alias("skew"),
-                 ((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6)).alias("kurtosis"))
+                 F.try_divide(F.col("_g1") * F.sqrt(n * (n - 1)), n - 2).alias("skew"),
+                 (F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6))
+                 .alias("kurtosis"))
     q = quantiles_wide(lf, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["series"])
     return _join_by(m, q, ["series"]).select(
         "series", "count", "mean", "median", "std", "min", "q1", "q3", "max", "skew", "kurtosis")
@@ -183,8 +184,8 @@ def sign_counts(df: DataFrame, diff: str) -> DataFrame:
 
 def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     """Pearson r on the raw and on the log10(x+1) scale, and which is stronger."""
-    r_lin = F.corr(F.col(a), F.col(b))
-    r_log = F.corr(F.log10(F.col(a) + 1), F.log10(F.col(b) + 1))
+    r_lin = safe_corr(F.col(a), F.col(b))
+    r_log = safe_corr(F.log10(F.col(a) + 1), F.log10(F.col(b) + 1))
     return (df.agg(r_lin.alias("r_linear"), r_log.alias("r_log"))
             .withColumn("stronger", F.when(F.abs("r_log") > F.abs("r_linear"), "log")
                         .otherwise("linear")))
@@ -192,7 +193,7 @@ def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """(feature, corr) for many columns in one aggregate pass, unpivoted."""
-    row = df.agg(*[F.corr(F.col(c), F.col(target)).alias(c) for c in cols])
+    row = df.agg(*[safe_corr(F.col(c), F.col(target)).alias(c) for c in cols])
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in cols])
     return row.select(F.explode(arr).alias("_c")).select("_c.feature", "_c.corr")
 
@@ -231,7 +232,7 @@ def trend_line(df: DataFrame, x: str, y: str, points: int = 100) -> DataFrame:
     from min(x) to max(x)."""
     fit = df.agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"),
                  F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
-                 F.corr(F.col(x), F.col(y)).alias("r"), F.min(x).alias("_lo"),
+                 safe_corr(F.col(x), F.col(y)).alias("r"), F.min(x).alias("_lo"),
                  F.max(x).alias("_hi"))
     steps = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
     g = fit.select("slope", "intercept", "r", "_lo", "_hi", steps)

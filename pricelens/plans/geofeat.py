@@ -157,8 +157,9 @@ _ALL_DIST = _DIST_COLS + ["dist_nearest_metro"]
 
 
 def _corr_rows(cols, src="geo_features", target="log_price") -> str:
-    return " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, {target}) AS corr FROM {src}"
-                              for c in cols)
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CASE WHEN stddev_samp({c}) * stddev_samp({target}) > 0 "
+        f"THEN corr({c}, {target}) END AS corr FROM {src}" for c in cols)
 
 
 def _hav(a, b) -> str:

@@ -41,7 +41,7 @@ def study_verdict(spark: SparkSession, d: str) -> DataFrame:
         (F.avg((F.col("price_diff") > 0).cast("double")) * 100).alias("pct_global_higher"),
         (F.avg((F.col("price_diff") < 0).cast("double")) * 100).alias("pct_local_higher"))
     n = F.col("n").cast("double")
-    corr = F.sqrt(n * (n - 1)) / (n - 2)
+    corr = F.try_divide(F.sqrt(n * (n - 1)), n - 2)
     m = (m.withColumn("skew_local", F.col("_g1a") * corr)
           .withColumn("skew_global", F.col("_g1b") * corr)
           .withColumn("similarity", similarity_class("mean_log10_diff"))

@@ -1,0 +1,7 @@
+"""Structured Streaming.
+
+The reference has no streaming sources, watermarks, windows or stateful operators, so
+nothing is built here. Every operator in this package is a plain DataFrame function, so
+the stateless ones (parsing, validity filters, hash splits, geo columns) can be applied
+to a streaming DataFrame unchanged.
+"""
