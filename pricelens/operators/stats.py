@@ -26,6 +26,87 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
     return cond
 
 
+class Ranked:
+    """Values of ``value`` per group, range-partitioned and sorted, with frozen positions.
+
+    ``frame`` has the group columns (``_g`` when ungrouped), ``_v``, ``_pid`` and ``_pos``.
+    Build it once and derive quantiles and the ordinary aggregates from it, so the input
+    plan runs once."""
+
+    def __init__(self, df: DataFrame, value: str | Column, by: Sequence[str] = (),
+                 tie_break: Column | None = None, num_partitions: int | None = None):
+        spark = df.sparkSession
+        self.by = list(by)
+        v = F.col(value) if isinstance(value, str) else value
+        tb = tie_break if tie_break is not None else F.xxhash64(*[F.col(c) for c in df.columns])
+        x = df.select(*[F.col(c) for c in self.by], nan_to_null(v).alias("_v"),
+                      tb.alias("_tb")).where(F.col("_v").isNotNull())
+        if not self.by:
+            x = x.withColumn("_g", F.lit(0))
+        self.gcols = self.by or ["_g"]
+        n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        s = (x.repartitionByRange(n, *self.gcols, "_v", "_tb")
+              .sortWithinPartitions(*self.gcols, "_v", "_tb")
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .select(*self.gcols, "_v",
+                      F.shiftright("_mid", _POS_BITS).alias("_pid"),
+                      (F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))).alias("_pos")))
+        # Positions depend on the physical layout (range bounds come from a sample, AQE
+        # may coalesce reads), so freeze them once in the shared checkpoint folder: every
+        # consumer then sees identical (_pid, _pos), and a lost executor re-reads files
+        # instead of recomputing a different layout.
+        self.frame = s.checkpoint(eager=True)
+
+    def aggregate(self, *aggs: Column) -> DataFrame:
+        """Ordinary aggregates of ``_v`` per group (no second pass over the input)."""
+        out = self.frame.groupBy(*self.gcols).agg(*aggs)
+        return out.drop("_g") if not self.by else out
+
+    def quantiles(self, probs: Sequence[float]) -> DataFrame:
+        """Long form ``by..., prob, quantile`` (linear interpolation)."""
+        s, gcols = self.frame, self.gcols
+        slices = s.groupBy("_pid", *gcols).agg(F.min("_pos").alias("_first"),
+                                              F.count(F.lit(1)).alias("_cnt"))
+        wg = Window.partitionBy(*gcols)
+        slices = (slices
+                  .withColumn("_before", F.coalesce(F.sum("_cnt").over(
+                      wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                  .withColumn("_n", F.sum("_cnt").over(wg)))
+        wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(kind).alias("kind"))
+                           for p in probs for kind in ("lo", "hi")])
+        hh = (F.col("_n") - 1).cast("double") * F.col("prob")
+        needed = (slices.select("_pid", *gcols, "_first", "_before", "_cnt", "_n",
+                                F.explode(wanted).alias("w"))
+                  .select("_pid", *gcols, "_first", "_before", "_cnt", "w.prob", "w.kind",
+                          F.when(F.col("w.kind") == "lo", F.floor(hh)).otherwise(F.ceil(hh))
+                          .cast("long").alias("rank"),
+                          (hh - F.floor(hh)).alias("frac"))
+                  .where((F.col("rank") >= F.col("_before"))
+                         & (F.col("rank") < F.col("_before") + F.col("_cnt")))
+                  .select("_pid", *[F.col(c).alias("_k_" + c) for c in gcols],
+                          (F.col("rank") - F.col("_before") + F.col("_first")).alias("_want"),
+                          "prob", "kind", "frac"))
+        # ``needed`` has exactly 2 x len(probs) rows per group
+        cond = (s["_pid"] == needed["_pid"]) & (s["_pos"] == needed["_want"])
+        for c in gcols:
+            cond = cond & s[c].eqNullSafe(needed["_k_" + c])
+        picked = s.join(needed, cond, "inner").select(*[s[c] for c in gcols], "prob", "kind",
+                                                      "frac", "_v")
+        out = (picked.groupBy(*gcols, "prob")
+               .agg(F.max(F.when(F.col("kind") == "lo", F.col("_v"))).alias("_lo"),
+                    F.max(F.when(F.col("kind") == "hi", F.col("_v"))).alias("_hi"),
+                    F.max("frac").alias("_frac"))
+               .select(*gcols, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo"))
+                                        * F.col("_frac")).alias("quantile")))
+        return out.drop("_g") if not self.by else out
+
+    def quantiles_wide(self, named: Mapping[str, float]) -> DataFrame:
+        q = self.quantiles(list(named.values()))
+        aggs = [F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("quantile"))).alias(name)
+                for name, p in named.items()]
+        return q.groupBy(*self.by).agg(*aggs) if self.by else q.agg(*aggs)
+
+
 def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
                     by: Sequence[str] = (), tie_break: Column | None = None,
                     num_partitions: int | None = None) -> DataFrame:
@@ -35,62 +116,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     Cost: one range shuffle of (group, value), one checkpoint write of the sorted
     (group, value) pairs, and two small aggregates.
     """
-    spark = df.sparkSession
-    by = list(by)
-    v = F.col(value) if isinstance(value, str) else value
-    tb = tie_break if tie_break is not None else F.xxhash64(*[F.col(c) for c in df.columns])
-    x = df.select(*[F.col(c) for c in by], nan_to_null(v).alias("_v"), tb.alias("_tb")) \
-          .where(F.col("_v").isNotNull())
-    if not by:
-        x = x.withColumn("_g", F.lit(0))
-        gcols = ["_g"]
-    else:
-        gcols = by
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (x.repartitionByRange(n, *gcols, "_v", "_tb")
-          .sortWithinPartitions(*gcols, "_v", "_tb")
-          .withColumn("_mid", F.monotonically_increasing_id())
-          .select(*gcols, "_v",
-                  F.shiftright("_mid", _POS_BITS).alias("_pid"),
-                  (F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))).alias("_pos")))
-    # Positions depend on the physical layout (range bounds come from a sample, AQE may
-    # coalesce reads), so freeze them once in the shared checkpoint folder: both
-    # consumers below then see identical (_pid, _pos) and a lost executor re-reads the
-    # files instead of recomputing a different layout.
-    s = s.checkpoint(eager=True)
-    slices = s.groupBy("_pid", *gcols).agg(F.min("_pos").alias("_first"),
-                                          F.count(F.lit(1)).alias("_cnt"))
-    wg = Window.partitionBy(*gcols)
-    slices = (slices
-              .withColumn("_before", F.coalesce(F.sum("_cnt").over(
-                  wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("_n", F.sum("_cnt").over(wg)))
-    wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(kind).alias("kind"))
-                       for p in probs for kind in ("lo", "hi")])
-    hh = (F.col("_n") - 1).cast("double") * F.col("prob")
-    needed = (slices.select("_pid", *gcols, "_first", "_before", "_cnt", "_n",
-                            F.explode(wanted).alias("w"))
-              .select("_pid", *gcols, "_first", "_before", "_cnt", "w.prob", "w.kind",
-                      F.when(F.col("w.kind") == "lo", F.floor(hh)).otherwise(F.ceil(hh))
-                      .cast("long").alias("rank"),
-                      (hh - F.floor(hh)).alias("frac"))
-              .where((F.col("rank") >= F.col("_before"))
-                     & (F.col("rank") < F.col("_before") + F.col("_cnt")))
-              .select("_pid", *[F.col(c).alias("_k_" + c) for c in gcols],
-                      (F.col("rank") - F.col("_before") + F.col("_first")).alias("_want"),
-                      "prob", "kind", "frac"))
-    cond = (s["_pid"] == needed["_pid"]) & (s["_pos"] == needed["_want"])
-    for c in gcols:
-        cond = cond & s[c].eqNullSafe(needed["_k_" + c])
-    picked = s.join(needed, cond, "inner").select(*[s[c] for c in gcols], "prob", "kind",
-                                                  "frac", "_v")
-    out = (picked.groupBy(*gcols, "prob")
-           .agg(F.max(F.when(F.col("kind") == "lo", F.col("_v"))).alias("_lo"),
-                F.max(F.when(F.col("kind") == "hi", F.col("_v"))).alias("_hi"),
-                F.max("frac").alias("_frac"))
-           .select(*gcols, "prob",
-                   (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("quantile")))
-    return out.drop("_g") if not by else out
+    return Ranked(df, value, by, tie_break, num_partitions).quantiles(probs)
 
 
 def quantiles_wide(df: DataFrame, value: str | Column, named: Mapping[str, float],
@@ -123,14 +149,14 @@ def _join_by(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def summary_stats(df: DataFrame, value: str, by: Sequence[str] = (), digits: int | None = 2,
                   tie_break: Column | None = None) -> DataFrame:
-    """count, min, q1, median, mean, q3, max, std (sample) per group, optionally rounded."""
+    """count, min, q1, median, mean, q3, max, std (sample) per group, optionally rounded.
+    The input plan runs once: everything is derived from one ranked materialisation."""
     by = list(by)
-    v = nan_to_null(F.col(value))
-    base = df.select(*by, v.alias("_x"))
-    aggs = [F.count("_x").alias("count"), F.min("_x").alias("min"), F.avg("_x").alias("mean"),
-            F.max("_x").alias("max"), F.stddev_samp("_x").alias("std")]
-    simple = base.groupBy(*by).agg(*aggs) if by else base.agg(*aggs)
-    q = quantiles_wide(df, v, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, tie_break)
+    r = Ranked(df, F.col(value), by, tie_break)
+    simple = r.aggregate(F.count("_v").alias("count"), F.min("_v").alias("min"),
+                         F.avg("_v").alias("mean"), F.max("_v").alias("max"),
+                         F.stddev_samp("_v").alias("std"))
+    q = r.quantiles_wide({"q1": 0.25, "median": 0.5, "q3": 0.75})
     out = _join_by(simple, q, by)
     cols = ["count", "min", "q1", "median", "mean", "q3", "max", "std"]
     if digits is not None:
@@ -151,18 +177,18 @@ def long_form(df: DataFrame, series: Mapping[str, str | Column], keep: Sequence[
 def moment_table(df: DataFrame, series: Mapping[str, str | Column]) -> DataFrame:
     """Per series: count, mean, median, std, min, q1, q3, max, skew, kurtosis (bias-corrected
     like pandas: G1 = g1*sqrt(n(n-1))/(n-2), G2 = (n-1)/((n-2)(n-3)) * ((n+1) g2 + 6))."""
-    lf = long_form(df, series).withColumn("value", nan_to_null(F.col("value")))
-    m = lf.groupBy("series").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"), F.skewness("value").alias("_g1"),
-        F.kurtosis("value").alias("_g2"))
+    lf = long_form(df, series)
+    r = Ranked(lf, "value", ["series"])
+    m = r.aggregate(F.count("_v").alias("count"), F.avg("_v").alias("mean"),
+                    F.stddev_samp("_v").alias("std"), F.min("_v").alias("min"),
+                    F.max("_v").alias("max"), F.skewness("_v").alias("_g1"),
+                    F.kurtosis("_v").alias("_g2"))
     n = F.col("count").cast("double")
     m = m.select("series", "count", "mean", "std", "min", "max",
                  F.try_divide(F.col("_g1") * F.sqrt(n * (n - 1)), n - 2).alias("skew"),
                  (F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6))
                  .alias("kurtosis"))
-    q = quantiles_wide(lf, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["series"])
+    q = r.quantiles_wide({"q1": 0.25, "median": 0.5, "q3": 0.75})
     return _join_by(m, q, ["series"]).select(
         "series", "count", "mean", "median", "std", "min", "q1", "q3", "max", "skew", "kurtosis")
 
