@@ -81,11 +81,9 @@ def nearest_neighbour(points: DataFrame, stations: DataFrame, p_id: str = "id",
     if cell_deg is None:  # about one station per cell
         cell_deg = max(math.sqrt(max(lat_span, 1e-6) * max(lon_span, 1e-6) / b["n"]), 1e-6)
     cos_min = math.cos(math.radians(min(90.0, max(a["alat"], b["alat"]))))
-    spark = points.sparkSession
     remaining = pts
     parts = []
     cell = cell_deg
-    level = 0
     while True:
         last = cell >= extent
         if last:
@@ -118,25 +116,14 @@ def nearest_neighbour(points: DataFrame, stations: DataFrame, p_id: str = "id",
             break
         remaining = nxt
         cell *= 2.0
-        level += 1
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(F.col("_pid").alias(p_id), F.col("_sid").alias(s_id), *s_keep,
-                      F.col("_d").alias(out_dist))
-
-
-def brute_force_nearest(points: DataFrame, stations: DataFrame, p_id="id", s_id="station_id",
-                        out_dist="dist_km") -> DataFrame:
-    """Reference implementation for tests on small fixtures only (all pairs)."""
-    p = points.select(F.col(p_id).alias("_pid"), F.col("lat").alias("_plat"),
-                      F.col("lon").alias("_plon"))
-    s = stations.select(F.col(s_id).alias("_sid"), F.col("lat").alias("_slat"),
-                        F.col("lon").alias("_slon"))
-    c = p.crossJoin(s).withColumn("_d", haversine_km("_plat", "_plon", "_slat", "_slon"))
-    return (c.groupBy("_pid").agg(F.min_by(F.struct("_sid", "_d"), F.struct("_d", "_sid")).alias("b"))
-            .select(F.col("_pid").alias(p_id), F.col("b._sid").alias(s_id),
-                    F.col("b._d").alias(out_dist)))
+    out = out.select(F.col("_pid").alias(p_id), F.col("_sid").alias(s_id), *s_keep,
+                     F.col("_d").alias(out_dist)).checkpoint(eager=True)
+    for p in parts:
+        p.unpersist()
+    return out
 
 
 def near_flags(df: DataFrame, site_cols: Sequence[str], metro_col: str,

@@ -38,7 +38,10 @@ class Ranked:
         spark = df.sparkSession
         self.by = list(by)
         v = F.col(value) if isinstance(value, str) else value
-        tb = tie_break if tie_break is not None else F.xxhash64(*[F.col(c) for c in df.columns])
+        # A unique tie-break spreads even a value repeated in a third of all rows over
+        # many range partitions. Ranks do not depend on it (equal values are
+        # interchangeable), so a retry that renumbers rows cannot change any result.
+        tb = tie_break if tie_break is not None else F.monotonically_increasing_id()
         x = df.select(*[F.col(c) for c in self.by], nan_to_null(v).alias("_v"),
                       tb.alias("_tb")).where(F.col("_v").isNotNull())
         if not self.by:

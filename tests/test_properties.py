@@ -1,12 +1,26 @@
 """Property tests: split invariants, nearest neighbour vs brute force, distribution sums."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
+from pricelens.functions.columns import haversine_km
 from pricelens.operators import dist, geo, split
 from pricelens.sources import fixtures as fx
 
 
+def brute_force_nearest(points, stations):
+    """All pairs: only for checking the grid join on a small fixture."""
+    p = points.select(F.col("id").alias("_pid"), F.col("lat").alias("_plat"),
+                      F.col("lon").alias("_plon"))
+    s = stations.select(F.col("station_id").alias("_sid"), F.col("lat").alias("_slat"),
+                        F.col("lon").alias("_slon"))
+    c = p.crossJoin(s).withColumn("_d", haversine_km("_plat", "_plon", "_slat", "_slon"))
+    return (c.groupBy("_pid").agg(F.min_by(F.struct("_sid", "_d"), F.struct("_d", "_sid")).alias("b"))
+            .select(F.col("_pid").alias("id"), F.col("b._sid").alias("station_id"),
+                    F.col("b._d").alias("dist_km")))
+
+
 def test_split_is_partition_independent_and_disjoint(spark):
     df = fx.points(spark, SF001)
     t1, r1 = split.hash_split(df, "id", 20, 42)
@@ -33,7 +47,7 @@ def test_nearest_equals_brute_force(spark):
     # a deliberately tiny first cell forces several grid levels
     grid = {r.id: (r.station_id, r.dist_km)
             for r in geo.nearest_neighbour(pts, sts, cell_deg=0.002).collect()}
-    brute = {r.id: (r.station_id, r.dist_km) for r in geo.brute_force_nearest(pts, sts).collect()}
+    brute = {r.id: (r.station_id, r.dist_km) for r in brute_force_nearest(pts, sts).collect()}
     assert grid.keys() == brute.keys()
     for k, (sid, d) in brute.items():
         assert grid[k][0] == sid and abs(grid[k][1] - d) < 1e-9
@@ -54,3 +68,21 @@ def test_kde_integrates_to_about_one(spark):
     ys = [r.density for r in k]
     area = sum((xs[i + 1] - xs[i]) * (ys[i] + ys[i + 1]) / 2 for i in range(len(xs) - 1))
     assert 0.8 < area < 1.05
+
+
+def test_exact_quantiles_hot_value_is_spread_and_exact(spark):
+    """A third of the rows share one group and one value: still exact, and the ranked
+    data is spread over several range partitions instead of one task."""
+    import pandas as pd
+    from pricelens.operators import stats
+    rows = [("hot", 7.0)] * 3000 + [("hot", float(i)) for i in range(3000)] + \
+           [("cold", float(i % 97)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(8)
+    r = stats.Ranked(df, "v", ["g"], num_partitions=8)
+    sizes = [row["n"] for row in r.frame.groupBy("_pid").count().withColumnRenamed("count", "n")
+             .collect()]
+    assert max(sizes) < 0.5 * len(rows)
+    got = {(x.g, x.prob): x.quantile for x in r.quantiles([0.1, 0.5, 0.99]).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    for (g, p), q in got.items():
+        assert q == pytest.approx(pdf[pdf.g == g].v.quantile(p))
