@@ -191,12 +191,20 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
     return per_cell.select(*cols).unionByName(full)
 
 
+# Fixed display names for the learning-curve chart.
+DISPLAY_NAMES = {BASELINE: "Global model", LOCAL: "Local model", HYBRID: "Hybrid model",
+                 CALIBRATED: "Calibrated global model"}
+
+
 def curve_means(results: DataFrame) -> DataFrame:
-    """Mean metrics over repetitions by method, model and iteration (D11 series)."""
+    """Mean metrics over repetitions by method, model and iteration (D11 series),
+    with the chart's display name (F19; keys match the model labels exactly)."""
+    from ..functions.columns import map_values
     return (results.groupBy("sampling_method", "model", "iteration")
             .agg(F.avg("n_size").alias("n_size"), F.avg("dollar_mae").alias("dollar_mae"),
                  F.avg("dollar_rmse").alias("dollar_rmse"), F.avg("dollar_r2").alias("dollar_r2"),
-                 F.avg("dollar_mape").alias("dollar_mape")))
+                 F.avg("dollar_mape").alias("dollar_mape"))
+            .withColumn("display_name", map_values("model", DISPLAY_NAMES)))
 
 
 def persist_df(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["ingest", "study", "geofeat", "prep", "models", "curveplan", "storage"]
+_MODULES = ["ingest", "study", "geofeat", "prep", "models", "curveplan", "storage", "extra"]
 
 
 def _load():

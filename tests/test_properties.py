@@ -86,3 +86,22 @@ def test_exact_quantiles_hot_value_is_spread_and_exact(spark):
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     for (g, p), q in got.items():
         assert q == pytest.approx(pdf[pdf.g == g].v.quantile(p))
+
+
+def test_kde_2d_binned_close_to_exact(spark):
+    """Binned 2-D KDE against the exact all-pairs density on a small fixture."""
+    import numpy as np
+    pts = fx.points(spark, "/root/testdata/sf0.001")
+    got = {r.id: r.density for r in dist.kde_2d_binned(pts, "lon", "lat", "id", grid=64).collect()}
+    pdf = pts.select("id", "lon", "lat").toPandas()
+    xy = pdf[["lon", "lat"]].to_numpy()
+    n = len(xy)
+    cov = np.cov(xy.T) * n ** (-2.0 / 6.0)
+    inv, det = np.linalg.inv(cov), np.linalg.det(cov)
+    diff = xy[:, None, :] - xy[None, :, :]
+    q = np.einsum("ijk,kl,ijl->ij", diff, inv, diff)
+    exact = np.exp(-0.5 * q).sum(axis=1) / (2 * np.pi * np.sqrt(det) * n)
+    approx = np.array([got[i] for i in pdf["id"]])
+    rel = np.abs(approx - exact) / exact
+    assert np.median(rel) < 0.05
+    assert np.corrcoef(approx, exact)[0, 1] > 0.99

@@ -139,3 +139,42 @@ def test_exact_quantiles_match_pandas(spark):
     pdf = pd.DataFrame([(i % 2, v) for i, v in enumerate(vals)], columns=["g", "v"])
     for (g, p), q in got.items():
         assert q == pytest.approx(pdf[pdf.g == g].v.dropna().quantile(p))
+
+
+def test_superhost_and_host_year(spark):
+    from pricelens.operators.features import host_year, superhost_flag
+    df = spark.createDataFrame([("t", "2016-05-03"), ("f", None), ("x", "2020-01-01")],
+                               "s string, d string")
+    got = [(r[0], r[1]) for r in df.select(superhost_flag("s"), host_year("d")).collect()]
+    assert got == [(1.0, 2016.0), (0.0, None), (None, 2020.0)]
+
+
+def test_adapt_keeps_originals_and_adds_literals(spark):
+    from pricelens.operators.features import adapt_to_global, require_columns
+    df = spark.createDataFrame([(1, 48.8, 2.3)], "id long, latitude double, longitude double")
+    a = adapt_to_global(df)
+    r = a.first()
+    assert (r.latitude, r.lat, r.long, r.city) == (48.8, 48.8, 2.3, "paris")
+    with pytest.raises(ValueError, match="guests"):
+        require_columns(a, ["lat", "guests"])
+
+
+def test_csv_multiline_quoted(spark, tmp_path):
+    from pricelens.sources.io import read_listings_csv
+    p = tmp_path / "l.csv"
+    p.write_text('id,name,price\n1,"two\nlines, and ""quotes""","$1,000.00"\n2,plain,$5.00\n')
+    df = read_listings_csv(spark, str(p), "id long, name string, price string")
+    rows = sorted(df.collect())
+    assert rows[0].name == 'two\nlines, and "quotes"' and rows[0].price == "$1,000.00"
+    assert rows[1].price == "$5.00"
+
+
+def test_huber_irls_resists_outliers():
+    import numpy as np
+    from pricelens.operators.curve import huber_irls
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(200, 1))
+    y = 3.0 * x[:, 0] + 1.0 + rng.normal(scale=0.1, size=200)
+    y[:10] += 50.0
+    w, b, _ = huber_irls(x, y)
+    assert abs(w[0] - 3.0) < 0.1 and abs(b - 1.0) < 0.1
