@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import columns as fc
 from ..operators import clean, match, quality, split, stats
 from ..sources import fixtures as fx
 from . import common as C
@@ -122,7 +123,31 @@ def sign_counts(spark: SparkSession, d: str) -> DataFrame:
     return r6(stats.sign_counts(_study(spark, d), "price_diff"))
 
 
+def match_rates(spark: SparkSession, d: str) -> DataFrame:
+    """A3: id matches as % of global listings, coordinate matches as % of id matches."""
+    m = _matched(spark, d)
+    near = F.sqrt(F.pow(F.col("latitude") - F.col("lat_glob"), 2)
+                  + F.pow(F.col("longitude") - F.col("long_glob"), 2)) < F.lit(C.COORD_TOLERANCE)
+    a = m.agg(F.count(F.lit(1)).alias("id_matches"), F.count_if(near).alias("coord_matches"))
+    g = C.global_silver_all(spark, d).agg(F.count(F.lit(1)).alias("global_rows"))
+    j = a.unionByName(g, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("id_matches", "coord_matches", "global_rows")])
+    return r6(j.withColumns({
+        "id_match_pct": F.try_divide(F.col("id_matches") * 100.0, F.col("global_rows")),
+        "coord_match_pct": F.try_divide(F.col("coord_matches") * 100.0, F.col("id_matches"))}))
+
+
+def price_diffs(spark: SparkSession, d: str) -> DataFrame:
+    """difference, % difference and log10 difference per matched item."""
+    s = _study(spark, d)
+    return r6(s.select("id", "price_diff",
+                       fc.pct_diff("price_global", "price_local").alias("pct_diff"),
+                       (fc.log10p1("price_global") - fc.log10p1("price_local")).alias("log_diff")))
+
+
 QUERIES = {
+    "match_rates": match_rates,
+    "price_diffs": price_diffs,
     "latest_per_key": latest_per_key,
     "price_parse": price_parse,
     "valid_price_log": valid_price_log,
@@ -177,6 +202,20 @@ def _invalid(c: str) -> str:
 
 
 ORACLE = {
+    "match_rates": sql_with(f"""
+        SELECT id_matches, coord_matches, global_rows,
+               round(id_matches * 100.0 / global_rows, 6) AS id_match_pct,
+               round(coord_matches * 100.0 / id_matches, 6) AS coord_match_pct
+        FROM (SELECT count(*) AS id_matches,
+                     count_if(sqrt(pow(latitude - lat_glob, 2) + pow(longitude - long_glob, 2))
+                              < {C.COORD_TOLERANCE}::DOUBLE) AS coord_matches,
+                     (SELECT count(*) FROM global_silver_all) AS global_rows
+              FROM ({_MATCHED}))""", "global_silver_all", "local_raw", "global_raw"),
+    "price_diffs": fx.with_ctes(f"""
+        SELECT id, round(price_diff, 6) AS price_diff,
+               round((price_global - price_local) / price_local * 100, 6) AS pct_diff,
+               round(log10(price_global + 1) - log10(price_local + 1), 6) AS log_diff
+        FROM ({_STUDY})""", "two_source"),
     "latest_per_key": sql_with("SELECT id, row_key, last_scraped, price FROM local_fresh",
                                "local_fresh", "local_raw"),
     "price_parse": sql_with(f"SELECT id, price AS raw_price_str, {C.SQL_PARSE} AS price_usd "
