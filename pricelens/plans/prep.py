@@ -111,7 +111,8 @@ ORACLE = {
         + f", {C.sql_round_half_up('log_price', 6)} AS log_price, id FROM adapted", "local_gold",
         extra=(("adapted", _ADAPTED),)),
     "amenity_count": fx.with_ctes(
-        "SELECT id, json_array_length(amenities) AS amenities_count FROM amenity_text",
+        "SELECT id, CAST(json_array_length(amenities) AS INTEGER) AS amenities_count "
+        "FROM amenity_text",
         "amenity_text"),
     "amenity_flags": fx.with_ctes(
         "SELECT id, " + ", ".join(
@@ -129,7 +130,8 @@ ORACLE = {
         ORDER BY {_MD5_KEY.format(k='id')}, id LIMIT {SAMPLE_CAP}""", "points"),
     "group_blocks": fx.with_ctes(f"""
         SELECT grp, position, CAST(floor(position / {BLOCK_SIZE}) AS INTEGER) AS block FROM (
-          SELECT grp, row_number() OVER (ORDER BY {_MD5_KEY.format(k='grp')}, grp) - 1 AS position
+          SELECT grp, CAST(row_number() OVER (ORDER BY {_MD5_KEY.format(k='grp')}, grp) - 1
+                           AS INTEGER) AS position
           FROM (SELECT DISTINCT grp FROM points WHERE grp IS NOT NULL))""", "points"),
     "block_sample": fx.with_ctes(f"""
         WITH b AS (SELECT grp, CAST(floor((row_number() OVER (

@@ -20,5 +20,21 @@ def queries():
     return _load()[0]
 
 
+def _bigint_count_if(sql: str) -> str:
+    """DuckDB's count_if is HUGEINT; Spark's is BIGINT. Wrap every call in a cast."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
 def oracle_sql():
-    return _load()[1]
+    return {k: _bigint_count_if(v) for k, v in _load()[1].items()}

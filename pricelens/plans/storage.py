@@ -87,7 +87,7 @@ _RAW_COLS = {"id", "row_key", "latitude", "longitude", "name", "listing_url", "p
 ORACLE = {
     # file metadata of the oracle's own table folder (the driver compares at sf0.01)
     "layout_audit": """
-        SELECT count(*) AS file_count, sum(size) AS total_bytes,
+        SELECT count(*) AS file_count, CAST(sum(size) AS BIGINT) AS total_bytes,
                round(sum(size) / (1024.0 * 1024 * 1024), 6) AS total_gb,
                round(avg(size) / (1024.0 * 1024), 6) AS avg_mb,
                round(max(size) / (1024.0 * 1024), 6) AS max_mb,
@@ -97,8 +97,10 @@ ORACLE = {
                  AND avg(size) / (1024.0 * 1024) > 100.0 AS good_layout
         FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
     "csv_ingest": fx.with_ctes("""
-        SELECT count(*) AS rows, sum(row_key) AS sum_row_key, count(nullif(price, '')) AS priced_rows,
-               sum(length(nullif(price, ''))) AS price_chars, max(last_scraped) AS last_scraped
+        SELECT count(*) AS rows, CAST(sum(row_key) AS BIGINT) AS sum_row_key,
+               count(nullif(price, '')) AS priced_rows,
+               CAST(sum(length(nullif(price, ''))) AS BIGINT) AS price_chars,
+               max(last_scraped) AS last_scraped
         FROM local_raw""", "local_raw"),
     "save_and_profile": sql_with(f"""
         SELECT 'local_silver' AS dataset, count(*) AS rows, {len(_SILVER_COLS)} AS n_columns,

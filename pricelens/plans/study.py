@@ -254,7 +254,7 @@ ORACLE = {
         fit AS (SELECT regr_slope(sample_q, theoretical_q) AS slope,
                        regr_intercept(sample_q, theoretical_q) AS intercept,
                        corr(sample_q, theoretical_q) AS r FROM t)
-        SELECT round(prob, 6) AS prob, round(sample_q, 6) AS sample_q,
+        SELECT round(CAST(prob AS DOUBLE), 6) AS prob, round(sample_q, 6) AS sample_q,
                round(theoretical_q, 6) AS theoretical_q, round(slope, 6) AS slope,
                round(intercept, 6) AS intercept, round(r, 6) AS r,
                round(intercept + slope * theoretical_q, 6) AS fit_q

@@ -48,3 +48,16 @@ def compare(spark, name, fn, sql, sf_dir, con=None):
     s = fn(spark, sf_dir).toPandas()
     d = con.execute(sql).df()
     return frames_equal(s, d)
+
+
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+                  "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def types_differ(spark_df, con, sql):
+    """Columns whose Spark type and DuckDB type disagree (empty dict when aligned)."""
+    s = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in spark_df.schema.fields}
+    d = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {k: (s.get(k), d.get(k)) for k in set(s) | set(d) if s.get(k) != d.get(k)}

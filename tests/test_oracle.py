@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001, SF0001
-from oracle_compare import duck, frames_equal
+from oracle_compare import duck, frames_equal, types_differ
 
 ORACLE = E.oracle_sql()
 
@@ -16,7 +16,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF001).toPandas()
+    sdf = E.queries()[name](spark, SF001)
+    assert types_differ(sdf, con, ORACLE[name]) == {}
+    got = sdf.toPandas()
     want = con.execute(ORACLE[name]).df()
     ok, msg = frames_equal(got, want)
     assert ok, msg
