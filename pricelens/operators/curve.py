@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .metrics import dollar_metrics
 from .model import prep_stages
 from .sampling import choose_blocks, exact_sample, group_blocks
+from ..session import checkpointed
 
 # Fixed display names of the compared models.
 BASELINE = "Global (Baseline)"
@@ -123,13 +124,11 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
     # One preparation (impute, index, one-hot, scale) fitted on the whole pool
     prep = Pipeline(stages=prep_stages(numeric, categorical, scale=True)).fit(train)
     # both inputs are read once per cell: freeze them in the checkpoint folder first
-    ptrain = prep.transform(train).select(key, group, label, global_pred, "features") \
-        .checkpoint(eager=True)
-    ptest = prep.transform(test).select(key, group, label, global_pred, "features") \
-        .checkpoint(eager=True)
+    ptrain = checkpointed(prep.transform(train).select(key, group, label, global_pred, "features"))
+    ptest = checkpointed(prep.transform(test).select(key, group, label, global_pred, "features"))
     ctrain, ctest, meta = build_cells(ptrain, ptest, key, group, cfg)
-    ctrain = ctrain.checkpoint(eager=True)  # cut the long union lineage once
-    ctest = ctest.checkpoint(eager=True)
+    ctrain = checkpointed(ctrain)  # cut the long union lineage once
+    ctest = checkpointed(ctest)
     sizes = {r["cell"]: r["n"] for r in ctrain.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
              .collect()}
     tsizes = {r["cell"]: r["n"] for r in ctest.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))

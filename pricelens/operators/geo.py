@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (EARTH_RADIUS_KM, count_below, flag_above, flag_any_below,
                                  haversine_km, nan_to_null)
+from ..session import checkpointed
 
 MAX_SITES = 512  # one output column per site: beyond this the feature table is unusable
 
@@ -111,7 +112,7 @@ def nearest_neighbour(points: DataFrame, stations: DataFrame, p_id: str = "id",
         if last:
             break
         nxt = remaining.join(accepted.select("_pid"), "_pid", "left_anti")
-        nxt = nxt.checkpoint(eager=True)  # cut lineage; lands in spark.checkpoint.dir
+        nxt = checkpointed(nxt)  # cut lineage; lands in spark.checkpoint.dir
         if nxt.isEmpty():
             break
         remaining = nxt
@@ -119,8 +120,8 @@ def nearest_neighbour(points: DataFrame, stations: DataFrame, p_id: str = "id",
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    out = out.select(F.col("_pid").alias(p_id), F.col("_sid").alias(s_id), *s_keep,
-                     F.col("_d").alias(out_dist)).checkpoint(eager=True)
+    out = checkpointed(out.select(F.col("_pid").alias(p_id), F.col("_sid").alias(s_id),
+                                  *s_keep, F.col("_d").alias(out_dist)))
     for p in parts:
         p.unpersist()
     return out

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, safe_corr
+from ..session import checkpointed
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
@@ -58,7 +59,7 @@ class Ranked:
         # may coalesce reads), so freeze them once in the shared checkpoint folder: every
         # consumer then sees identical (_pid, _pos), and a lost executor re-reads files
         # instead of recomputing a different layout.
-        self.frame = s.checkpoint(eager=True)
+        self.frame = checkpointed(s)
 
     def aggregate(self, *aggs: Column) -> DataFrame:
         """Ordinary aggregates of ``_v`` per group (no second pass over the input)."""

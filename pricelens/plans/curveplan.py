@@ -10,6 +10,7 @@ from ..sources import fixtures as fx
 from . import common as C
 from .models import _fit, _numeric_flags
 from ..operators import features
+from ..session import checkpointed
 
 # Local preprocessor inputs: numeric listing columns and three categories (fixed lists).
 LOCAL_NUMERIC = ["latitude", "longitude", "accommodates", "beds", "bedrooms", "bathrooms",
@@ -35,7 +36,7 @@ def diamond(spark: SparkSession, d: str):
     g = g.withColumns({c: g[c].cast("double") for c in LOCAL_NUMERIC})
     adapted = features.clean_cast(features.adapt_to_global(g), select=False)
     scored = model.score(m, adapted.select("id", *GLOBAL_NUMERIC, *GLOBAL_CATEGORICAL), ["id"])
-    v7 = g.join(scored, "id").checkpoint(eager=True)
+    v7 = checkpointed(g.join(scored, "id"))
     test, train = split.hash_split(v7, "id", C.TEST_PCT, C.SEED)
     return train, test
 
@@ -45,7 +46,7 @@ def _run(spark: SparkSession, d: str) -> DataFrame:
         train, test = diamond(spark, d)
         res = curve.run_learning_curve(train, test, LOCAL_NUMERIC, LOCAL_CATEGORICAL,
                                        curve.CurveConfig(**QUERY_CONFIG))
-        _RESULTS[d] = res.checkpoint(eager=True)
+        _RESULTS[d] = checkpointed(res)
     return _RESULTS[d]
 
 

@@ -58,3 +58,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def checkpointed(df):
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder (the folder is
+    taken from ``spark.checkpoint.dir``; a private one is made only when that is unset)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
