@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .metrics import dollar_metrics
-from .model import prep_stages
+from .model import prep_stages, run_concurrently
 from .sampling import choose_blocks, exact_sample, group_blocks
 from ..session import checkpointed
 
@@ -168,12 +168,15 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
                       F.lit(CALIBRATED).alias("model"))
 
     # Local forest per cell (Spark ML); predictions stay distributed
-    preds = [base, hybrid, calib]
-    for c in good:
+    def fit_forest(c: int):
         tr_c = ctrain.where(F.col("cell") == c)
-        rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=cfg.rf_trees,
-                                   maxDepth=cfg.rf_depth, featureSubsetStrategy="all",
-                                   seed=cfg.seed).fit(tr_c)
+        return RandomForestRegressor(featuresCol="features", labelCol=label,
+                                     numTrees=cfg.rf_trees, maxDepth=cfg.rf_depth,
+                                     featureSubsetStrategy="all", seed=cfg.seed).fit(tr_c)
+
+    forests = run_concurrently([lambda c=c: fit_forest(c) for c in good])
+    preds = [base, hybrid, calib]
+    for c, rf in zip(good, forests):
         p = rf.transform(ctest.where(F.col("cell") == c))
         preds.append(p.select("cell", label, F.col("prediction").alias("pred"),
                               F.lit(LOCAL).alias("model")))
