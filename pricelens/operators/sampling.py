@@ -8,16 +8,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_bucket, hash_order_key
+from .stats import Ranked
 
 
-def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+_HASH_SPACE = 1 << 32
+
+
+def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42,
+                 oversample: float = 1.1) -> DataFrame:
     """Exactly min(n, rows) rows without replacement: the n smallest md5(key || seed).
-    Planned as TakeOrderedAndProject (each task keeps n candidates)."""
-    return df.orderBy(hash_order_key(F.col(key), seed), F.col(key)).limit(n)
+
+    The md5 prefix is uniform, so rows whose first 32 bits fall under a threshold sized
+    for ~1.1 n rows contain the n smallest keys (checked by a count, widened if short);
+    only those candidates are ordered, so the final top-n merge handles about n rows
+    however many partitions the input has."""
+    total = df.count()
+    order = [hash_order_key(F.col(key), seed), F.col(key)]
+    if total <= n:
+        return df
+    prefix = F.conv(F.substring(hash_order_key(F.col(key), seed), 1, 8), 16, 10).cast("long")
+    t = min(_HASH_SPACE, int((n * oversample + 64) / total * _HASH_SPACE) + 1)
+    while True:
+        cand = df.where(prefix < F.lit(t))
+        if t >= _HASH_SPACE or cand.count() >= n:
+            break
+        t = min(_HASH_SPACE, t * 2)
+    return cand.orderBy(*order).limit(n)
 
 
 def fraction_sample(df: DataFrame, key: str, pct: int, seed: int = 42) -> DataFrame:
@@ -34,11 +54,11 @@ def group_blocks(df: DataFrame, group: str, block_size: int, seed: int = 42) ->
     """The distinct groups in a seeded pseudo-random order, cut into consecutive blocks
     of ``block_size`` (the last may be short). Returns group, block, position.
 
-    The global ordering runs over the distinct group list only (e.g. neighbourhoods),
-    never over rows."""
+    The order is computed by a distributed rank (range partitions + prefix counts), so
+    even a very long group list never goes through a single task."""
     groups = df.select(group).where(F.col(group).isNotNull()).distinct()
-    w = Window.orderBy(hash_order_key(F.col(group), seed), F.col(group))
-    ranked = groups.withColumn("position", F.row_number().over(w) - 1)
+    r = Ranked(groups, hash_order_key(F.col(group), seed), tie_break=F.col(group), keep=[group])
+    ranked = r.positions().select(group, F.col("_rank").cast("int").alias("position"))
     return ranked.withColumn("block", F.floor(F.col("position") / block_size).cast("int"))
 
 

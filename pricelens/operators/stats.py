@@ -35,16 +35,21 @@ class Ranked:
     plan runs once."""
 
     def __init__(self, df: DataFrame, value: str | Column, by: Sequence[str] = (),
-                 tie_break: Column | None = None, num_partitions: int | None = None):
+                 tie_break: Column | None = None, num_partitions: int | None = None,
+                 keep: Sequence[str] = ()):
         spark = df.sparkSession
         self.by = list(by)
+        self.keep = list(keep)
         v = F.col(value) if isinstance(value, str) else value
+        vtype = df.select(v.alias("_t")).schema["_t"].dataType.simpleString()
+        if vtype in ("double", "float"):
+            v = nan_to_null(v)
         # A unique tie-break spreads even a value repeated in a third of all rows over
         # many range partitions. Ranks do not depend on it (equal values are
         # interchangeable), so a retry that renumbers rows cannot change any result.
         tb = tie_break if tie_break is not None else F.monotonically_increasing_id()
-        x = df.select(*[F.col(c) for c in self.by], nan_to_null(v).alias("_v"),
-                      tb.alias("_tb")).where(F.col("_v").isNotNull())
+        x = df.select(*[F.col(c) for c in self.by], *[F.col(c) for c in self.keep],
+                      v.alias("_v"), tb.alias("_tb")).where(F.col("_v").isNotNull())
         if not self.by:
             x = x.withColumn("_g", F.lit(0))
         self.gcols = self.by or ["_g"]
@@ -52,7 +57,7 @@ class Ranked:
         s = (x.repartitionByRange(n, *self.gcols, "_v", "_tb")
               .sortWithinPartitions(*self.gcols, "_v", "_tb")
               .withColumn("_mid", F.monotonically_increasing_id())
-              .select(*self.gcols, "_v",
+              .select(*self.gcols, *self.keep, "_v",
                       F.shiftright("_mid", _POS_BITS).alias("_pid"),
                       (F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))).alias("_pos")))
         # Positions depend on the physical layout (range bounds come from a sample, AQE
@@ -61,6 +66,28 @@ class Ranked:
         # instead of recomputing a different layout.
         self.frame = checkpointed(s)
 
+    def _slices(self) -> DataFrame:
+        """Per (range partition, group): first local position, row count, rows before it
+        in the group and the group size. At most partitions x groups rows."""
+        gcols = self.gcols
+        slices = self.frame.groupBy("_pid", *gcols).agg(F.min("_pos").alias("_first"),
+                                                       F.count(F.lit(1)).alias("_cnt"))
+        wg = Window.partitionBy(*gcols)
+        return (slices
+                .withColumn("_before", F.coalesce(F.sum("_cnt").over(
+                    wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                .withColumn("_n", F.sum("_cnt").over(wg)))
+
+    def positions(self) -> DataFrame:
+        """Every row with its 0-based rank within its group (``_rank``) and the group
+        size (``_n``): a distributed row_number that never sends a group to one task."""
+        sl = self._slices().select("_pid", *self.gcols, "_first", "_before", "_n")
+        out = self.frame.join(sl, ["_pid", *self.gcols])
+        out = out.select(*self.by, *self.keep, "_v",
+                         (F.col("_before") + F.col("_pos") - F.col("_first")).alias("_rank"),
+                         "_n")
+        return out
+
     def aggregate(self, *aggs: Column) -> DataFrame:
         """Ordinary aggregates of ``_v`` per group (no second pass over the input)."""
         out = self.frame.groupBy(*self.gcols).agg(*aggs)
@@ -69,13 +96,7 @@ class Ranked:
     def quantiles(self, probs: Sequence[float]) -> DataFrame:
         """Long form ``by..., prob, quantile`` (linear interpolation)."""
         s, gcols = self.frame, self.gcols
-        slices = s.groupBy("_pid", *gcols).agg(F.min("_pos").alias("_first"),
-                                              F.count(F.lit(1)).alias("_cnt"))
-        wg = Window.partitionBy(*gcols)
-        slices = (slices
-                  .withColumn("_before", F.coalesce(F.sum("_cnt").over(
-                      wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                  .withColumn("_n", F.sum("_cnt").over(wg)))
+        slices = self._slices()
         wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(kind).alias("kind"))
                            for p in probs for kind in ("lo", "hi")])
         hh = (F.col("_n") - 1).cast("double") * F.col("prob")
