@@ -229,8 +229,8 @@ def sign_counts(df: DataFrame, diff: str) -> DataFrame:
         F.when(F.col(diff) > 0, "positive").when(F.col(diff) < 0, "negative")
         .otherwise("zero").alias("sign"))
     counts = s.groupBy("sign").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.withColumn("pct", F.col("n") * 100.0 / total)
+    total = s.count()  # one-row metric
+    return counts.withColumn("pct", F.try_divide(F.col("n") * 100.0, F.lit(float(total))))
 
 
 def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -263,7 +263,8 @@ def group_mean_std(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     c = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    total = df.count()  # one-row metric; no global window over the distinct values
+    return c.withColumn("share", F.try_divide(F.col("n"), F.lit(float(total))))
 
 
 def range_two_sets(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
