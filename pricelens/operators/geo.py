@@ -57,6 +57,30 @@ def _grid_stats(points: DataFrame, stations: DataFrame, p_lat, p_lon, s_lat, s_l
     return a, b
 
 
+MAX_STATIONS_PER_CELL = 16
+_RESOLUTIONS = 30
+
+
+def _first_cell(sts: DataFrame, extent: float) -> float:
+    """Coarsest cell (extent / 2^k) in which no cell holds more than
+    ``MAX_STATIONS_PER_CELL`` stations, from one aggregate over all resolutions.
+
+    Sizing by the densest cell, not the average, keeps the candidate count per point
+    bounded even when a third of the stations sit in one spot; sparse areas simply
+    climb more (doubling) levels."""
+    ks = F.explode(F.sequence(F.lit(0), F.lit(_RESOLUTIONS - 1))).alias("k")
+    size = F.lit(float(extent)) / F.pow(F.lit(2.0), F.col("k"))
+    per_cell = (sts.select(ks, "_slat", "_slon")
+                .groupBy("k", F.floor(F.col("_slat") / size).alias("ci"),
+                         F.floor(F.col("_slon") / size).alias("cj"))
+                .agg(F.count(F.lit(1)).alias("c")))
+    worst = {r["k"]: r["m"] for r in per_cell.groupBy("k").agg(F.max("c").alias("m")).collect()}
+    for k in range(_RESOLUTIONS):  # at most _RESOLUTIONS rows came back
+        if worst.get(k, 0) <= MAX_STATIONS_PER_CELL:
+            return extent / 2 ** k
+    return extent / 2 ** (_RESOLUTIONS - 1)
+
+
 def nearest_neighbour(points: DataFrame, stations: DataFrame, p_id: str = "id",
                       p_lat: str = "lat", p_lon: str = "lon", s_id: str = "station_id",
                       s_lat: str = "lat", s_lon: str = "lon", s_keep: Sequence[str] = (),
@@ -72,6 +96,13 @@ def nearest_neighbour(points: DataFrame, stations: DataFrame, p_id: str = "id",
     sts = stations.select(F.col(s_id).alias("_sid"), F.col(s_lat).alias("_slat"),
                           F.col(s_lon).alias("_slon"), *s_keep).where(
         F.col("_slat").isNotNull() & F.col("_slon").isNotNull())
+    # Stations at the same location tie on distance, and ties go to the smallest id, so
+    # only that one can ever win: keeping it per location is exact and removes piles of
+    # co-located stations that no grid could split.
+    sts = (sts.groupBy("_slat", "_slon")
+           .agg(F.min_by(F.struct("_sid", *s_keep), F.col("_sid")).alias("_s"))
+           .select("_s._sid", "_slat", "_slon", *[F.col("_s." + c).alias(c) for c in s_keep]))
+    sts = checkpointed(sts)
     a, b = _grid_stats(pts, sts, "_plat", "_plon", "_slat", "_slon")
     if not a["n"] or not b["n"]:
         return points.sparkSession.createDataFrame(
@@ -79,8 +110,8 @@ def nearest_neighbour(points: DataFrame, stations: DataFrame, p_id: str = "id",
     lat_span = max(a["lat1"], b["lat1"]) - min(a["lat0"], b["lat0"])
     lon_span = max(a["lon1"], b["lon1"]) - min(a["lon0"], b["lon0"])
     extent = max(lat_span, lon_span, 1e-9)
-    if cell_deg is None:  # about one station per cell
-        cell_deg = max(math.sqrt(max(lat_span, 1e-6) * max(lon_span, 1e-6) / b["n"]), 1e-6)
+    if cell_deg is None:
+        cell_deg = _first_cell(sts, extent)
     cos_min = math.cos(math.radians(min(90.0, max(a["alat"], b["alat"]))))
     remaining = pts
     parts = []

@@ -105,3 +105,20 @@ def test_kde_2d_binned_close_to_exact(spark):
     rel = np.abs(approx - exact) / exact
     assert np.median(rel) < 0.05
     assert np.corrcoef(approx, exact)[0, 1] > 0.99
+
+
+def test_nearest_with_a_hot_station_cluster(spark):
+    """A third of the stations piled into one spot (some exactly co-located): the grid
+    is sized by the densest cell and the answer still equals brute force."""
+    pts = fx.points(spark, SF001)
+    sts = fx.stations(spark, SF001)
+    pile = sts.select((F.col("station_id") + 100000).alias("station_id"),
+                      F.concat(F.lit("pile-"), F.col("station_name")).alias("station_name"),
+                      (F.lit(48.85) + (F.col("station_id") % 5) * F.lit(1e-6)).alias("lat"),
+                      F.lit(2.35).alias("lon")).limit(50)
+    allst = sts.unionByName(pile)
+    grid = {r.id: (r.station_id, r.dist_km) for r in geo.nearest_neighbour(pts, allst).collect()}
+    brute = {r.id: (r.station_id, r.dist_km) for r in brute_force_nearest(pts, allst).collect()}
+    assert grid.keys() == brute.keys()
+    for k, (sid, d) in brute.items():
+        assert grid[k][0] == sid and abs(grid[k][1] - d) < 1e-9
