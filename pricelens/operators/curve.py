@@ -60,7 +60,9 @@ def huber_irls(x: np.ndarray, y: np.ndarray, epsilon: float = 1.35, alpha: float
         a = np.abs(r) / sigma
         w = np.where(a <= epsilon, 1.0, epsilon / np.maximum(a, 1e-300))
         xtw = xa.T * w
-        new = np.linalg.solve(xtw @ xa + reg * sigma, xtw @ y)
+        # least squares, not solve: a small cell may have fewer rows than features or a
+        # constant column; the minimum-norm solution keeps the fit defined
+        new = np.linalg.lstsq(xtw @ xa + reg * sigma, xtw @ y, rcond=None)[0]
         r = y - xa @ new
         a = np.abs(r) / sigma
         inl = a <= epsilon
@@ -121,8 +123,12 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
     """Results table: n_size, sampling_method, model, dollar_rmse, dollar_mae, dollar_r2,
     dollar_mape, iteration (one row per evaluated model and cell, plus the full baseline)."""
     spark = train.sparkSession
+    # Both inputs are used by every cell; freezing them first also keeps the optimizer
+    # away from re-deriving constraints through the long upstream lineage for each use.
+    train, test = checkpointed(train), checkpointed(test)
     # One preparation (impute, index, one-hot, scale) fitted on the whole pool
-    prep = Pipeline(stages=prep_stages(numeric, categorical, scale=True)).fit(train)
+    prep = Pipeline(stages=prep_stages(numeric, categorical, scale=True,
+                                       clean_categories=True)).fit(train)
     # both inputs are read once per cell: freeze them in the checkpoint folder first
     ptrain = checkpointed(prep.transform(train).select(key, group, label, global_pred, "features"))
     ptest = checkpointed(prep.transform(test).select(key, group, label, global_pred, "features"))

@@ -35,9 +35,12 @@ def site_column(site_id: str, prefix: str = "dist_") -> str:
 
 def site_distances(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: str = "lon",
                    site_id: str = "site_id", site_lat: str = "lat", site_lon: str = "lon",
-                   exclude: Sequence[str] = (), prefix: str = "dist_") -> DataFrame:
-    """Add one ``dist_<site>`` column (km) per site, skipping ``exclude`` ids."""
+                   exclude: Sequence[str] = (), prefix: str = "dist_",
+                   only: Sequence[str] = ()) -> DataFrame:
+    """Add one ``dist_<site>`` column (km) per site, skipping ``exclude`` ids (or keeping
+    only the ``only`` ids)."""
     chosen = sites.where(~F.col(site_id).isin(list(exclude))) if exclude else sites
+    chosen = chosen.where(F.col(site_id).isin(list(only))) if only else chosen
     rows = chosen.select(site_id, site_lat, site_lon).limit(MAX_SITES + 1).collect()
     if len(rows) > MAX_SITES:
         raise ValueError(f"more than {MAX_SITES} sites; use nearest_neighbour instead")

@@ -49,10 +49,19 @@ def reference_candidates(seed: int = 42) -> list[Candidate]:
 
 
 def prep_stages(numeric: Sequence[str], categorical: Sequence[str],
-                out: str = "features", scale: bool = False) -> list:
+                out: str = "features", scale: bool = False, clean_categories: bool = False,
+                fill: str = "other") -> list:
     """Median imputation (null and NaN), index + one-hot (unseen -> all-zero vector),
-    assembly that skips rows still invalid; optional standard scaling of the numerics."""
+    assembly that skips rows still invalid; optional standard scaling of the numerics and
+    optional category cleaning (missing -> ``fill``, then lower case) inside the pipeline,
+    so a fitted model applies the same cleaning to new rows."""
     stages: list = []
+    if clean_categories and categorical:
+        from pyspark.ml.feature import SQLTransformer
+        exprs = ", ".join(f"lower(coalesce(CAST(`{c}` AS STRING), '{fill}')) AS `{c}__clean`"
+                          for c in categorical)
+        stages.append(SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__"))
+        categorical = [f"{c}__clean" for c in categorical]
     imputed = [f"imputed_{c}" for c in numeric]
     if numeric:
         stages.append(Imputer(inputCols=list(numeric), outputCols=imputed, strategy="median",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import curve, model, split
+from ..operators import curve, geo, model, split
 from ..operators.features import GLOBAL_CATEGORICAL, GLOBAL_NUMERIC
 from ..sources import fixtures as fx
 from . import common as C
@@ -12,13 +12,16 @@ from .models import _fit, _numeric_flags
 from ..operators import features
 from ..session import checkpointed
 
-# Local preprocessor inputs: numeric listing columns and three categories (fixed lists).
-LOCAL_NUMERIC = ["latitude", "longitude", "accommodates", "beds", "bedrooms", "bathrooms",
-                 "number_of_reviews", "reviews_per_month", "availability_365", "amenities_count",
-                 "has_dishwasher", "has_washer", "host_is_superhost", "host_since",
-                 "review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
-                 "review_scores_checkin", "review_scores_communication",
-                 "review_scores_location", "review_scores_value"]
+# Local preprocessor inputs (fixed lists): 19 listing columns, distances to six major
+# sites, and three categories (missing -> 'other', lower-cased inside the pipeline).
+MAJOR_SITES = ["nation_1", "nation_2", "nation_3", "nation_4", "nation_5", "nation_6"]
+BASE_NUMERIC = ["host_is_superhost", "bedrooms", "beds", "bathrooms", "latitude", "longitude",
+                "accommodates", "availability_365", "host_since", "number_of_reviews",
+                "review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
+                "review_scores_checkin", "review_scores_communication",
+                "review_scores_location", "review_scores_value", "amenities_count",
+                "reviews_per_month"]
+LOCAL_NUMERIC = BASE_NUMERIC + [f"dist_{s}" for s in MAJOR_SITES]
 LOCAL_CATEGORICAL = ["neighbourhood_cleansed", "listing_type", "host_response_time"]
 
 # Small grid for the registered query (library defaults hold the full experiment).
@@ -33,6 +36,8 @@ def diamond(spark: SparkSession, d: str):
     _, _, path = _fit(spark, d)
     m = model.load_model(path)
     g = _numeric_flags(fx.local_gold(spark, d))
+    g = geo.site_distances(g, fx.sites(spark, d), lat="latitude", lon="longitude",
+                           only=MAJOR_SITES)  # v5: gold + distance features
     g = g.withColumns({c: g[c].cast("double") for c in LOCAL_NUMERIC})
     adapted = features.clean_cast(features.adapt_to_global(g), select=False)
     scored = model.score(m, adapted.select("id", *GLOBAL_NUMERIC, *GLOBAL_CATEGORICAL), ["id"])
