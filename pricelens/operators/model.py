@@ -239,3 +239,29 @@ def require_spark_df(data) -> None:
 
 def active_spark() -> SparkSession:
     return SparkSession.getActiveSession()
+
+
+def log_visualizations(predictions: DataFrame, fitted: PipelineModel, transformed: DataFrame,
+                       out_dir: str, key: str = "id", label: str = "log_price",
+                       pred: str = "prediction", sample_pct: int = 5, cap: int = 10000,
+                       bins: int = 50) -> dict:
+    """Write the series behind the model charts as Parquet tables under ``out_dir``:
+    top-10 importances (D9), a capped hash sample of actual vs predicted dollars (D7, T5)
+    and the residual histogram in dollars (D1). Returns {table: path}."""
+    from .dist import histogram
+    from .sampling import sample_then_cap
+    dollars = predictions.select(key, F.expm1(label).alias("actual_usd"),
+                                 F.expm1(pred).alias("predicted_usd"))
+    tables = {
+        "importance": feature_importance(fitted, transformed, 10),
+        "scatter": sample_then_cap(dollars, key, sample_pct, cap),
+        "residuals": histogram(dollars.withColumn(
+            "residual_usd", F.col("predicted_usd") - F.col("actual_usd")),
+            {"residual_usd": "residual_usd"}, bins),
+    }
+    paths = {}
+    for name, df in tables.items():
+        path = f"{out_dir.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths

@@ -101,7 +101,25 @@ def calibration_report(spark: SparkSession, d: str) -> DataFrame:
     return model.calibration_summary(cal)
 
 
+def visual_bundle(spark: SparkSession, d: str) -> DataFrame:
+    """Chart tables of the chosen model on the local hold-out, written to the shared
+    scratch area; returns one row per written table with its row count."""
+    _, best, path = _fit(spark, d)
+    m = model.load_model(path)
+    pred = m.transform(local_test(spark, d))
+    out = scratch_path(spark, f"pricelens/visuals/{abs(hash(d))}")
+    paths = model.log_visualizations(pred, m, model.transformed_features(m, global_gold(spark, d)),
+                                     out)
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(name).alias("table_name"), "rows") for name, p in paths.items()]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
 QUERIES = {
+    "visual_bundle": visual_bundle,
     "model_leaderboard": model_leaderboard,
     "score_holdout": score_holdout,
     "feature_importance": feature_importance,
