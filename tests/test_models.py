@@ -56,3 +56,17 @@ def test_save_reload_gives_identical_predictions(spark, tmp_path):
     assert a == b and len(a) > 0
     imp = model.feature_importance(m, model.transformed_features(m, g), 3).collect()
     assert len(imp) == 3 and imp[0].importance >= imp[-1].importance
+
+
+def test_visual_tables_written(spark, tmp_path):
+    g = _numeric_flags(fx.local_gold(spark, SF0001))
+    num = ["accommodates", "beds", "review_scores_rating"]
+    g = g.withColumns({c: F.col(c).cast("double") for c in num})
+    cand = model.Candidate("RF", "rf", {"numTrees": 3, "maxDepth": 3, "seed": 42})
+    m = model.fit_pipeline(g, num, ["listing_type"], cand)
+    paths = model.log_visualizations(m.transform(g), m, model.transformed_features(m, g),
+                                     str(tmp_path / "viz"), sample_pct=50, cap=20)
+    assert set(paths) == {"importance", "scatter", "residuals"}
+    assert 0 < spark.read.parquet(paths["scatter"]).count() <= 20
+    hist = spark.read.parquet(paths["residuals"])
+    assert hist.agg(F.sum("count")).first()[0] == g.count()
