@@ -178,7 +178,8 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
         tr_c = ctrain.where(F.col("cell") == c)
         return RandomForestRegressor(featuresCol="features", labelCol=label,
                                      numTrees=cfg.rf_trees, maxDepth=cfg.rf_depth,
-                                     featureSubsetStrategy="all", seed=cfg.seed).fit(tr_c)
+                                     featureSubsetStrategy="all", seed=cfg.seed,
+                                     cacheNodeIds=True).fit(tr_c)
 
     forests = run_concurrently([lambda c=c: fit_forest(c) for c in good])
     preds = [base, hybrid, calib]
