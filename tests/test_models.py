@@ -1,6 +1,5 @@
 """Model and learning-curve structure on the smallest fixture (rows-only queries)."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricelens.functions import columns as fc
-from pricelens.operators import clean, dist, geo, metrics, quality, sampling, split, stats
+from pricelens.operators import clean, dist, metrics, quality, sampling, split, stats
 
 
 def test_currency_parse(spark):
