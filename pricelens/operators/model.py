@@ -94,6 +94,9 @@ def compare_candidates(train: DataFrame, test: DataFrame, numeric: Sequence[str]
     prep = Pipeline(stages=prep_stages(numeric, categorical)).fit(train)
     tr = right_sized(prep.transform(train).select(label, "features"))
     te = prep.transform(test).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    # M3: rows the assembler skipped (still invalid after imputation), reported per run
+    skipped = train.count() - tr.count()
+
     def run(cand: Candidate) -> dict:
         t0 = time.perf_counter()
         model = cand.estimator(label).fit(tr)
@@ -102,7 +105,7 @@ def compare_candidates(train: DataFrame, test: DataFrame, numeric: Sequence[str]
         m = log_model_metrics(model.transform(te), label, "prediction",
                               exact_median=False).first().asDict()
         m.update(model=cand.name, params=json.dumps(cand.params, sort_keys=True),
-                 train_seconds=round(secs, 3))
+                 train_seconds=round(secs, 3), skipped_train_rows=skipped)
         return m
 
     try:
@@ -111,10 +114,12 @@ def compare_candidates(train: DataFrame, test: DataFrame, numeric: Sequence[str]
         tr.unpersist()
         te.unpersist()
     spark = train.sparkSession
-    cols = ["model", "params", "n", "mae", "medae", "mape_pct", "rmse", "r2_log", "train_seconds"]
+    cols = ["model", "params", "n", "mae", "medae", "mape_pct", "rmse", "r2_log", "train_seconds",
+            "skipped_train_rows"]
     res = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows],
                                 "model string, params string, n long, mae double, medae double, "
-                                "mape_pct double, rmse double, r2_log double, train_seconds double")
+                                "mape_pct double, rmse double, r2_log double, train_seconds double, "
+                                "skipped_train_rows long")
     if run_log:
         append_run_log(res, run_log)
     return res.orderBy("mae", "model")

@@ -62,7 +62,7 @@ def _fit(spark: SparkSession, d: str):
 def model_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     rows, _, _ = _fit(spark, d)
     return spark.createDataFrame(rows).select("model", "n", "mae", "medae", "mape_pct", "rmse",
-                                              "r2_log")
+                                              "r2_log", "skipped_train_rows")
 
 
 def score_holdout(spark: SparkSession, d: str) -> DataFrame:
