@@ -178,3 +178,20 @@ def test_huber_irls_resists_outliers():
     y[:10] += 50.0
     w, b, _ = huber_irls(x, y)
     assert abs(w[0] - 3.0) < 0.1 and abs(b - 1.0) < 0.1
+
+
+def test_leak_counts_use_keys_not_pairs(spark):
+    """Duplicate test keys do not inflate the count (semi join, not inner join)."""
+    test = spark.createDataFrame([(1,), (1,), (1,)], "id long")
+    train = spark.createDataFrame([(1,), (2,)], "id long")
+    got = {r.set_name: r.leaked_rows for r in split.leak_counts({"t": train}, test).collect()}
+    assert got == {"t": 1}
+
+
+def test_remove_ids_with_a_hot_key(spark):
+    """A key holding a third of the rows is removed whole, the rest is kept whole."""
+    rows = [(7,)] * 300 + [(i,) for i in range(100, 700)]
+    df = spark.createDataFrame(rows, "id long")
+    ids = spark.createDataFrame([(7,), (150,)], "id long")
+    out = split.remove_ids(df, ids, "id")
+    assert out.count() == 599 and out.where("id = 7").count() == 0
