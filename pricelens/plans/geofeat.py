@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import label_from_name, strength_class
-from ..operators import geo, quality, split, stats
+from ..operators import features, geo, quality, split, stats
 from ..sources import fixtures as fx
 from . import common as C
 from .common import round_doubles as r6
@@ -72,9 +72,10 @@ def corr_target(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_rank(spark: SparkSession, d: str) -> DataFrame:
-    """Distance features ranked by |corr| with strength class and display label."""
-    c = stats.corr_with_target(C.geo_features(spark, d),
-                               C.site_cols() + ["dist_nearest_metro"], "log_price")
+    """Distance features ranked by |corr| with strength class and display label
+    (G4, F15, F16); the candidates are picked by their ``dist_`` name prefix (P7)."""
+    f = C.geo_features(spark, d)
+    c = stats.corr_with_target(f, features.columns_with_prefix(f, "dist_"), "log_price")
     return r6(c.select("feature", "corr", F.abs("corr").alias("abs_corr"),
                        strength_class("corr").alias("strength"),
                        label_from_name(F.col("feature")).alias("label")))
