@@ -45,14 +45,17 @@ def _fit(spark: SparkSession, d: str):
     if d in _FITTED:
         return _FITTED[d]
     gg = global_gold(spark, d)
+    # Feature columns by type after the cleaning cast (every numeric is double by now)
+    numeric = features.columns_of_type(gg, numeric=True, exclude=["log_price", "id"])
+    categorical = features.columns_of_type(gg, numeric=False, exclude=["log_price", "id"])
     sel_test, sel_train = split.hash_split(gg, "id", 20, SELECTION_SEED)
-    board = model.compare_candidates(sel_train, sel_test, GLOBAL_NUMERIC, GLOBAL_CATEGORICAL,
+    board = model.compare_candidates(sel_train, sel_test, numeric, categorical,
                                      model.reference_candidates(C.SEED),
                                      run_log=scratch_path(spark, "pricelens/run_log"))
     rows = board.collect()  # one row per candidate
     best = rows[0]["model"]
     cand = {c.name: c for c in model.reference_candidates(C.SEED)}[best]
-    fitted = model.fit_pipeline(gg, GLOBAL_NUMERIC, GLOBAL_CATEGORICAL, cand)
+    fitted = model.fit_pipeline(gg, numeric, categorical, cand)
     path = scratch_path(spark, f"pricelens/models/global_{abs(hash(d))}")
     model.save_model(fitted, path)
     _FITTED[d] = (rows, best, path)
