@@ -35,3 +35,10 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 3 and set(df.columns) >= {"split_name", "count", "median"}
+
+
+def test_registry_contract():
+    q, o = E.queries(), E.oracle_sql()
+    assert set(o) <= set(q)
+    assert all(callable(f) for f in q.values())
+    assert all(n.isidentifier() and n == n.lower() for n in q)
