@@ -8,8 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, quality, toxicity
 from .decontaminate import decontaminate
-from .util import read_table
+from .fingerprints import fingerprint_documents
+from .mixing import mix_sources
+from .neardup import near_duplicates
+from .pages import extract_pages
+from .sharding import shard
+from .util import held_out, read_table
+from .warc import read_records, write_archives
 
 
 def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +34,74 @@ def contaminated():
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
-QUERIES = {"op1_winnowing": op1_winnowing}
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    names, trees = langid.learn(docs, ~F.col("held_out"))
+    return langid.identify(docs, names, trees, ["doc_id", "held_out"])
+
+
+def op3_invertible_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fingerprint_documents(read_table(spark, sf_dir, "documents"))
+    return prints.withColumnRenamed("doc", "doc_id")
+
+
+def op4_cube_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources(read_table(spark, sf_dir, "documents"))
+    return mix.select(F.col("doc").alias("doc_id"), "size", "source_size", "target",
+                      (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_archives(read_table(spark, sf_dir, "pages"))
+    return read_records(index, payloads=False).select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), F.col("refers").cast("long").alias("refers_to"))
+
+
+def _classified(spark: SparkSession, sf_dir: str, kind, label: str, threshold: float) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    labels = read_table(spark, sf_dir, "labels").where(~held_out())
+    model = kind.fit(docs, labels, label)
+    return kind.score(docs, model, ["doc_id", "held_out"]).withColumn(
+        "predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op7_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, toxicity, "toxic", 0.3)
+
+
+def op9_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, quality, "quality", 0.7)
+
+
+def op6_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return groups.select(F.col("doc").alias("doc_id"), "n_shingles",
+                         F.col("component").alias("component_id"),
+                         F.col("doc").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_pages(read_table(spark, sf_dir, "pages"))
+    return pages.select(F.col("pid").alias("page_id"), "url", "text",
+                        F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(read_table(spark, sf_dir, "documents"))
+
+
+def sharded(docs: DataFrame) -> DataFrame:
+    """Rows of the query and of the last pipeline stage."""
+    return shard(docs).select(
+        F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_winnowing, op2_ppm, op3_invertible_sketch, op4_cube_sampling, op5_warc_index,
+    op6_min_max_hashing, op7_ftrl, op8_site_templates, op9_random_indexing,
+    op10_minimax_shards)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
@@ -52,4 +126,34 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIG
 FROM d LEFT JOIN p USING (r) LEFT JOIN m USING (r)
 """
 
-ORACLE = {"op1_winnowing": _OP1}
+_OP6 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g
+      WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m.b, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = d.doc_id
+"""
+
+_OP5 = r"""
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS d,
+             octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f ON f.d = p.d
+"""
+
+ORACLE = {"op1_winnowing": _OP1, "op5_warc_index": _OP5, "op6_min_max_hashing": _OP6}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,18 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers that are started from now on import this package from where the
+    driver has it, as with PYTHONPATH; where it is installed, this changes nothing."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
