@@ -66,13 +66,16 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) ->
     return F.lit(float(radius_km)) * F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a))
 
 
-def hash_bucket(key, seed: int = 42, buckets: int = 100) -> Column:
-    """Deterministic bucket in [0, buckets) from md5(key || '|' || seed).
+def hash_bucket(key, seed: int = 42, buckets: int = 100, purpose: str = "") -> Column:
+    """Deterministic bucket in [0, buckets) from md5(key || '|' || seed), or from
+    md5(key || '|' || purpose || '|' || seed): buckets drawn for different purposes are
+    independent, so a sample of one side of a split is a sample and not a piece of it.
 
     Independent of partitioning and of row order, and repeatable in any SQL engine
     that has md5 (first 8 hex digits read as an unsigned integer).
     """
-    digest = F.md5(F.concat(_c(key).cast("string"), F.lit(f"|{seed}")))
+    salt = f"|{purpose}|{seed}" if purpose else f"|{seed}"
+    digest = F.md5(F.concat(_c(key).cast("string"), F.lit(salt)))
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets))
 
 

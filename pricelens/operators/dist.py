@@ -153,9 +153,9 @@ def qq_series(df: DataFrame, value: str, points: int = 99) -> DataFrame:
 
 
 def residuals(df: DataFrame, actual: str, pred: str) -> DataFrame:
-    """residual = pred - actual, log residual = log1p(pred) - log1p(actual)."""
-    return df.withColumns({"residual": F.col(pred) - F.col(actual),
-                           "log_residual": F.log1p(F.col(pred)) - F.log1p(F.col(actual))})
+    """residual = actual - pred, log residual = log1p(actual) - log1p(pred)."""
+    return df.withColumns({"residual": F.col(actual) - F.col(pred),
+                           "log_residual": F.log1p(F.col(actual)) - F.log1p(F.col(pred))})
 
 
 def scatter_limit(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -264,7 +264,7 @@ def log_visualizations(predictions: DataFrame, fitted: PipelineModel, transforme
         "importance": feature_importance(fitted, transformed, 10),
         "scatter": sample_then_cap(dollars, key, sample_pct, cap),
         "residuals": histogram(dollars.withColumn(
-            "residual_usd", F.col("predicted_usd") - F.col("actual_usd")),
+            "residual_usd", F.col("actual_usd") - F.col("predicted_usd")),
             {"residual_usd": "residual_usd"}, bins),
     }
     paths = {}

@@ -41,8 +41,9 @@ def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42,
 
 
 def fraction_sample(df: DataFrame, key: str, pct: int, seed: int = 42) -> DataFrame:
-    """Bernoulli-like sample of ``pct`` % by hash bucket (no shuffle)."""
-    return df.where(hash_bucket(F.col(key), seed) < pct)
+    """Bernoulli-like sample of ``pct`` % by hash bucket (no shuffle). The bucket has a salt
+    of its own: any side of a hash split is sampled at the same rate."""
+    return df.where(hash_bucket(F.col(key), seed, purpose="sample") < pct)
 
 
 def sample_then_cap(df: DataFrame, key: str, pct: int, cap: int, seed: int = 42) -> DataFrame:
@@ -84,4 +85,5 @@ def block_sample(df: DataFrame, group: str, block_size: int, r: int, seed: int =
 
 
 def in_groups(df: DataFrame, group: str, values: Sequence) -> DataFrame:
+    """Rows whose group is one of a short literal list."""
     return df.where(F.col(group).isin(list(values)))

@@ -57,8 +57,9 @@ def sql_round_half_up(expr: str, digits: int) -> str:
             "AS DOUBLE)")
 
 
-def sql_bucket(key: str, seed: int = SEED) -> str:
-    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), 1, 8))::BIGINT % 100)"
+def sql_bucket(key: str, seed: int = SEED, purpose: str = "") -> str:
+    salt = f"{purpose}|{seed}" if purpose else seed
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 8))::BIGINT % 100)"
 
 
 SQL_PARSE = sql_round_half_up(

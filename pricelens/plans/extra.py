@@ -61,7 +61,7 @@ _STUDY = (("study", C.SQL_STUDY),)
 ORACLE = {
     "scatter_sample": fx.with_ctes(f"""
         SELECT id, round(price_local, 6) AS price_local, round(price_global, 6) AS price_global
-        FROM study WHERE {C.sql_bucket('id')} < {SCATTER_PCT}
+        FROM study WHERE {C.sql_bucket('id', purpose='sample')} < {SCATTER_PCT}
         ORDER BY md5(CAST(id AS VARCHAR) || '|42'), id LIMIT {SCATTER_CAP}""", "two_source",
                                    extra=_STUDY),
     "scatter_limit": fx.with_ctes(

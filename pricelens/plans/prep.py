@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import features, metrics, sampling
+from ..operators import features, metrics, sampling, split
 from ..operators.features import (GLOBAL_CATEGORICAL, GLOBAL_NUMERIC, LOCAL_LOCATION,
                                   LOCAL_TO_GLOBAL, SHARED_AMENITIES, amenity_column)
 from ..sources import fixtures as fx
@@ -15,6 +15,7 @@ from .study import _SCORED, scored
 
 SAMPLE_N = 500
 SAMPLE_PCT, SAMPLE_CAP = 30, 200
+SPLIT_PCT = 5
 BLOCK_SIZE, BLOCKS_CHOSEN = 3, 4
 
 
@@ -62,7 +63,16 @@ def error_metrics_dollar(spark: SparkSession, d: str) -> DataFrame:
     return r6(metrics.dollar_metrics(scored(spark, d), "log_price", "pred_log", ["grp"]))
 
 
+def split_sample(spark: SparkSession, d: str) -> DataFrame:
+    """A 5 % sample of either side of the hold-out split (T5 on split input)."""
+    test, train = split.hash_split(fx.points(spark, d), "id", C.TEST_PCT, C.SEED)
+    parts = [sampling.fraction_sample(s, "id", SPLIT_PCT, C.SEED).select(
+        F.lit(side).alias("side"), "id") for side, s in (("test", test), ("train", train))]
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES = {
+    "split_sample": split_sample,
     "adapt_schema": adapt_schema,
     "clean_cast": clean_cast,
     "amenity_count": amenity_count,
@@ -99,6 +109,9 @@ def _cast(c: str) -> str:
 _MD5_KEY = "md5(CAST({k} AS VARCHAR) || '|42')"
 
 ORACLE = {
+    "split_sample": fx.with_ctes(f"""
+        SELECT CASE WHEN {C.sql_bucket('id')} < {C.TEST_PCT} THEN 'test' ELSE 'train' END AS side, id
+        FROM points WHERE {C.sql_bucket('id', purpose='sample')} < {SPLIT_PCT}""", "points"),
     "adapt_schema": fx.with_ctes(
         "SELECT id, " + ", ".join(f"{C.sql_round_half_up(_q(k), 6)} AS {_q(k)}" if k in _DOUBLES
                                   else _q(k) for k in LOCAL_TO_GLOBAL)
@@ -126,7 +139,7 @@ ORACLE = {
     "sample_cap": fx.with_ctes(f"""
         SELECT id, grp, round(lat, 6) AS lat, round(lon, 6) AS lon,
                round(log_price, 6) AS log_price
-        FROM points WHERE {C.sql_bucket('id')} < {SAMPLE_PCT}
+        FROM points WHERE {C.sql_bucket('id', purpose='sample')} < {SAMPLE_PCT}
         ORDER BY {_MD5_KEY.format(k='id')}, id LIMIT {SAMPLE_CAP}""", "points"),
     "group_blocks": fx.with_ctes(f"""
         SELECT grp, position, CAST(floor(position / {BLOCK_SIZE}) AS INTEGER) AS block FROM (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import similarity_class, skew_class
 from ..functions import columns as fcol
-from ..operators import dist, stats
+from ..operators import dist, sampling, stats
 from ..sources import fixtures as fx
 from . import common as C
 from .common import round_doubles as r6
@@ -15,6 +15,7 @@ from .common import round_doubles as r6
 BINS = 50
 KDE_POINTS = 100
 QQ_POINTS = 99
+RESIDUAL_PCT, RESIDUAL_CAP = 25, 400
 
 
 def moment_table(spark: SparkSession, d: str) -> DataFrame:
@@ -82,12 +83,30 @@ def qq_series(spark: SparkSession, d: str) -> DataFrame:
 
 
 def residual_series(spark: SparkSession, d: str) -> DataFrame:
-    """Residual summary of a scored table (pred - actual): A5 stats + mean residual."""
-    sc = scored(spark, d)
-    r = dist.residuals(sc, "price", "pred_price")
+    """Residual summary of a scored table (actual - predicted, dollars and log): A5 stats."""
+    r = dist.residuals(scored(spark, d), "price", "pred_price")
     return stats.summary_stats(r, "residual", digits=2)
 
 
+def log_residual_series(spark: SparkSession, d: str) -> DataFrame:
+    """Summary of the log residuals of the scored table."""
+    r = dist.residuals(scored(spark, d), "price", "pred_price")
+    return stats.summary_stats(r, "log_residual", digits=2)
+
+
+def residual_qq(spark: SparkSession, d: str) -> DataFrame:
+    """Normal Q-Q series of the residuals."""
+    r = dist.residuals(scored(spark, d), "price", "pred_price")
+    return r6(dist.qq_series(r, "residual", QQ_POINTS))
+
+
+def residual_vs_predicted(spark: SparkSession, d: str) -> DataFrame:
+    """Residual against prediction, a hash sample of the scored table."""
+    r = dist.residuals(scored(spark, d), "price", "pred_price")
+    return r6(sampling.sample_then_cap(r, "id", RESIDUAL_PCT, RESIDUAL_CAP, C.SEED).select(
+        "id", "pred_price", "residual", "log_residual"))
+
+
 def residual_histogram(spark: SparkSession, d: str) -> DataFrame:
     sc = scored(spark, d)
     r = dist.residuals(sc, "price", "pred_price")
@@ -116,6 +135,9 @@ QUERIES = {
     "qq_series": qq_series,
     "residual_series": residual_series,
     "residual_histogram": residual_histogram,
+    "log_residual_series": log_residual_series,
+    "residual_qq": residual_qq,
+    "residual_vs_predicted": residual_vs_predicted,
 }
 
 # ------------------------------------------------------------------ DuckDB oracle
@@ -178,6 +200,32 @@ _SCORED = """
 
 _QQ_PROBS = [k / (QQ_POINTS + 1) for k in range(1, QQ_POINTS + 1)]
 
+
+
+def _sql_qq(value: str, table: str) -> str:
+    return f"""
+        WITH q AS (SELECT unnest({_QQ_PROBS!r}) AS prob,
+                          unnest(quantile_cont({value}, {_QQ_PROBS!r})) AS sample_q FROM {table}),
+        t AS (SELECT prob, sample_q, {_sql_inverse_normal('prob')} AS theoretical_q FROM q),
+        fit AS (SELECT regr_slope(sample_q, theoretical_q) AS slope,
+                       regr_intercept(sample_q, theoretical_q) AS intercept,
+                       corr(sample_q, theoretical_q) AS r FROM t)
+        SELECT round(CAST(prob AS DOUBLE), 6) AS prob, round(sample_q, 6) AS sample_q,
+               round(theoretical_q, 6) AS theoretical_q, round(slope, 6) AS slope,
+               round(intercept, 6) AS intercept, round(r, 6) AS r,
+               round(intercept + slope * theoretical_q, 6) AS fit_q
+        FROM t, fit"""
+
+
+def _sql_summary(values: str) -> str:
+    return f"""
+        SELECT count(v) AS count, {_R2('min(v)')} AS min, {_R2('quantile_cont(v, 0.25)')} AS q1,
+               {_R2('quantile_cont(v, 0.5)')} AS median, {_R2('avg(v)')} AS mean,
+               {_R2('quantile_cont(v, 0.75)')} AS q3, {_R2('max(v)')} AS max,
+               {_R2('stddev_samp(v)')} AS std
+        FROM ({values})"""
+
+
 ORACLE = {
     "moment_table": _study_sql(f"""
         SELECT series, count(value) AS count, round(avg(value), 6) AS mean,
@@ -247,26 +295,21 @@ ORACLE = {
                count_if(NOT (value BETWEEN lower_fence AND upper_fence)) AS outliers
         FROM f JOIN lf ON f.series = lf.series
         GROUP BY f.series, q1, median, q3, iqr, lower_fence, upper_fence"""),
-    "qq_series": _study_sql(f"""
-        WITH q AS (SELECT unnest({_QQ_PROBS!r}) AS prob,
-                          unnest(quantile_cont(price_diff, {_QQ_PROBS!r})) AS sample_q FROM study),
-        t AS (SELECT prob, sample_q, {_sql_inverse_normal('prob')} AS theoretical_q FROM q),
-        fit AS (SELECT regr_slope(sample_q, theoretical_q) AS slope,
-                       regr_intercept(sample_q, theoretical_q) AS intercept,
-                       corr(sample_q, theoretical_q) AS r FROM t)
-        SELECT round(CAST(prob AS DOUBLE), 6) AS prob, round(sample_q, 6) AS sample_q,
-               round(theoretical_q, 6) AS theoretical_q, round(slope, 6) AS slope,
-               round(intercept, 6) AS intercept, round(r, 6) AS r,
-               round(intercept + slope * theoretical_q, 6) AS fit_q
-        FROM t, fit"""),
-    "residual_series": fx.with_ctes(f"""
-        SELECT count(v) AS count, {_R2('min(v)')} AS min, {_R2('quantile_cont(v, 0.25)')} AS q1,
-               {_R2('quantile_cont(v, 0.5)')} AS median, {_R2('avg(v)')} AS mean,
-               {_R2('quantile_cont(v, 0.75)')} AS q3, {_R2('max(v)')} AS max,
-               {_R2('stddev_samp(v)')} AS std
-        FROM (SELECT pred_price - price AS v FROM scored)""", "points",
-                                    extra=(("scored", _SCORED),)),
+    "qq_series": _study_sql(_sql_qq("price_diff", "study")),
+    "residual_qq": fx.with_ctes(_sql_qq("price - pred_price", "scored"), "points",
+                                extra=(("scored", _SCORED),)),
+    "log_residual_series": fx.with_ctes(_sql_summary(
+        "SELECT ln(1 + price) - ln(1 + pred_price) AS v FROM scored"), "points",
+        extra=(("scored", _SCORED),)),
+    "residual_vs_predicted": fx.with_ctes(f"""
+        SELECT id, round(pred_price, 6) AS pred_price, round(price - pred_price, 6) AS residual,
+               round(ln(1 + price) - ln(1 + pred_price), 6) AS log_residual
+        FROM scored WHERE {C.sql_bucket('id', purpose='sample')} < {RESIDUAL_PCT}
+        ORDER BY md5(CAST(id AS VARCHAR) || '|{C.SEED}'), id LIMIT {RESIDUAL_CAP}""", "points",
+                                          extra=(("scored", _SCORED),)),
+    "residual_series": fx.with_ctes(_sql_summary("SELECT price - pred_price AS v FROM scored"),
+                                    "points", extra=(("scored", _SCORED),)),
     "residual_histogram": fx.with_ctes(_sql_histogram(
-        "SELECT 'residual' AS series, pred_price - price AS value FROM scored", False),
+        "SELECT 'residual' AS series, price - pred_price AS value FROM scored", False),
         "points", extra=(("scored", _SCORED),)),
 }

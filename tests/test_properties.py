@@ -44,9 +44,9 @@ def test_remove_ids_bucket_shortcut_equals_plain_anti_join(spark):
 def test_nearest_equals_brute_force(spark):
     pts = fx.points(spark, SF001)
     sts = fx.stations(spark, SF001)
-    # a deliberately tiny first cell forces several grid levels
+    # few regions, so that every one holds several stations
     grid = {r.id: (r.station_id, r.dist_km)
-            for r in geo.nearest_neighbour(pts, sts, cell_deg=0.002).collect()}
+            for r in geo.nearest_neighbour(pts, sts, leaves=4).collect()}
     brute = {r.id: (r.station_id, r.dist_km) for r in brute_force_nearest(pts, sts).collect()}
     assert grid.keys() == brute.keys()
     for k, (sid, d) in brute.items():
@@ -108,8 +108,7 @@ def test_kde_2d_binned_close_to_exact(spark):
 
 
 def test_nearest_with_a_hot_station_cluster(spark):
-    """A third of the stations piled into one spot (some exactly co-located): the grid
-    is sized by the densest cell and the answer still equals brute force."""
+    """A third of the stations piled into one spot (some exactly co-located)."""
     pts = fx.points(spark, SF001)
     sts = fx.stations(spark, SF001)
     pile = sts.select((F.col("station_id") + 100000).alias("station_id"),
@@ -122,3 +121,39 @@ def test_nearest_with_a_hot_station_cluster(spark):
     assert grid.keys() == brute.keys()
     for k, (sid, d) in brute.items():
         assert grid[k][0] == sid and abs(grid[k][1] - d) < 1e-9
+
+
+def test_nearest_with_300_close_stations_far_points_and_the_date_line(spark):
+    """Regions follow the stations' density, so a dense cluster costs far points nothing."""
+    pts = fx.points(spark, SF001).select("id", "lat", "lon")
+    cluster = [(i, 48.85 + (i % 20) * 1e-6, 2.35 + (i // 20) * 1e-6) for i in range(300)]
+    extra = [(90001, -17.0, 179.999), (90002, 89.99, 10.0), (90003, 48.85, 2.3500071)]
+    sts = spark.createDataFrame(cluster + [(1000, -17.0, -179.999), (1001, 89.99, -170.0)],
+                                "station_id long, lat double, lon double")
+    pts = pts.unionByName(spark.createDataFrame(extra, "id long, lat double, lon double"))
+    for leaves in (8, 4096):
+        got = {r.id: (r.station_id, r.dist_km)
+               for r in geo.nearest_neighbour(pts, sts, leaves=leaves).collect()}
+        brute = {r.id: (r.station_id, r.dist_km) for r in brute_force_nearest(pts, sts).collect()}
+        assert got.keys() == brute.keys()
+        assert all(abs(got[k][1] - d) < 1e-9 for k, (_, d) in brute.items())
+
+
+def test_nearest_drops_nan_like_null_and_keeps_rows_of_a_repeated_id(spark):
+    nan = float("nan")
+    pts = spark.createDataFrame([(1, 1.0, 1.0), (1, 5.0, 5.0), (2, 1.0, 1.0), (2, 1.0, 1.0),
+                                 (3, nan, 1.0), (4, None, 1.0)], "id long, lat double, lon double")
+    sts = spark.createDataFrame([(7, 1.0, 1.1), (8, 5.0, 5.1), (9, nan, 0.0), (10, None, None)],
+                                "station_id long, lat double, lon double")
+    got = sorted((r.id, r.station_id) for r in geo.nearest_neighbour(pts, sts).collect())
+    assert got == [(1, 7), (1, 8), (2, 7), (2, 7)]
+    assert geo.nearest_neighbour(pts, sts.where("station_id > 8")).count() == 0
+    assert geo.nearest_neighbour(pts.where("id > 2"), sts).count() == 0
+
+
+def test_samples_of_both_sides_of_a_split_have_the_asked_rate(spark):
+    from pricelens.operators import sampling
+    test, train = split.hash_split(spark.range(100_000), "id", 20, 42)
+    for side in (test, train):
+        share = sampling.fraction_sample(side, "id", 5).count() / side.count()
+        assert 0.045 < share < 0.055
