@@ -3,16 +3,17 @@
 Each hash function gives a document two signature values, the smallest and the largest hash
 of its shingles; both agree between two sets with a probability equal to their similarity,
 so half the evaluations fill the same signature. ``ROWS`` minima (or maxima) of different
-functions make a band. At the linking threshold of 0.85 a pair misses all 24 bands with
-probability 2e-8.
+functions make a band. At the linking threshold of 0.85 a pair misses all 40 bands with
+probability 6e-9. Two bits of every signature value make a sketch; pairs of larger sets
+whose sketches put their similarity under ``LEAST_ESTIMATE`` (6 standard deviations below
+the threshold) are not fetched for the comparison of full sets.
 
 Documents with the same set form one class, compared once. Within a bucket of a band,
 classes are first compared with the bucket's smallest class only (a star, so a bucket of n
-classes makes n pairs). Buckets whose classes all ended in one component are done. The rest
-go on: small ones compare the classes of different components directly, large ones are
-split by pairs of shared bands and then compared with further classes, some at a time,
-until no bucket holds two components with classes not yet compared. Every link is confirmed
-on full sets of 64-bit shingle hashes, so buckets have no cap and drop no pair.
+classes makes n pairs). Buckets whose classes all ended in one component are done. In the
+rest, classes of different components meet in blocks of ``BLOCK`` classes, in a join whose
+condition tests sizes and sketches; what passes is kept once, in the first bucket the two
+share. Buckets have no cap. Every link is confirmed on full sets of 64-bit shingle hashes.
 
 Defined cases: a text of 1 to 4 words is one shingle; null, empty or blank texts have the
 empty set, link with nothing and are their own component; repeated rows are equal sets;
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -33,11 +34,12 @@ from .components import components
 from .util import join_rows, materialise, text_key
 
 SHINGLE = 5
-ROWS = 4
-GROUPS = 12                     # of ROWS hash functions each, a minimum and a maximum band
+ROWS = 6
+GROUPS = 20                     # of ROWS hash functions each, a minimum and a maximum band
 PERCENT = 85
-SMALL_BUCKET = 40               # classes; up to here a bucket's open pairs are listed
-STARS = 8                       # classes that a large bucket is compared with in one round
+LEAST_ESTIMATE = 0.66
+SURE_SIZE = 30                  # sets smaller than this are always compared in full
+BLOCK = 256                     # classes of a bucket that meet in one task
 
 
 def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,39 +61,46 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> lis
     return out
 
 
-def _bands(sets: list[np.ndarray], rows: int, groups: int) -> np.ndarray:
-    """documents x (2 * groups) band hashes; every set has a member."""
+def _bands(sets: list[np.ndarray], rows: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """documents x (2 * groups) band hashes, and documents x words of the two lowest bits of
+    all signature values; every set has a member."""
     u = np.concatenate(sets)
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     a, b = _functions(rows * groups)
     out = np.zeros((len(sets), 2 * groups), np.uint64)
+    bits = np.zeros((len(sets), -(-4 * rows * groups // 64)), np.uint64)
     for f in range(rows * groups):
         v = u * a[f]
         v += b[f]
         for side, pick in enumerate((np.minimum, np.maximum)):
+            value = T.mix(pick.reduceat(v, at))
             col = 2 * (f // rows) + side
-            out[:, col] = T.mix(out[:, col] * np.uint64(31) + pick.reduceat(v, at)
-                                + np.uint64(col))
-    return out
+            out[:, col] = T.mix(out[:, col] * np.uint64(31) + value + np.uint64(col))
+            word, shift = divmod(4 * f + 2 * side, 64)
+            bits[:, word] |= (value & np.uint64(3)) << np.uint64(shift)
+    return out, bits
 
 
 def _signatures(rows: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, cls, bands = [], [], []
+            sizes, cls, bands, sketch = [], [], [], []
             for _, _, data, off in T.doc_chunks(b.column("text")):
                 sets = shingle_sets(data, off)
                 full = [s for s in sets if len(s)]
-                sig = iter(_bands(full, rows, groups).view(np.int64)) if full else iter(())
+                got = _bands(full, rows, groups) if full else ((), ())
+                sig = iter([x.view(np.int64) for pair in zip(*got) for x in pair])
                 for s in sets:
                     sizes.append(len(s))
                     cls.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                                if len(s) else None)
                     bands.append(next(sig) if len(s) else None)
+                    sketch.append(next(sig) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc"), b.column("tkey"), pa.array(sizes, pa.int64()),
-                 pa.array(cls, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc", "tkey", "n_shingles", "cls", "bands"])
+                 pa.array(cls, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+                 pa.array(sketch, pa.list_(pa.int64()))],
+                names=["doc", "tkey", "n_shingles", "cls", "bands", "sketch"])
     return run
 
 
@@ -104,110 +113,107 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                           pa.list_(pa.int64()))], names=["cls", "shingles"])
 
 
+def _possible(na: Column, nb: Column, ka: list[Column], kb: list[Column], percent: int) -> Column:
+    """Whether sizes and sketches leave room for a link. Set sizes are exact bounds."""
+    differ = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(ka, kb)), F.lit(0))
+    estimate = 1 - 2 * differ / F.lit(64.0 * len(ka))
+    return ((100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+            & ((F.least(na, nb) < SURE_SIZE) | (estimate >= LEAST_ESTIMATE)))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough. Sizes alone rule out most of the
-    pairs that cannot be, before any set is fetched."""
-    size = sets.select("cls", F.size("shingles").alias("n"))
-    near = (pairs.join(size.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a")
-            .join(size.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
-            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    both = (near.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
+    """Pairs (a, b) whose full sets are similar enough."""
+    both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return (both.withColumn("c", common)
-            .where(100 * F.col("c") >= percent * (F.col("na") + F.col("nb") - F.col("c")))
-            .select("a", "b"))
+    return (both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("c"),
+                        (F.size("sa") + F.size("sb")).alias("n"))
+            .where(100 * F.col("c") >= percent * (F.col("n") - F.col("c"))).select("a", "b"))
+
 
+def _star_pairs(buckets: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """Possible links between the smallest class of each bucket and its other classes."""
+    stars = buckets.where("cls != rep").select(F.col("rep").alias("a"), F.col("cls").alias("b")).distinct()
+    words = [c for c in light.columns if c.startswith("k")]
+    side = lambda x: light.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"),
+                                  *[F.col(k).alias(f"{x}{k}") for k in words])
+    both = stars.join(side("a"), "a").join(side("b"), "b")
+    return both.where(_possible(F.col("na"), F.col("nb"), [F.col(f"a{k}") for k in words],
+                                [F.col(f"b{k}") for k in words], percent)).select("a", "b")
 
-def _stars(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs with the smallest class of each bucket, and the buckets without it."""
-    reps = buckets.groupBy("key").agg(F.min("cls").alias("a"))
-    rest = buckets.join(reps, "key").where("cls != a")
-    return rest.select("a", F.col("cls").alias("b")), rest.select("key", "cls")
 
+def _open_pairs(buckets: DataFrame, labels: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """Possible links between classes of different components that share a bucket.
 
-def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (key, cls, comp) of the buckets that still hold two components."""
+    The classes of an open bucket are dealt to blocks; each pair of blocks is a join key of
+    its own, so a bucket of any size is spread over tasks of bounded work."""
     known = buckets.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
         "key", "cls", F.coalesce("label", "cls").alias("comp"))
     live = (known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                      F.count("*").alias("n"))
-            .where("lo != hi").select("key", "n"))
-    return known.join(live, "key")
-
-
-def _split(buckets: DataFrame) -> DataFrame:
-    """Large buckets, cut by a second band that the classes share: two linked classes share
-    about half of all bands (one band only: probability 5e-7)."""
-    keys = buckets.groupBy("cls").agg(F.array_sort(F.collect_set("key")).alias("ks"),
-                                      F.first("comp").alias("comp"))
-    two = keys.select("cls", "comp", F.explode(F.expr(
-        "flatten(transform(ks, (x, i) -> transform(slice(ks, i + 2, size(ks)),"
-        " y -> xxhash64(x, y))))")).alias("key"))
-    live = (two.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where("lo != hi").select("key"))
-    return two.join(live, "key").select("key", "cls")
+            .where("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    members = materialise(known.join(live, "key"), "dup-open")
+    keys = members.groupBy("cls").agg(F.collect_set("key").alias("keys"))
+    words = [c for c in light.columns if c.startswith("k")]
+    full = (members.withColumn("at", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+            .join(keys, "cls").join(light.select("cls", "n", *words), "cls"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    left = full.select("*", F.explode(F.filter(every, lambda j: j >= F.col("at"))).alias("to")).alias("x")
+    right = full.select("*", F.explode(F.filter(every, lambda j: j <= F.col("at"))).alias("from")).alias("y")
+    x, y = lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")
+    once = (x("at") != y("at")) | (x("cls") < y("cls"))
+    first = F.array_min(F.array_intersect(x("keys"), y("keys"))) == x("key")
+    return left.join(right, (x("key") == y("key")) & (x("at") == y("from")) & (x("to") == y("at"))
+                     & once & (x("comp") != y("comp"))
+                     & _possible(x("n"), y("n"), [x(k) for k in words], [y(k) for k in words], percent)
+                     & first).select(x("cls").alias("a"), y("cls").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     percent: int = PERCENT, rows: int = ROWS, groups: int = GROUPS) -> DataFrame:
     """Per document row: doc, tkey, n_shingles, component (smallest id of the documents it
-    is linked with, directly or through others; its own id if with none)."""
+    is linked with, directly or through others; its own id if with none) and group (a digest
+    that all rows of a component share; null without words)."""
     src = docs.select(F.col(doc_id).alias("doc"), text_key(text).alias("tkey"),
                       F.col(text).alias("text"))
     kind = src.schema["doc"].dataType.simpleString()
     sig = materialise(src.mapInArrow(
         _signatures(rows, groups),
-        f"doc {kind}, tkey long, n_shingles long, cls binary, bands array<long>"), "dup-sig")
+        f"doc {kind}, tkey long, n_shingles long, cls binary, bands array<long>, "
+        "sketch array<long>"), "dup-sig")
     classes = materialise(
         sig.where(F.col("cls").isNotNull()).groupBy("cls")
         .agg(F.min("doc").alias("first"), F.min(F.struct("doc", "tkey")).alias("row"),
-             F.first("bands").alias("bands")), "dup-classes")
+             F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+             F.first("n_shingles").alias("n")), "dup-classes")
 
     member = classes.select("cls", F.explode("bands").alias("key"))
     reps = (member.groupBy("key").agg(F.min("cls").alias("rep"), F.count("*").alias("n"))
             .where("n > 1").select("key", "rep"))
     buckets = materialise(member.join(reps, "key").select("key", "cls", "rep"), "dup-buckets")
-    stars = buckets.where("cls != rep").select(F.col("rep").alias("a"), F.col("cls").alias("b"))
-
     # the full sets of the classes that share a bucket with another
-    wanted = (buckets.select("cls").distinct().join(classes, "cls")
-              .select("cls", F.col("row.doc").alias("doc"), F.col("row.tkey").alias("tkey")))
-    sets = materialise(join_rows(src, wanted,
-                                 ["doc", "tkey"]).select("cls", "text")
+    count = -(-4 * rows * groups // 64)
+    light = materialise(buckets.select("cls").distinct().join(classes, "cls").select(
+        "cls", "n", "row", *[F.element_at("sketch", i + 1).alias(f"k{i}") for i in range(count)]),
+        "dup-light")
+    wanted = light.select("cls", F.col("row.doc").alias("doc"), F.col("row.tkey").alias("tkey"))
+    sets = materialise(join_rows(src, wanted, ["doc", "tkey"]).select("cls", "text")
                        .mapInArrow(_sets, "cls binary, shingles array<long>")
                        .dropDuplicates(["cls"]), "dup-sets")
 
-    links = materialise(_verify(stars.distinct(), sets, percent), "dup-links")
+    links = materialise(_verify(_star_pairs(buckets, light, percent), sets, percent), "dup-links")
     labels = components(links)
-    state = materialise(_open(buckets.where("cls != rep").select("key", "cls"), labels), "dup-open")
-    first = True
-    while not state.isEmpty():
-        small, large = state.where(F.col("n") <= SMALL_BUCKET), state.where(F.col("n") > SMALL_BUCKET)
-        x, y = small.alias("x"), small.alias("y")
-        pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls"))
-                        & (F.col("x.comp") != F.col("y.comp")))
-                 .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")))
-        if first:
-            rest = _split(large)
-        else:
-            rest = large.select("key", "cls")
-            for _ in range(STARS):
-                more, rest = _stars(rest)
-                pairs = pairs.union(more)
-        rest = materialise(rest, "dup-rest")
-        found = _verify(pairs.distinct(), sets, percent)
-        links = materialise(links.union(found), "dup-links")
-        labels = components(links)
-        state = materialise(_open(rest, labels), "dup-open")
-        first = False
+    rest = buckets.where("cls != rep").select("key", "cls")   # a star has met all others
+    more = materialise(_verify(_open_pairs(rest, labels, light, percent), sets, percent), "dup-links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
 
     firsts = (labels.join(classes.select(F.col("cls").alias("node"), "first"), "node"))
     roots = firsts.groupBy("label").agg(F.min("first").alias("root"))
-    linked = firsts.join(roots, "label").select(F.col("node").alias("cls"), "root")
+    linked = firsts.join(roots, "label").select(F.col("node").alias("cls"), "root", "label")
     owner = classes.join(linked, "cls", "left").select(
-        "cls", F.coalesce("root", "first").alias("component"))
+        "cls", F.when(F.col("label").isNull(), F.col("first")).otherwise(F.col("root")).alias("component"),
+        F.coalesce("label", "cls").alias("group"))
     return (sig.select("doc", "tkey", "n_shingles", "cls").join(owner, "cls", "left")
-            .select("doc", "tkey", "n_shingles",
+            .select("doc", "tkey", "n_shingles", "group",
                     F.when(F.col("cls").isNull(), F.col("doc")).otherwise(F.col("component"))
                     .alias("component")))
