@@ -189,11 +189,12 @@ def _predict(names: list[str], model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = model.value
         for b in batches:
+            rest = [c for c in b.schema.names if c not in ("_text", "_letters")]
             lang = np.full(b.num_rows, "und", object)
             score, rate = np.zeros(b.num_rows), np.zeros(b.num_rows)
-            letters = b.column("letters").to_numpy(zero_copy_only=False)
+            letters = b.column("_letters").to_numpy(zero_copy_only=False)
             if names:
-                for i, j, data, off in T.doc_chunks(b.column("text")):
+                for i, j, data, off in T.doc_chunks(b.column("_text")):
                     bits = trees.code_lengths(data, off)
                     best = bits.argmin(axis=1)
                     low = bits.min(axis=1)
@@ -203,10 +204,8 @@ def _predict(names: list[str], model):
                     score[i:j] = np.where(ok, share, 0)
                     rate[i:j] = np.where(ok, low / np.maximum(np.diff(off), 1), 0)
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in b.schema.names if c not in ("text", "letters")),
-                 pa.array(lang, pa.string()), pa.array(score), pa.array(rate)],
-                names=[*(c for c in b.schema.names if c not in ("text", "letters")),
-                       "lang_pred", "score", "bits_per_byte"])
+                [*(b.column(c) for c in rest), pa.array(lang, pa.string()), pa.array(score),
+                 pa.array(rate)], names=[*rest, "lang_pred", "score", "bits_per_byte"])
     return run
 
 
@@ -215,8 +214,8 @@ def identify(docs: DataFrame, names: list[str], trees: Trees, keep: list[str],
     """``keep`` columns, lang_pred, score and bits_per_byte of every row; only the text is
     looked at."""
     model = docs.sparkSession.sparkContext.broadcast(trees)
-    rows = docs.select(*keep, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
-                       F.col(text).alias("text"))
+    rows = docs.select(*keep, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"),
+                       F.col(text).alias("_text"))
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(_predict(names, model),
                            f"{kept}, lang_pred string, score double, bits_per_byte double")

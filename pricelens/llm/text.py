@@ -54,6 +54,12 @@ class Words:
     ends: np.ndarray
     bounds: np.ndarray
     hashes: np.ndarray    # uint64
+    sums: np.ndarray      # running polynomial sum of the bytes
+
+    def prefix_hashes(self, which: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the first ``length`` bytes of the words ``which``."""
+        s = self.starts[which]
+        return mix((self.sums[s + length] - self.sums[s]) * _powers(_P_INV, len(self.sums))[s])
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
@@ -96,7 +102,7 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = ALNUM) -> Wo
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _powers(_P, n), out=prefix[1:])
     h = (prefix[ends] - prefix[starts]) * _powers(_P_INV, n + 1)[starts]
-    return Words(low, starts, ends, np.searchsorted(starts, offsets), mix(h))
+    return Words(low, starts, ends, np.searchsorted(starts, offsets), mix(h), prefix)
 
 
 def grams(hashes: np.ndarray, offsets: tuple[int, ...] | int, salt: int = 0) -> np.ndarray:

@@ -1,7 +1,9 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-A document's features are the distinct hashes of its words, word pairs, and pairs with one
-or two words between. FTRL-proximal keeps, per coordinate, a gradient sum and a sum of
+A document's features are the distinct hashes of its words, word pairs, pairs with one or
+two words between, and the first ``STEMS`` bytes of longer words (inflected and compound
+forms share them). A feature's value is its rate among the document's words, scaled and cut
+at 1, so a long document does not collect weight from words it uses once. FTRL-proximal keeps, per coordinate, a gradient sum and a sum of
 squares: rates adapt to each feature and an L1 threshold leaves most weights exactly zero,
 so the model that is broadcast is a short list of (feature, weight).
 
@@ -30,39 +32,51 @@ BITS = 20
 SAMPLE = 24_000
 SHARDS = 8
 EPOCHS = 2
-ALPHA, BETA, L1, L2 = 0.08, 1.0, 1.5, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.4, 0.1
 SHAPES = ((0,), (0, 1), (0, 2), (0, 3))
+STEMS = (4, 5, 6, 7)
+RATE = 40.0
 
 
 def word_features(w: T.Words, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(feature, document) arrays of each n-gram and skip-gram shape."""
+    """(feature, document) arrays of the occurrences of each kind of feature."""
     doc = np.repeat(np.arange(len(w.bounds) - 1), np.diff(w.bounds))
+    top = np.uint64(64 - bits)
     out = []
     for salt, shape in enumerate(SHAPES):
-        g = T.grams(w.hashes, shape, salt=100 + salt)
-        f = (g >> np.uint64(64 - bits)).astype(np.int32)
+        f = (T.grams(w.hashes, shape, salt=100 + salt) >> top).astype(np.int32)
         same = doc[:len(f)] == doc[shape[-1]:shape[-1] + len(f)]
         out.append((f[same], doc[:len(f)][same]))
+    for length in STEMS:
+        long = np.flatnonzero(w.ends - w.starts > length)
+        out.append(((T.mix(w.prefix_hashes(long, length) + np.uint64(200 + length)) >> top)
+                    .astype(np.int32), doc[long]))
     return out
 
 
-def _distinct(parts: list[tuple[np.ndarray, np.ndarray]], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and documents of all shapes, each feature once per document, by document."""
-    key = np.unique(np.concatenate([(d.astype(np.int64) << bits) | f for f, d in parts]))
-    return (key & ((1 << bits) - 1)).astype(np.int32), (key >> bits).astype(np.int64)
+def _values(parts: list[tuple[np.ndarray, np.ndarray]], n_words: np.ndarray, bits: int
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, document, value), each feature once per document, by document."""
+    key, n = np.unique(np.concatenate([(d.astype(np.int64) << bits) | f for f, d in parts]),
+                       return_counts=True)
+    doc = (key >> bits).astype(np.int64)
+    return ((key & ((1 << bits) - 1)).astype(np.int32), doc,
+            np.minimum(1.0, RATE * n / n_words[doc]))
 
 
 def _featurise(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, off in T.doc_chunks(b.column("text")):
-                f, d = _distinct(word_features(T.words(data, off), bits), bits)
+                w = T.words(data, off)
+                f, d, x = _values(word_features(w, bits), np.diff(w.bounds), bits)
                 at = np.searchsorted(d, np.arange(j - i + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("label").slice(i, j - i), b.column("shard").slice(i, j - i),
                      b.column("tie").slice(i, j - i),
-                     pa.ListArray.from_arrays(pa.array(at), pa.array(f))],
-                    names=["label", "shard", "tie", "features"])
+                     pa.ListArray.from_arrays(pa.array(at), pa.array(f)),
+                     pa.ListArray.from_arrays(pa.array(at), pa.array(x.astype(np.float32)))],
+                    names=["label", "shard", "tie", "features", "xs"])
     return run
 
 
@@ -71,21 +85,22 @@ def _ftrl(bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: floa
         rows = rows.sort_values(["tie", "label"], kind="stable")
         z, n = np.zeros(1 << bits), np.zeros(1 << bits)
         bias_z = bias_n = 0.0
-        labels, features = rows["label"].to_numpy(), rows["features"].to_list()
+        labels, features, values = rows["label"].to_numpy(), rows["features"], rows["xs"]
 
         def weight(z, n, l1):
             return np.where(np.abs(z) <= l1, 0.0,
                             -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2))
 
         for _ in range(epochs):
-            for y, f in zip(labels, features):
+            for y, f, x in zip(labels, features, values):
                 zf, nf = z[f], n[f]
                 w = weight(zf, nf, l1)
                 b = float(weight(np.float64(bias_z), np.float64(bias_n), 0.0))
-                g = 1 / (1 + np.exp(-np.clip(w.sum() + b, -35, 35))) - y
-                step = (np.sqrt(nf + g * g) - np.sqrt(nf)) / alpha
-                z[f] = zf + g - step * w
-                n[f] = nf + g * g
+                g = 1 / (1 + np.exp(-np.clip(w @ x + b, -35, 35))) - y
+                gx = g * x
+                step = (np.sqrt(nf + gx * gx) - np.sqrt(nf)) / alpha
+                z[f] = zf + gx - step * w
+                n[f] = nf + gx * gx
                 bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / alpha * b
                 bias_n += g * g
         w = weight(z, n, l1)
@@ -98,18 +113,27 @@ def _ftrl(bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: floa
 
 
 def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Scale and offset of the logistic curve, by Newton steps (slightly damped)."""
-    a, b = 1.0, 0.0
+    """Scale and offset of the logistic curve, by Newton steps that never raise the loss. A
+    weak pull towards the identity keeps them finite where the margins separate the labels."""
     x = np.stack([margin, np.ones_like(margin)], axis=1)
+    start = np.array([1.0, 0.0])
+
+    def loss(c: np.ndarray) -> float:
+        z = x @ c
+        return float(np.logaddexp(0, np.where(label > 0, -z, z)).sum() + 0.5 * ((c - start) ** 2).sum())
+    c, now = start, loss(start)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -35, 35)))
-        grad = x.T @ (p - label) + 1e-3 * np.array([a - 1, b])
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        p = 1 / (1 + np.exp(-np.clip(x @ c, -35, 35)))
+        grad = x.T @ (p - label) + (c - start)
+        hess = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
         step = np.linalg.solve(hess, grad)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-8:
+        while np.abs(step).max() > 1e-8 and loss(c - step) > now:
+            step = step / 2
+        if np.abs(step).max() <= 1e-8:
             break
-    return float(a), float(b)
+        c = c - step
+        now = loss(c)
+    return float(c[0]), float(c[1])
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int,
@@ -133,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     rows = sample_labelled(docs, labels, label, sample, doc_id, text).withColumn(
         "shard", F.pmod(F.col("tie"), F.lit(shards)).cast("int"))
     feats = materialise(rows.mapInArrow(
-        _featurise(bits), "label int, shard int, tie long, features array<int>"), "tox-features")
+        _featurise(bits), "label int, shard int, tie long, features array<int>, xs array<float>"), "tox-features")
     mean = (feats.groupBy("shard").applyInPandas(
         _ftrl(bits, EPOCHS, ALPHA, BETA, L1, L2), "feature long, weight double")
         .groupBy("feature").agg((F.sum("weight") / shards).alias("weight"))).toPandas()
@@ -149,8 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
         def margin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in frames:
                 yield pd.DataFrame({"label": pdf["label"], "margin": np.array(
-                    [cast.value[f].sum() for f in pdf["features"]], float)})
-        m = feats.select("label", "features").mapInPandas(margin, "label int, margin double").toPandas()
+                    [cast.value[f] @ x for f, x in zip(pdf["features"], pdf["xs"])], float)})
+        m = feats.select("label", "features", "xs").mapInPandas(margin, "label int, margin double").toPandas()
         model["scale"], model["offset"] = _calibrate(m["margin"].to_numpy(), m["label"].to_numpy(float))
     return model
 
@@ -164,10 +188,10 @@ def _score(model):
         for b in batches:
             margin = np.zeros(b.num_rows)
             for i, j, data, off in T.doc_chunks(b.column("text")):
-                parts = word_features(T.words(data, off), bits)
-                live = [(f[k], d[k]) for f, d in parts for k in [dense[f] != 0]]
-                f, d = _distinct(live, bits)          # only features with a weight are sorted
-                margin[i:j] = np.bincount(d, dense[f], j - i)
+                w = T.words(data, off)
+                live = [(f[k], d[k]) for f, d in word_features(w, bits) for k in [dense[f] != 0]]
+                f, d, x = _values(live, np.diff(w.bounds), bits)   # only features with a weight
+                margin[i:j] = np.bincount(d, dense[f] * x, j - i)
             p = 1 / (1 + np.exp(-np.clip(m["scale"] * margin + m["offset"], -35, 35)))
             if m["empty"]:
                 p = np.full(b.num_rows, 0.5)
