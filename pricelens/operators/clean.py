@@ -79,6 +79,16 @@ def regex_filter(df: DataFrame, col: str, pattern: str) -> DataFrame:
     return df.where(F.lower(F.col(col)).rlike(pattern))
 
 
+def prefix_filter(df: DataFrame, col: str, prefix: str) -> DataFrame:
+    """Rows whose ``col`` starts with ``prefix`` (case matters); pushed down to the scan."""
+    return df.where(F.col(col).startswith(prefix))
+
+
+def dedup_rows(df: DataFrame) -> DataFrame:
+    """Whole-row dedup: equal rows are one row."""
+    return df.dropDuplicates()
+
+
 def open_range(df: DataFrame, cols: Sequence[str], lo: float, hi: float) -> DataFrame:
     """lo < c < hi for every column."""
     cond = None

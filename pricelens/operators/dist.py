@@ -35,7 +35,8 @@ def histogram(df: DataFrame, series: Mapping[str, str | Column], bins: int = 50,
                                      F.count(F.lit(1)).alias("_n"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     raw_bin = F.when(w > 0, F.floor((F.col("value") - F.col("_lo")) / w)).otherwise(F.lit(0))
-    b = lf.join(edges, "series").withColumn("bin", F.least(raw_bin.cast("int"), F.lit(bins - 1)))
+    # one row per literal series name, so the input rows need not move for it
+    b = lf.join(F.broadcast(edges), "series").withColumn("bin", F.least(raw_bin.cast("int"), F.lit(bins - 1)))
     counts = b.groupBy("series", "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = edges.select("series", "_lo", "_hi", "_n",
                         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -62,7 +63,7 @@ def kde_1d(df: DataFrame, series: Mapping[str, str | Column], points: int = 100)
                                   F.stddev_samp("value").alias("_sd"))
     st = st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
     g = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
-    x = lf.join(st, "series").select("series", "value", "_lo", "_hi", "_h", "_n", g)
+    x = lf.join(F.broadcast(st), "series").select("series", "value", "_lo", "_hi", "_h", "_n", g)
     gx = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("i") / F.lit(float(points - 1))
     z = F.try_divide(gx - F.col("value"), F.col("_h"))
     contrib = F.exp(F.lit(-0.5) * z * z)
@@ -130,8 +131,8 @@ def box_stats(df: DataFrame, series: Mapping[str, str | Column]) -> DataFrame:
           .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr"))
           .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr")))
     inside = (F.col("_v") >= F.col("lower_fence")) & (F.col("_v") <= F.col("upper_fence"))
-    # the fence table has one row per series: AQE broadcasts it
-    agg = (r.frame.join(q.select("series", "lower_fence", "upper_fence"), "series")
+    # the fence table has one row per literal series name
+    agg = (r.frame.join(F.broadcast(q.select("series", "lower_fence", "upper_fence")), "series")
            .groupBy("series").agg(F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
                                   F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
                                   F.count_if(~inside).alias("outliers")))

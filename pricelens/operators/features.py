@@ -116,6 +116,22 @@ def amenity_features(df: DataFrame, text_col: str = "amenities",
     return out.withColumns(cols).drop("_am")
 
 
+# Fixed column list of the gold listing table (v4).
+GOLD_COLUMNS = ["id", "log_price", "latitude", "longitude", "accommodates", "beds", "bedrooms",
+                "bathrooms", "number_of_reviews", "reviews_per_month", "availability_365",
+                "amenities_count", "has_dishwasher", "has_washer", "host_is_superhost", "host_since",
+                "review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
+                "review_scores_checkin", "review_scores_communication", "review_scores_location",
+                "review_scores_value", "neighbourhood_cleansed", "listing_type",
+                "host_response_time"]
+
+
+def gold_select(df: DataFrame) -> DataFrame:
+    """H5: the 26 gold columns, after the schema gate."""
+    require_columns(df, GOLD_COLUMNS, "gold table")
+    return df.select(*GOLD_COLUMNS)
+
+
 def superhost_flag(col: str) -> F.Column:
     """H3: 't'/'true' -> 1.0, 'f'/'false' -> 0.0, anything else null."""
     c = F.lower(F.trim(F.col(col).cast("string")))

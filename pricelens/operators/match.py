@@ -27,6 +27,12 @@ def coord_match(matched: DataFrame, lat: str, lon: str, lat2: str, lon2: str,
     return matched.withColumn(out, d).where(F.col(out) < F.lit(float(tolerance)))
 
 
+def unmatched_rows(other: DataFrame, local: DataFrame, key: str = "id") -> DataFrame:
+    """Distinct whole rows of ``other`` whose key has no match in ``local``: what is left of
+    ``other`` after its matched rows are taken away (EXCEPT DISTINCT), as one anti join."""
+    return other.join(local.select(key), key, "left_anti").select(*other.columns).distinct()
+
+
 def unmatched_keys(other: DataFrame, local: DataFrame, key: str = "id") -> DataFrame:
     """Distinct keys of ``other`` with no match in ``local`` (EXCEPT DISTINCT)."""
     return other.select(key).subtract(local.select(key))

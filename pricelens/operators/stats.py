@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import nan_to_null, safe_corr
 from ..session import checkpointed
 
+MAX_BROADCAST_RANKS = 200_000  # rows of (group, probability)
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
@@ -88,6 +89,10 @@ class Ranked:
                          "_n")
         return out
 
+    def groups(self) -> int:
+        """Number of groups, from the slice counts."""
+        return self.frame.select(*self.gcols).distinct().count()
+
     def aggregate(self, *aggs: Column) -> DataFrame:
         """Ordinary aggregates of ``_v`` per group (no second pass over the input)."""
         out = self.frame.groupBy(*self.gcols).agg(*aggs)
@@ -111,7 +116,10 @@ class Ranked:
                   .select("_pid", *[F.col(c).alias("_k_" + c) for c in gcols],
                           (F.col("rank") - F.col("_before") + F.col("_first")).alias("_want"),
                           "prob", "kind", "frac"))
-        # ``needed`` has exactly 2 x len(probs) rows per group
+        # ``needed`` has exactly 2 x len(probs) rows per group: with few groups it is sent to
+        # the sorted rows, which then don't move again
+        if not self.by or self.groups() * len(probs) <= MAX_BROADCAST_RANKS:
+            needed = F.broadcast(needed)
         cond = (s["_pid"] == needed["_pid"]) & (s["_pos"] == needed["_want"])
         for c in gcols:
             cond = cond & s[c].eqNullSafe(needed["_k_" + c])
@@ -228,9 +236,9 @@ def sign_counts(df: DataFrame, diff: str) -> DataFrame:
     s = df.where(F.col(diff).isNotNull()).select(
         F.when(F.col(diff) > 0, "positive").when(F.col(diff) < 0, "negative")
         .otherwise("zero").alias("sign"))
-    counts = s.groupBy("sign").agg(F.count(F.lit(1)).alias("n"))
-    total = s.count()  # one-row metric
-    return counts.withColumn("pct", F.try_divide(F.col("n") * 100.0, F.lit(float(total))))
+    counts = s.groupBy("sign").agg(F.count(F.lit(1)).alias("n"))  # three rows at most
+    return counts.withColumn("pct", F.try_divide(
+        F.col("n") * 100.0, F.sum("n").over(Window.partitionBy()).cast("double")))
 
 
 def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -249,6 +257,17 @@ def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFra
     return row.select(F.explode(arr).alias("_c")).select("_c.feature", "_c.corr")
 
 
+def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(a, b, corr) for every pair of columns, both ways and with themselves, from one
+    aggregate pass over the upper triangle (A10)."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = df.agg(*[safe_corr(F.col(cols[i]), F.col(cols[j])).alias(f"_{i}_{j}") for i, j in pairs])
+    cell = lambda a, b, i, j: F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                                       F.col(f"_{i}_{j}").alias("corr"))
+    cells = [cell(cols[x], cols[y], i, j) for i, j in pairs for x, y in {(i, j), (j, i)}]
+    return row.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+
+
 def describe_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """pandas-style describe (count, mean, std, min, 25%, 50%, 75%, max) per column,
     exact quantiles, one row per column."""
@@ -263,8 +282,9 @@ def group_mean_std(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     c = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()  # one-row metric; no global window over the distinct values
-    return c.withColumn("share", F.try_divide(F.col("n"), F.lit(float(total))))
+    total = c.agg(F.sum("n").cast("double").alias("_total"))  # one row, from the grouped rows
+    return c.crossJoin(F.broadcast(total)).select(
+        col, "n", F.try_divide(F.col("n"), F.col("_total")).alias("share"))
 
 
 def range_two_sets(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:

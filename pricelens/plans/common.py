@@ -36,10 +36,10 @@ def global_silver_all(spark: SparkSession, d: str) -> DataFrame:
     return clean.global_silver(fx.global_raw(spark, d))
 
 
-def splits(spark: SparkSession, d: str):
+def splits(spark: SparkSession, d: str, silver: DataFrame | None = None):
     """(test_set, local_train, global_train) exactly as the split cell defines them:
     test ids are drawn from valid local keys; both train sets lose every test key."""
-    silver = local_silver(spark, d)
+    silver = local_silver(spark, d) if silver is None else silver
     test, local_train = split.hash_split(silver, "id", TEST_PCT, SEED)
     ids = test.select("id")
     raw_global = fx.global_raw(spark, d).withColumnRenamed("property_id", "id")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["ingest", "study", "geofeat", "prep", "models", "curveplan", "storage", "extra"]
+_MODULES = ["ingest", "study", "geofeat", "prep", "models", "curveplan", "storage", "extra",
+            "gaps"]
 
 
 def _load():

@@ -22,6 +22,21 @@ def _area(spark: SparkSession, d: str, what: str) -> str:
     return scratch_path(spark, f"pricelens/{what}/{tag}")
 
 
+#: Artefacts that layer_inventory writes.
+LAYERS = {"bronze": ["local_raw", "global_raw"],
+          "silver": ["local_silver", "local_train", "test_set", "global_train"],
+          "gold": ["local_gold"], "diamond": ["geo_features"]}
+
+
+def _save_splits(spark: SparkSession, d: str, base: str) -> None:
+    """Write the silver table once and cut the split artefacts from the written table."""
+    silver = io.read_parquet(spark, io.save_data_set(C.local_silver(spark, d), "local_silver",
+                                                     base_path=base))
+    test, local_train, global_train = C.splits(spark, d, silver)
+    for name, df in (("local_train", local_train), ("test_set", test), ("global_train", global_train)):
+        io.save_data_set(df, name, base_path=base)
+
+
 def layout_audit(spark: SparkSession, d: str) -> DataFrame:
     return r6(layout.analyze_storage_layout(spark, d))
 
@@ -29,15 +44,20 @@ def layout_audit(spark: SparkSession, d: str) -> DataFrame:
 def layer_inventory(spark: SparkSession, d: str) -> DataFrame:
     """Write the bronze / silver / gold / diamond artefacts, then inventory the folders."""
     root = _area(spark, d, "layers")
-    test, local_train, global_train = C.splits(spark, d)
-    io.save_data_set(fx.local_raw(spark, d), "bronze/local_raw", 4, root)
-    io.save_data_set(fx.global_raw(spark, d), "bronze/global_raw", 2, root)
-    io.save_data_set(local_train, "silver/local_train", 2, root)
-    io.save_data_set(test, "silver/test_set", 1, root)
-    io.save_data_set(global_train, "silver/global_train", 2, root)
-    io.save_data_set(fx.local_gold(spark, d), "gold/local_gold", 1, root)
+    io.save_data_set(fx.local_raw(spark, d), "bronze/local_raw", base_path=root)
+    io.save_data_set(fx.global_raw(spark, d), "bronze/global_raw", base_path=root)
+    _save_splits(spark, d, f"{root}/silver")
+    io.save_data_set(fx.local_gold(spark, d), "gold/local_gold", base_path=root)
     io.save(C.flagged(spark, d), f"{root}/diamond/geo_features")
-    return layout.layer_inventory(spark, root)
+    sizes = layout.layer_inventory(spark, root)
+    rows = [spark.read.parquet(f"{root}/{layer}/{name}").agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(layer).alias("layer"), F.lit(name).alias("artefact"), "rows")
+            for layer, names in LAYERS.items() for name in names]
+    counted = rows[0]
+    for r in rows[1:]:
+        counted = counted.unionByName(r)
+    return counted.join(sizes, ["layer", "artefact"], "left").select(
+        "layer", "artefact", "rows", ((F.col("files") > 0) & (F.col("mb") > 0)).alias("has_files"))
 
 
 def csv_ingest(spark: SparkSession, d: str) -> DataFrame:
@@ -54,7 +74,7 @@ def csv_ingest(spark: SparkSession, d: str) -> DataFrame:
 
 def save_and_profile(spark: SparkSession, d: str) -> DataFrame:
     """Save the local silver table in 2 files, read it back, profile it against raw."""
-    path = io.save_data_set(C.local_silver(spark, d), "local_silver", 2, _area(spark, d, "silver"))
+    path = io.save_data_set(C.local_silver(spark, d), "local_silver", base_path=_area(spark, d, "silver"))
     back = io.read_parquet(spark, path)
     return io.profile(back, "local_silver", baseline=fx.local_raw(spark, d))
 
@@ -62,11 +82,9 @@ def save_and_profile(spark: SparkSession, d: str) -> DataFrame:
 def load_check_leak(spark: SparkSession, d: str) -> DataFrame:
     """Persist the three split artefacts, reload them through the leak gate, count rows."""
     base = _area(spark, d, "splits")
-    test, local_train, global_train = C.splits(spark, d)
-    io.save_data_set(global_train, "global_train.parquet", 2, base)
-    io.save_data_set(local_train, "local_train.parquet", 2, base)
-    io.save_data_set(test, "test_set.parquet", 1, base)
-    sets = io.load_data_and_check_leak(spark, base, test_needed=True)
+    _save_splits(spark, d, base)
+    sets = io.load_data_and_check_leak(spark, base, "global_train", "local_train", "test_set",
+                                       test_needed=True)
     t = sets.pop("test")
     return io.load_counts({**sets, "test": t}, t)
 
@@ -96,6 +114,17 @@ ORACLE = {
                NOT (max(size) / (1024.0 * 1024) > 3.0 * avg(size) / (1024.0 * 1024))
                  AND avg(size) / (1024.0 * 1024) > 100.0 AS good_layout
         FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
+    "layer_inventory": sql_with("""
+        SELECT layer, artefact, rows, TRUE AS has_files FROM (
+          SELECT 'bronze' AS layer, 'local_raw' AS artefact, count(*) AS rows FROM local_raw
+          UNION ALL SELECT 'bronze', 'global_raw', count(*) FROM global_raw
+          UNION ALL SELECT 'silver', 'local_silver', count(*) FROM local_silver
+          UNION ALL SELECT 'silver', 'local_train', count(*) FROM local_train
+          UNION ALL SELECT 'silver', 'test_set', count(*) FROM test_set
+          UNION ALL SELECT 'silver', 'global_train', count(*) FROM global_train
+          UNION ALL SELECT 'gold', 'local_gold', count(*) FROM local_gold
+          UNION ALL SELECT 'diamond', 'geo_features', count(*) FROM points)""",
+                                "global_train", "local_raw", "global_raw", "local_gold", "points"),
     "csv_ingest": fx.with_ctes("""
         SELECT count(*) AS rows, CAST(sum(row_key) AS BIGINT) AS sum_row_key,
                count(nullif(price, '')) AS priced_rows,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -35,12 +38,23 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers that are started from now on import this package from where the
+    driver has it, as with PYTHONPATH; where it is installed, this changes nothing."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a private folder created; on a
-    cluster the setting points at shared storage and is used as is.
+    Only where the setting is absent and the master is local (tests) is a private folder
+    created, and removed when the process ends; a cluster without the setting is an error.
     """
+    reach_package(spark)
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -49,7 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to storage that all executors share")
     local = tempfile.mkdtemp(prefix="pricelens-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
     return local
 

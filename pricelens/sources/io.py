@@ -31,14 +31,19 @@ def read_listings_csv(spark: SparkSession, path: str, schema: StructType | str)
             .csv(path))
 
 
-def save_data_set(data: DataFrame, save_path: str, num_files: int, base_path: str = "") -> str:
-    """Overwrite Parquet in ``num_files`` files. ``coalesce`` when shrinking (no
-    shuffle), ``repartition`` when growing (coalesce cannot add partitions)."""
+def save_data_set(data: DataFrame, save_path: str, num_files: int | None = None,
+                  base_path: str = "", shuffle: bool = True) -> str:
+    """Overwrite Parquet. Without ``num_files`` Spark balances the rows into files of
+    its advisory size, whatever the scale. With it, rows are dealt evenly to that many
+    files; ``shuffle=False`` only merges partitions (no shuffle, but the stage before runs
+    in that many tasks, and no partition is split)."""
     if not isinstance(data, DataFrame):
         raise TypeError("save_data_set expects a Spark DataFrame")
     path = f"{base_path.rstrip('/')}/{save_path}" if base_path else save_path
-    current = data.rdd.getNumPartitions()
-    out = data.coalesce(num_files) if num_files <= current else data.repartition(num_files)
+    if num_files is None:
+        out = data.hint("rebalance")
+    else:
+        out = data.repartition(num_files) if shuffle else data.coalesce(num_files)
     out.write.mode("overwrite").parquet(path)
     return path
 
