@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-
-def reach_package(spark: SparkSession) -> None:
-    """Let Python workers that are started from now on import this package from where the
-    driver has it, as with PYTHONPATH; where it is installed, this changes nothing."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+from ..session import reach_package, scratch_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,12 +37,12 @@ def hash_unit(*cols: Column) -> Column:
 
 def bounded_sample(df: DataFrame, stratum: str, rows: int, *cols: Column) -> DataFrame:
     """About ``rows`` rows of each value of ``stratum``, chosen by a hash of ``cols``: each
-    row stands under rows / (size of its stratum). No ordering and no shuffle of ``df``;
-    the strata are class labels, so their sizes are a short list."""
+    row stands under rows / (size of its stratum). No ordering and no shuffle of ``df``:
+    the strata are class labels, so their sizes are a short list that is broadcast."""
     sizes = df.groupBy(F.col(stratum).alias("_s")).agg(F.count("*").alias("_n"))
     share = F.lit(float(rows)) / F.col("_n")
     return (df.withColumn("_u", hash_unit(F.lit("sample"), *cols))
-            .join(sizes, F.col(stratum) == F.col("_s"))
+            .join(F.broadcast(sizes), F.col(stratum) == F.col("_s"))
             .where(F.col("_u") < share).drop("_u", "_s", "_n"))
 
 
