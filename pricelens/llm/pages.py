@@ -115,7 +115,8 @@ def parse_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             hashes[e.number] = int.from_bytes(digest, "little", signed=True)
 
     def close_to(depth: int) -> None:
-        flush()
+        if any(e.tag in _BLOCK for e in stack[depth:]):
+            flush()
         while len(stack) > depth:
             close()
 
@@ -134,11 +135,7 @@ def parse_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         if m[1] or m[4]:
             depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag), 0)
             if depth:
-                if tag in _BLOCK or any(e.tag in _BLOCK for e in stack[depth:]):
-                    close_to(depth)
-                else:
-                    while len(stack) > depth:
-                        close()
+                close_to(depth)
             continue
         attrs = m[3] or m[6] or ""
         if tag == "br":
@@ -172,6 +169,7 @@ def parse_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         up = stack[-1]
         zone = 2 if tag == "article" else max(up.zone, 1) if tag == "main" else up.zone
         stack.append(_Element(tag, count, drop or up.drop, zone, names))
+    flush()
     close_to(1)
     best = max((zone for zone, _, _ in blocks), default=0)
     return ([(text, sorted({hashes[n] for n in open_ if n in hashes}))

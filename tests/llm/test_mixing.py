@@ -46,5 +46,5 @@ def test_sources_come_near_their_targets_and_reruns_agree(spark):
 
 def test_odd_rows_and_empty_table(spark, odd_docs, no_docs):
     got = mix_sources(odd_docs.withColumn("p", F.lit("clash"))).toPandas()
-    assert len(got) == odd_docs.count() and got["source"].isna().sum() == 1
+    assert len(got) == odd_docs.count() and got["source"].isna().sum() == 2
     assert mix_sources(no_docs).count() == 0
