@@ -70,10 +70,6 @@ def global_silver(raw: DataFrame, key_src: str = "property_id", key: str = "id",
     return add_log_price(keep_valid(dedup_keys(df, key, list(tie_break)), price), price)
 
 
-def fill_category(df: DataFrame, cols: Sequence[str], value: str = "other") -> DataFrame:
-    return df.fillna(value, subset=list(cols))
-
-
 def regex_filter(df: DataFrame, col: str, pattern: str) -> DataFrame:
     """Case-folded regular-expression filter, e.g. ``^paris``."""
     return df.where(F.lower(F.col(col)).rlike(pattern))

@@ -214,7 +214,3 @@ def curve_means(results: DataFrame) -> DataFrame:
                  F.avg("dollar_rmse").alias("dollar_rmse"), F.avg("dollar_r2").alias("dollar_r2"),
                  F.avg("dollar_mape").alias("dollar_mape"))
             .withColumn("display_name", map_values("model", DISPLAY_NAMES)))
-
-
-def persist_df(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

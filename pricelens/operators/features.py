@@ -61,12 +61,6 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "input")
         raise ValueError(f"{what} is missing columns: {miss}")
 
 
-def schema_diff(a: DataFrame, b: DataFrame) -> dict:
-    """Column-set differences between two schemas."""
-    sa, sb = set(a.columns), set(b.columns)
-    return {"only_a": sorted(sa - sb), "only_b": sorted(sb - sa), "both": sorted(sa & sb)}
-
-
 def adapt_to_global(local: DataFrame, mapping: Mapping[str, str] = LOCAL_TO_GLOBAL,
                     literals: Mapping[str, str] = LOCAL_LOCATION) -> DataFrame:
     """Copy local columns into the global model's names (originals kept) and add the

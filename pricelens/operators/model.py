@@ -137,7 +137,7 @@ def right_sized(df: DataFrame, features: str = "features") -> DataFrame:
     first = df.select(features).first()
     width = first[0].size if first is not None else 1
     est = n * (8 * width + 32)
-    parts = max(1, min(int(est // TARGET_PARTITION_BYTES) + 1, 100000))
+    parts = max(1, int(est // TARGET_PARTITION_BYTES) + 1)
     return df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -240,15 +240,6 @@ def transformed_features(model: PipelineModel, df: DataFrame) -> DataFrame:
     return PipelineModel(stages=model.stages[:-1]).transform(df)
 
 
-def require_spark_df(data) -> None:
-    if not isinstance(data, DataFrame):
-        raise TypeError("expected a Spark DataFrame")
-
-
-def active_spark() -> SparkSession:
-    return SparkSession.getActiveSession()
-
-
 def log_visualizations(predictions: DataFrame, fitted: PipelineModel, transformed: DataFrame,
                        out_dir: str, key: str = "id", label: str = "log_price",
                        pred: str = "prediction", sample_pct: int = 5, cap: int = 10000,

@@ -14,10 +14,6 @@ class LeakError(Exception):
     """Raised when a training set shares keys with the test set."""
 
 
-def with_bucket(df: DataFrame, key: str = "id", seed: int = 42, out: str = "_bucket") -> DataFrame:
-    return df.withColumn(out, hash_bucket(F.col(key), seed))
-
-
 def hash_split(df: DataFrame, key: str = "id", test_pct: int = 20, seed: int = 42
                ) -> tuple[DataFrame, DataFrame]:
     """(test, train) by md5 bucket of the key: the same key always lands on the same side,

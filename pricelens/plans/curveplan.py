@@ -8,7 +8,7 @@ from ..operators import curve, geo, model, split
 from ..operators.features import GLOBAL_CATEGORICAL, GLOBAL_NUMERIC
 from ..sources import fixtures as fx
 from . import common as C
-from .models import _fit, _numeric_flags
+from .models import _fit, _numeric_flags, sources
 from ..operators import features
 from ..session import checkpointed
 
@@ -35,7 +35,7 @@ def diamond(spark: SparkSession, d: str):
     """Local train pool and hold-out, both with the global model's prediction (v7)."""
     _, _, path = _fit(spark, d)
     m = model.load_model(path)
-    g = _numeric_flags(fx.local_gold(spark, d))
+    g = _numeric_flags(sources(spark, d)[1])
     g = geo.site_distances(g, fx.sites(spark, d), lat="latitude", lon="longitude",
                            only=MAJOR_SITES)  # v5: gold + distance features
     g = g.withColumns({c: g[c].cast("double") for c in LOCAL_NUMERIC})
@@ -47,12 +47,13 @@ def diamond(spark: SparkSession, d: str):
 
 
 def _run(spark: SparkSession, d: str) -> DataFrame:
-    if d not in _RESULTS:
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _RESULTS:
         train, test = diamond(spark, d)
         res = curve.run_learning_curve(train, test, LOCAL_NUMERIC, LOCAL_CATEGORICAL,
                                        curve.CurveConfig(**QUERY_CONFIG))
-        _RESULTS[d] = checkpointed(res)
-    return _RESULTS[d]
+        _RESULTS[at] = checkpointed(res)
+    return _RESULTS[at]
 
 
 def learning_curve(spark: SparkSession, d: str) -> DataFrame:

@@ -17,7 +17,7 @@ BBOX_LAT, BBOX_LON = (48.82, 48.90), (2.23, 2.47)  # fixed plot window of the ma
 
 def kde_2d(spark: SparkSession, d: str) -> DataFrame:
     """2-D density of listing locations at each listing (binned, bounded work)."""
-    return r6(dist.kde_2d_binned(fx.points(spark, d), "lon", "lat", "id", grid=64))
+    return r6(dist.kde_2d_binned(fx.points(spark, d), "lon", "lat", "id"))
 
 
 def scatter_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -59,6 +59,22 @@ QUERIES = {
 _STUDY = (("study", C.SQL_STUDY),)
 
 ORACLE = {
+    "kde_2d": fx.with_ctes("""
+        WITH s AS (SELECT min(lon) AS x0, min(lat) AS y0, count(*) AS n,
+                     var_samp(lon) * pow(count(*), -1.0 / 3) AS sxx,
+                     var_samp(lat) * pow(count(*), -1.0 / 3) AS syy,
+                     covar_samp(lon, lat) * pow(count(*), -1.0 / 3) AS sxy FROM points),
+        b AS (SELECT id, CAST(floor((lon - x0) / (sqrt(sxx) / 5)) AS BIGINT) AS cx,
+                CAST(floor((lat - y0) / (sqrt(syy) / 5)) AS BIGINT) AS cy FROM points, s),
+        o AS (SELECT cx, cy, count(*) AS c FROM b GROUP BY cx, cy),
+        d AS (SELECT t.cx, t.cy, sum(o.c * exp(-0.5 * (
+                pow((t.cx - o.cx) * sqrt(sxx) / 5, 2) * syy + pow((t.cy - o.cy) * sqrt(syy) / 5, 2) * sxx
+                - 2 * (t.cx - o.cx) * sqrt(sxx) / 5 * (t.cy - o.cy) * sqrt(syy) / 5 * sxy)
+                / (sxx * syy - sxy * sxy)))
+                / (2 * pi() * sqrt(sxx * syy - sxy * sxy) * any_value(n)) AS density
+              FROM o t JOIN o ON abs(t.cx - o.cx) <= 25 AND abs(t.cy - o.cy) <= 25, s
+              GROUP BY t.cx, t.cy, sxx, syy, sxy)
+        SELECT id, round(density, 6) AS density FROM b JOIN d USING (cx, cy)""", "points"),
     "scatter_sample": fx.with_ctes(f"""
         SELECT id, round(price_local, 6) AS price_local, round(price_global, 6) AS price_global
         FROM study WHERE {C.sql_bucket('id', purpose='sample')} < {SCATTER_PCT}

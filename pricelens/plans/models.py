@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,14 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from . import common as C
 
+GLOBAL_PCT, ORIGIN_SEED = 50, 11  # which listings stand for the global source
 SELECTION_SEED = 7  # model-selection split; differs from the hold-out seed on purpose
 
-_FITTED: dict = {}  # in-process memo: (sf_dir) -> (leaderboard rows, best name, model path)
+_FITTED: dict = {}  # memo of a session: (application, folder) -> (rows, best name, model path)
+
+
+def _tag(d: str) -> str:
+    return hashlib.md5(d.encode()).hexdigest()[:10]
 
 
 def _numeric_flags(df: DataFrame) -> DataFrame:
@@ -21,12 +28,16 @@ def _numeric_flags(df: DataFrame) -> DataFrame:
     return df.withColumn("host_is_superhost", features.superhost_flag("host_is_superhost"))
 
 
+def sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(global listings, local listings): two sources that share no listing."""
+    return split.hash_split(fx.local_gold(spark, d), "id", GLOBAL_PCT, ORIGIN_SEED)
+
+
 def global_gold(spark: SparkSession, d: str) -> DataFrame:
-    """Global-source feature table: listings outside the hold-out, in the global model's
-    names, with the location taken from the data (nation / segment)."""
-    g = _numeric_flags(fx.local_gold(spark, d))
-    _, train = split.hash_split(g, "id", C.TEST_PCT, C.SEED)
-    a = features.adapt_to_global(train, literals={})
+    """Global-source feature table in the global model's names, with the location taken from
+    the data (nation / segment). It shares no listing with the local pool, so the global
+    model's predictions for local rows are out of sample."""
+    a = features.adapt_to_global(_numeric_flags(sources(spark, d)[0]), literals={})
     a = a.withColumns({"country": F.lower("neighbourhood_cleansed"),
                        "city": F.lower("neighbourhood_cleansed"),
                        "region": F.lower("listing_type")})
@@ -36,14 +47,15 @@ def global_gold(spark: SparkSession, d: str) -> DataFrame:
 def local_test(spark: SparkSession, d: str) -> DataFrame:
     """Hold-out listings of the local source, adapted to the global names (location
     literals are categories the global model never saw -> all-zero one-hot)."""
-    g = _numeric_flags(fx.local_gold(spark, d))
+    g = _numeric_flags(sources(spark, d)[1])
     test, _ = split.hash_split(g, "id", C.TEST_PCT, C.SEED)
     return features.clean_cast(features.adapt_to_global(test), select=False)
 
 
 def _fit(spark: SparkSession, d: str):
-    if d in _FITTED:
-        return _FITTED[d]
+    at = (spark.sparkContext.applicationId, d)
+    if at in _FITTED:
+        return _FITTED[at]
     gg = global_gold(spark, d)
     # Feature columns by type after the cleaning cast (every numeric is double by now)
     numeric = features.columns_of_type(gg, numeric=True, exclude=["log_price", "id"])
@@ -56,10 +68,10 @@ def _fit(spark: SparkSession, d: str):
     best = rows[0]["model"]
     cand = {c.name: c for c in model.reference_candidates(C.SEED)}[best]
     fitted = model.fit_pipeline(gg, numeric, categorical, cand)
-    path = scratch_path(spark, f"pricelens/models/global_{abs(hash(d))}")
+    path = scratch_path(spark, f"pricelens/models/global_{_tag(d)}")
     model.save_model(fitted, path)
-    _FITTED[d] = (rows, best, path)
-    return _FITTED[d]
+    _FITTED[at] = (rows, best, path)
+    return _FITTED[at]
 
 
 def model_leaderboard(spark: SparkSession, d: str) -> DataFrame:
@@ -89,8 +101,7 @@ def batch_score(spark: SparkSession, d: str) -> DataFrame:
     """Hold-out rows keep their original columns and gain global_pred_log."""
     _, _, path = _fit(spark, d)
     m = model.load_model(path)
-    g = fx.local_gold(spark, d)
-    test, _ = split.hash_split(g, "id", C.TEST_PCT, C.SEED)
+    test, _ = split.hash_split(sources(spark, d)[1], "id", C.TEST_PCT, C.SEED)
     cleaned = local_test(spark, d).select("id", *GLOBAL_NUMERIC, *GLOBAL_CATEGORICAL)
     scored = model.score(m, cleaned, ["id"])
     return test.join(scored, "id")
@@ -110,7 +121,7 @@ def visual_bundle(spark: SparkSession, d: str) -> DataFrame:
     _, best, path = _fit(spark, d)
     m = model.load_model(path)
     pred = m.transform(local_test(spark, d))
-    out = scratch_path(spark, f"pricelens/visuals/{abs(hash(d))}")
+    out = scratch_path(spark, f"pricelens/visuals/{_tag(d)}")
     paths = model.log_visualizations(pred, m, model.transformed_features(m, global_gold(spark, d)),
                                      out)
     parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows"))
@@ -121,7 +132,48 @@ def visual_bundle(spark: SparkSession, d: str) -> DataFrame:
     return res
 
 
+def batch_score_rows(spark: SparkSession, d: str) -> DataFrame:
+    """M11, what SQL can tell: every hold-out listing is scored once, its label and category
+    untouched, with a finite prediction near the label."""
+    s = batch_score(spark, d)
+    near = F.abs(F.col("global_pred_log") - F.col("log_price")) < 2.0
+    return s.select("id", F.round("log_price", 6).alias("log_price"), "neighbourhood_cleansed",
+                    near.alias("near_label"))
+
+
+def model_checks(spark: SparkSession, d: str) -> DataFrame:
+    """M5-M9, what SQL can tell: each candidate is scored on all rows of the selection slice
+    and beats the slice's mean; mae is what its rank says."""
+    rows, _, _ = _fit(spark, d)
+    maes = sorted(r["mae"] for r in rows)
+    out = [(r["model"], r["n"], r["r2_log"] > 0, maes.index(r["mae"]) == i) for i, r in enumerate(rows)]
+    return spark.createDataFrame(out, "model string, n long, beats_mean boolean, in_order boolean")
+
+
+def importance_check(spark: SparkSession, d: str) -> DataFrame:
+    """D9, what SQL can tell: importances are shares of one, the price level leads."""
+    _, _, path = _fit(spark, d)
+    m = model.load_model(path)
+    t = model.transformed_features(m, global_gold(spark, d))
+    every = model.feature_importance(m, t, 100_000)
+    return every.agg((F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"),
+                     (F.min("importance") >= 0).alias("no_negative")).crossJoin(
+        global_gold(spark, d).agg(F.count(F.lit(1)).alias("train_rows")))
+
+
+def calibration_check(spark: SparkSession, d: str) -> DataFrame:
+    """M17 and A24, what SQL can tell: errors before calibration, and that the robust fit
+    lowers the mean absolute error."""
+    c = calibration_report(spark, d)
+    return C.round_doubles(c.select("rmse_raw", "mae_raw", "bias_raw",
+                                    (F.col("mae_cal") < F.col("mae_raw")).alias("improves")))
+
+
 QUERIES = {
+    "batch_score_rows": batch_score_rows,
+    "model_checks": model_checks,
+    "importance_check": importance_check,
+    "calibration_check": calibration_check,
     "visual_bundle": visual_bundle,
     "model_leaderboard": model_leaderboard,
     "score_holdout": score_holdout,
@@ -130,4 +182,26 @@ QUERIES = {
     "calibration_report": calibration_report,
 }
 
-ORACLE: dict = {}  # model fits are iterative; checked by rows and by tests
+_GLOBAL = f"{C.sql_bucket('id', ORIGIN_SEED)} < {GLOBAL_PCT}"
+
+# Fits are iterative: their values are tested, SQL checks what it can tell of them.
+ORACLE = {
+    "batch_score_rows": fx.with_ctes(f"""
+        SELECT id, round(log_price, 6) AS log_price, neighbourhood_cleansed, TRUE AS near_label
+        FROM local_gold WHERE NOT ({_GLOBAL}) AND {C.sql_bucket('id')} < {C.TEST_PCT}""",
+                                     "local_gold"),
+    "model_checks": fx.with_ctes(f"""
+        SELECT model, n, TRUE AS beats_mean, TRUE AS in_order
+        FROM (SELECT unnest(['GBT_Deep', 'GBT_Shallow', 'GBT_Robust_MAE', 'RandomForest_Baseline'])
+                AS model),
+             (SELECT count(*) AS n FROM local_gold
+              WHERE {_GLOBAL} AND {C.sql_bucket('id', SELECTION_SEED)} < 20)""", "local_gold"),
+    "importance_check": fx.with_ctes(f"""
+        SELECT TRUE AS sums_to_one, TRUE AS no_negative, count(*) AS train_rows
+        FROM local_gold WHERE {_GLOBAL}""", "local_gold"),
+    "calibration_check": fx.with_ctes(f"""
+        SELECT round(sqrt(avg(pow(e, 2))), 6) AS rmse_raw, round(avg(abs(e)), 6) AS mae_raw,
+               round(avg(e), 6) AS bias_raw, TRUE AS improves
+        FROM (SELECT price_global - price_local AS e FROM two_source
+              WHERE {C.sql_bucket('id')} < {C.TEST_PCT})""", "two_source"),
+}

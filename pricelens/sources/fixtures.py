@@ -154,7 +154,9 @@ def local_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = agg.join(c, agg.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
     return j.select(
         F.col("c_custkey").alias("id"),
-        F.log1p(F.abs(F.col("c_acctbal"))).alias("log_price"),
+        (F.lit(3.0) + F.lit(0.25) * F.log1p(F.col("n")) + F.lit(0.8) * F.col("avg_tp") / F.lit(100000.0)
+         + F.lit(0.3) * F.col("np") / F.col("n")
+         + (F.pmod(F.col("c_custkey") * 7919, F.lit(101)) - 50) * F.lit(0.004)).alias("log_price"),
         _lat("c_custkey", 37, 1000).alias("latitude"),
         _lon("c_custkey", 91, 1000).alias("longitude"),
         F.col("n").alias("accommodates"),
@@ -199,7 +201,9 @@ SQL = {
                                    string_split(p_name, ' '))) AS amenities
         FROM part""",
     "local_gold": """
-        SELECT c_custkey AS id, ln(1 + abs(c_acctbal)) AS log_price,
+        SELECT c_custkey AS id,
+               3.0::DOUBLE + 0.25::DOUBLE * ln(1 + n) + 0.8::DOUBLE * avg_tp / 100000.0::DOUBLE
+                 + 0.3::DOUBLE * np / n + ((c_custkey * 7919) % 101 - 50) * 0.004::DOUBLE AS log_price,
                48.80::DOUBLE + ((c_custkey * 37) % 1000) * 0.0001::DOUBLE AS latitude,
                2.25::DOUBLE + ((c_custkey * 91) % 1000) * 0.0002::DOUBLE AS longitude,
                n AS accommodates, nf AS beds, no AS bedrooms, np * 0.5::DOUBLE AS bathrooms,

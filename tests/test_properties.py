@@ -92,7 +92,7 @@ def test_kde_2d_binned_close_to_exact(spark):
     """Binned 2-D KDE against the exact all-pairs density on a small fixture."""
     import numpy as np
     pts = fx.points(spark, "/root/testdata/sf0.001")
-    got = {r.id: r.density for r in dist.kde_2d_binned(pts, "lon", "lat", "id", grid=64).collect()}
+    got = {r.id: r.density for r in dist.kde_2d_binned(pts, "lon", "lat", "id").collect()}
     pdf = pts.select("id", "lon", "lat").toPandas()
     xy = pdf[["lon", "lat"]].to_numpy()
     n = len(xy)

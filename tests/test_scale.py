@@ -36,7 +36,8 @@ def test_scans_read_only_needed_columns(spark):
 
 
 def test_summary_reads_its_input_once(spark):
-    # one ranked materialisation feeds both the quantiles and the plain aggregates
+    # one ranked materialisation feeds both the quantiles and the plain aggregates: after it
+    # (range sampling aside) the input is not read again
     df = fx.points(spark, SF001)
     s = stats.summary_stats(df, "log_price", ["grp"])
     plan = _plan(s)
