@@ -52,14 +52,29 @@ def test_components_equal_brute_force(spark):
     assert run(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
 
 
-def test_rounds_beyond_the_star_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(N, "SMALL_BUCKET", 3)
-    monkeypatch.setattr(N, "STARS", 2)
+def test_blocks_and_rounds_lose_no_link(spark, monkeypatch):
+    """Tiny blocks, one central class, no sketch: everything open meets in blocks."""
+    monkeypatch.setattr(N, "BLOCK", 4)
+    monkeypatch.setattr(N, "CENTRAL", (1,))
     rng = random.Random(8)
     docs = [*family(rng, 40, 12, 0), *family(rng, 25, 6, 100)]
     assert run(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
 
 
+def test_bitmaps_never_rule_out_a_link():
+    """The bound from sizes, bitmaps and spares is never below the true intersection."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 40, 300, 3000):
+        base = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+        a, b = np.unique(base[:n + n // 8]), np.unique(base[n // 8:n + n // 4])
+        _, bits = N._bands([a, b], 1, 1)
+        m = bits[:, -N.BITMAP // 64:]
+        common = int(np.bitwise_count(m[0] & m[1]).sum())
+        spare = [len(x) - int(np.bitwise_count(y).sum()) for x, y in zip((a, b), m)]
+        assert common + min(spare) >= len(np.intersect1d(a, b)) and min(spare) >= 0
+
+
 def test_odd_rows_and_empty_table(spark, odd_docs, no_docs):
     assert run(odd_docs) == brute([(r["doc_id"], r["text"]) for r in odd_docs.collect()])
     assert run(no_docs) == []
@@ -71,7 +86,7 @@ def test_signature_agreement_estimates_the_similarity(spark):
     u = rng.integers(0, 2**63, 1150).astype(np.uint64)
     a, b = np.unique(u[:1000]), np.unique(u[150:])
     _, bits = N._bands([a, b], N.ROWS, N.GROUPS)
-    differ = sum(int(x).bit_count() for x in bits[0] ^ bits[1])
+    differ = sum(int(x).bit_count() for x in (bits[0] ^ bits[1])[:-N.BITMAP // 64])
     assert abs(1 - 2 * differ / (4 * N.ROWS * N.GROUPS) - 850 / 1150) < 0.12
 
 
