@@ -182,9 +182,9 @@ def _score(model):
         for b in batches:
             p = np.full(b.num_rows, 0.5)
             if net is not None:
-                for i, j, data, off in T.doc_chunks(b.column("text")):
+                for i, j, data, off in T.doc_chunks(b.column("_text")):
                     p[i:j] = net.probability(pooled(T.words(data, off, T.NONSPACE), vectors))
-            rest = [c for c in b.schema.names if c != "text"]
+            rest = [c for c in b.schema.names if c != "_text"]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(p)],
                                              names=[*rest, "score"])
     return run
@@ -193,6 +193,6 @@ def _score(model):
 def score(docs: DataFrame, model: tuple, keep: list, text: str = "text") -> DataFrame:
     """``keep`` columns and the probability of label 1 for every row, from its whole text."""
     cast = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text).alias("text"))
+    rows = docs.select(*keep, F.col(text).alias("_text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(_score(cast), f"{kept}, score double")

@@ -187,7 +187,7 @@ def _score(model):
         dense[m["feature"]] = m["weight"]
         for b in batches:
             margin = np.zeros(b.num_rows)
-            for i, j, data, off in T.doc_chunks(b.column("text")):
+            for i, j, data, off in T.doc_chunks(b.column("_text")):
                 w = T.words(data, off)
                 live = [(f[k], d[k]) for f, d in word_features(w, bits) for k in [dense[f] != 0]]
                 f, d, x = _values(live, np.diff(w.bounds), bits)   # only features with a weight
@@ -195,7 +195,7 @@ def _score(model):
             p = 1 / (1 + np.exp(-np.clip(m["scale"] * margin + m["offset"], -35, 35)))
             if m["empty"]:
                 p = np.full(b.num_rows, 0.5)
-            rest = [c for c in b.schema.names if c != "text"]
+            rest = [c for c in b.schema.names if c != "_text"]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(p)],
                                              names=[*rest, "score"])
     return run
@@ -204,7 +204,7 @@ def _score(model):
 def score(docs: DataFrame, model: dict, keep: list, text: str = "text") -> DataFrame:
     """``keep`` columns and the probability of label 1 for every row, from its whole text."""
     cast = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text).alias("text"))
+    rows = docs.select(*keep, F.col(text).alias("_text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                      for f in rows.schema.fields[:-1])
     return rows.mapInArrow(_score(cast), f"{kept}, score double")
