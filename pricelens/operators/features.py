@@ -64,8 +64,9 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "input")
 def adapt_to_global(local: DataFrame, mapping: Mapping[str, str] = LOCAL_TO_GLOBAL,
                     literals: Mapping[str, str] = LOCAL_LOCATION) -> DataFrame:
     """Copy local columns into the global model's names (originals kept) and add the
-    location literals, in one projection."""
-    cols = {dst: F.col(src) for dst, src in mapping.items() if src in local.columns}
+    location literals, in one projection. An absent source column is an error (P19)."""
+    require_columns(local, mapping.values(), "local table")
+    cols = {dst: F.col(src) for dst, src in mapping.items()}
     cols.update({k: F.lit(v) for k, v in literals.items()})
     return local.withColumns(cols)
 
@@ -74,9 +75,9 @@ def clean_cast(df: DataFrame, numeric: Sequence[str] = GLOBAL_NUMERIC,
                categorical: Sequence[str] = GLOBAL_CATEGORICAL, target: str = "log_price",
                key: str = "id", select: bool = True, fill: str = "other") -> DataFrame:
     """Every numeric feature to double, categories lower-cased with nulls -> ``fill``,
-    optionally projected to features + target + key. Absent columns are skipped."""
-    num = [c for c in numeric if c in df.columns]
-    cat = [c for c in categorical if c in df.columns]
+    optionally projected to features + target + key. An absent feature is an error (P19)."""
+    require_columns(df, [*numeric, *categorical, *([target, key] if select else [])], "feature table")
+    num, cat = list(numeric), list(categorical)
     out = df.withColumns({**{c: F.col(c).try_cast("double") for c in num},
                           **{c: F.lower(F.col(c).cast("string")) for c in cat}})
     out = out.fillna(fill, subset=cat) if cat else out

@@ -61,14 +61,18 @@ def layer_inventory(spark: SparkSession, d: str) -> DataFrame:
 
 
 def csv_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """Round trip through quoted CSV (header, escape '"') with an explicit schema."""
+    """Round trip through quoted CSV (header, escape '"') with an explicit schema; names hold
+    quotes, commas and line breaks."""
     path = _area(spark, d, "csv") + "/local_raw"
-    (fx.local_raw(spark, d).write.mode("overwrite").option("header", True)
+    raw = fx.local_raw(spark, d)
+    named = raw.withColumn("name", F.concat(F.lit('A "nice", '), F.col("name"), F.lit("\nsecond line")))
+    (named.write.mode("overwrite").option("header", True)
      .option("quote", '"').option("escape", '"').csv(path))
     back = io.read_listings_csv(spark, path, LOCAL_RAW_SCHEMA)
     return back.agg(F.count(F.lit(1)).alias("rows"), F.sum("row_key").alias("sum_row_key"),
                     F.count("price").alias("priced_rows"),
                     F.sum(F.length("price")).alias("price_chars"),
+                    F.sum(F.length("name")).alias("name_chars"),
                     F.max("last_scraped").alias("last_scraped"))
 
 
@@ -129,6 +133,8 @@ ORACLE = {
         SELECT count(*) AS rows, CAST(sum(row_key) AS BIGINT) AS sum_row_key,
                count(nullif(price, '')) AS priced_rows,
                CAST(sum(length(nullif(price, ''))) AS BIGINT) AS price_chars,
+               CAST(sum(length('A "nice", ' || name || chr(10) || 'second line')) AS BIGINT)
+                 AS name_chars,
                max(last_scraped) AS last_scraped
         FROM local_raw""", "local_raw"),
     "save_and_profile": sql_with(f"""

@@ -152,7 +152,9 @@ def test_superhost_and_host_year(spark):
 def test_adapt_keeps_originals_and_adds_literals(spark):
     from pricelens.operators.features import adapt_to_global, require_columns
     df = spark.createDataFrame([(1, 48.8, 2.3)], "id long, latitude double, longitude double")
-    a = adapt_to_global(df)
+    with pytest.raises(ValueError, match="accommodates"):
+        adapt_to_global(df)
+    a = adapt_to_global(df, {"lat": "latitude", "long": "longitude"})
     r = a.first()
     assert (r.latitude, r.lat, r.long, r.city) == (48.8, 48.8, 2.3, "paris")
     with pytest.raises(ValueError, match="guests"):
