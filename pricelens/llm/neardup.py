@@ -4,16 +4,19 @@ Each hash function gives a document two signature values, the smallest and the l
 of its shingles; both agree between two sets with a probability equal to their similarity,
 so half the evaluations fill the same signature. ``ROWS`` minima (or maxima) of different
 functions make a band. At the linking threshold of 0.85 a pair misses all 40 bands with
-probability 6e-9. Two bits of every signature value make a sketch; pairs of larger sets
-whose sketches put their similarity under ``LEAST_ESTIMATE`` (6 standard deviations below
-the threshold) are not fetched for the comparison of full sets.
-
-Documents with the same set form one class, compared once. Within a bucket of a band,
-classes are first compared with the bucket's smallest class only (a star, so a bucket of n
-classes makes n pairs). Buckets whose classes all ended in one component are done. In the
-rest, classes of different components meet in blocks of ``BLOCK`` classes, in a join whose
-condition tests sizes and sketches; what passes is kept once, in the first bucket the two
-share. Buckets have no cap. Every link is confirmed on full sets of 64-bit shingle hashes.
+probability 6e-9. Before full sets are fetched, a pair passes three tests: sizes; a bitmap
+of ``BITMAP`` bits per set, whose bits on one side only are members on one side only, an
+exact bound; and a sketch of two bits of every signature value, which drops pairs of larger
+sets that it puts under ``LEAST_ESTIMATE``, 5 standard deviations below the threshold.
+
+Documents with the same set form one class, compared once. Within a bucket of a band, all
+classes are first compared with the bucket's most central class only, that which shares most
+buckets with others (a star, so a bucket of n classes makes n pairs; copies that were edited
+apart gather around their original). Buckets whose classes all ended in one component are
+done. In the rest, classes outside the component of the next few central ones are compared
+with these. What then is still open meets in blocks of ``BLOCK`` classes of one bucket:
+those of different components whose sizes, bitmaps and sketches allow a link go on. Buckets have no cap, and every pair in a bucket is compared
+or already connected. Every link is confirmed on full sets of 64-bit shingle hashes.
 
 Defined cases: a text of 1 to 4 words is one shingle; null, empty or blank texts have the
 empty set, link with nothing and are their own component; repeated rows are equal sets;
@@ -23,10 +26,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -37,8 +41,10 @@ SHINGLE = 5
 ROWS = 6
 GROUPS = 20                     # of ROWS hash functions each, a minimum and a maximum band
 PERCENT = 85
-LEAST_ESTIMATE = 0.66
+LEAST_ESTIMATE = 0.70
+BITMAP = 1024
 SURE_SIZE = 30                  # sets smaller than this are always compared in full
+CENTRAL = (1, 4)                # most central classes of a bucket that each round compares
 BLOCK = 256                     # classes of a bucket that meet in one task
 
 
@@ -62,8 +68,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> lis
 
 
 def _bands(sets: list[np.ndarray], rows: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    """documents x (2 * groups) band hashes, and documents x words of the two lowest bits of
-    all signature values; every set has a member."""
+    """documents x (2 * groups) band hashes, and documents x words: the two lowest bits of
+    all signature values, then the bitmap of the set; every set has a member."""
     u = np.concatenate(sets)
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     a, b = _functions(rows * groups)
@@ -78,7 +84,10 @@ def _bands(sets: list[np.ndarray], rows: int, groups: int) -> tuple[np.ndarray,
             out[:, col] = T.mix(out[:, col] * np.uint64(31) + value + np.uint64(col))
             word, shift = divmod(4 * f + 2 * side, 64)
             bits[:, word] |= (value & np.uint64(3)) << np.uint64(shift)
-    return out, bits
+    maps = np.zeros((len(sets), BITMAP), bool)
+    maps[np.repeat(np.arange(len(sets)), [len(s) for s in sets]),
+         (u >> np.uint64(20)).astype(np.int64) % BITMAP] = True
+    return out, np.hstack([bits, np.packbits(maps, axis=1).view(np.uint64)])
 
 
 def _signatures(rows: int, groups: int):
@@ -113,12 +122,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                           pa.list_(pa.int64()))], names=["cls", "shingles"])
 
 
-def _possible(na: Column, nb: Column, ka: list[Column], kb: list[Column], percent: int) -> Column:
-    """Whether sizes and sketches leave room for a link. Set sizes are exact bounds."""
-    differ = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(ka, kb)), F.lit(0))
-    estimate = 1 - 2 * differ / F.lit(64.0 * len(ka))
-    return ((100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-            & ((F.least(na, nb) < SURE_SIZE) | (estimate >= LEAST_ESTIMATE)))
+def _possible(x, y, words: list[str], percent: int) -> Column:
+    """Whether sizes, bitmaps and sketches leave room for a link. ``x`` and ``y`` give the
+    columns of either side; ``spare`` is the set's size less the bits of its bitmap, so the
+    bits in common and the smaller spare bound the intersection from above."""
+    common = sum((F.bit_count(x(m).bitwiseAND(y(m))) for m in words if m.startswith("m")), F.lit(0))
+    room = ((100 + percent) * common >= percent * (x("n") + y("n"))
+            - (100 + percent) * F.least(x("spare"), y("spare")))
+    values = [w for w in words if w.startswith("k")]
+    differ = sum((F.bit_count(x(k).bitwiseXOR(y(k))) for k in values), F.lit(0))
+    close = differ <= int((1 - LEAST_ESTIMATE) / 2 * 64 * len(values))
+    return room & (close | (F.least(x("n"), y("n")) < SURE_SIZE))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -130,42 +144,122 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * F.col("c") >= percent * (F.col("n") - F.col("c"))).select("a", "b"))
 
 
-def _star_pairs(buckets: DataFrame, light: DataFrame, percent: int) -> DataFrame:
-    """Possible links between the smallest class of each bucket and its other classes."""
-    stars = buckets.where("cls != rep").select(F.col("rep").alias("a"), F.col("cls").alias("b")).distinct()
-    words = [c for c in light.columns if c.startswith("k")]
-    side = lambda x: light.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"),
-                                  *[F.col(k).alias(f"{x}{k}") for k in words])
-    both = stars.join(side("a"), "a").join(side("b"), "b")
-    return both.where(_possible(F.col("na"), F.col("nb"), [F.col(f"a{k}") for k in words],
-                                [F.col(f"b{k}") for k in words], percent)).select("a", "b")
+def _words(members: DataFrame) -> list[str]:
+    return [c for c in members.columns if c[:1] in "km" and c[1:].isdigit()]
+
+
+def _pair_test(x, y, words: list[str], percent: int) -> Column:
+    return (x("comp") != y("comp")) & _possible(x, y, words, percent)
+
 
+def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of the buckets that hold two components, with their component."""
+    if labels is None:
+        return members.withColumn("comp", F.col("cls"))
+    known = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+        "comp", F.coalesce("label", "cls")).drop("label")
+    live = (known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("lo != hi").select("key"))
+    return materialise(known.join(live, "key"), "dup-open")
+
+
+def _central_pairs(members: DataFrame, top: int, percent: int) -> DataFrame:
+    """Possible links with the ``top`` most central classes of each bucket. Only that many
+    rows of a bucket leave each map task for the ranking."""
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("central"), "cls"))
+    hubs = members.withColumn("rank", rank).where(F.col("rank") <= top).alias("x")
+    x, y = lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")
+    return (members.alias("y").join(hubs, (x("key") == y("key"))
+                                    & _pair_test(x, y, _words(members), percent))
+            .select(F.least(x("cls"), y("cls")).alias("a"), F.greatest(x("cls"), y("cls")).alias("b"))
+            .distinct())
+
+
+def _block_links(batch: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the possible links in the rows of one pair of blocks."""
+    one = batch["at"] == batch["p"]
+    left = np.flatnonzero(one)
+    right = left if batch["p"][0] == batch["q"][0] else np.flatnonzero(~one)
+    if not len(left) or not len(right):
+        return left[:0], left[:0]
+    n, spare, comp = batch["n"], batch["spare"], batch["comp"]
+    ok = comp[left][:, None] != comp[right][None, :]
+    if right is left:
+        ok &= left[:, None] < right[None, :]
+    common = np.zeros(ok.shape, np.int64)
+    for m in batch["maps"]:
+        common += np.bitwise_count(m[left][:, None] & m[right][None, :])
+    total = n[left][:, None] + n[right][None, :]
+    least = np.minimum(spare[left][:, None], spare[right][None, :])
+    ok &= (100 + percent) * (common + least) >= percent * total
+    i, j = np.nonzero(ok)
+    i, j = left[i], right[j]
+    differ = sum((np.bitwise_count(k[i] ^ k[j]).astype(np.int64) for k in batch["values"]),
+                 np.zeros(len(i), np.int64))
+    near = ((differ <= int((1 - LEAST_ESTIMATE) / 2 * 64 * len(batch["values"])))
+            | (np.minimum(n[i], n[j]) < SURE_SIZE))
+    return i[near], j[near]
+
+
+def _meet(words: list[str], percent: int):
+    """Rows sorted by pair of blocks -> possible links."""
+    def arrays(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        num = lambda c: b.column(c).to_numpy(zero_copy_only=False)
+        out = {c: num(c) for c in ("key", "p", "q", "at", "n", "spare")}
+        for c in ("cls", "comp"):
+            out[c] = np.frombuffer(b"".join(x.as_py() for x in b.column(c)), "V16")
+        for name, first in (("maps", "m"), ("values", "k")):
+            out[name] = [num(c).view(np.uint64) for c in words if c.startswith(first)]
+        return out
+
+    def cut(x: dict, lo: int, hi: int | None) -> dict:
+        return {c: [w[lo:hi] for w in v] if isinstance(v, list) else v[lo:hi] for c, v in x.items()}
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in chain(batches, [None]):
+            if b is None:
+                rows, done = held, True
+            else:
+                rows, done = arrays(b), False
+                if held is not None:
+                    rows = {c: [np.concatenate(w) for w in zip(held[c], v)] if isinstance(v, list)
+                            else np.concatenate([held[c], v]) for c, v in rows.items()}
+            if rows is None or not len(rows["key"]):
+                held = rows
+                continue
+            change = (np.diff(rows["key"]) != 0) | (np.diff(rows["p"]) != 0) | (np.diff(rows["q"]) != 0)
+            ends = [*(np.flatnonzero(change) + 1).tolist(), len(rows["key"])]
+            if not done:
+                ends, last = ends[:-1], (ends[-2] if len(ends) > 1 else 0)
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            for lo, hi in zip([0, *ends], ends):
+                i, j = _block_links(cut(rows, lo, hi), percent)
+                if len(i):
+                    x, y = rows["cls"][lo:hi][i], rows["cls"][lo:hi][j]
+                    found += [(u.tobytes(), v.tobytes()) for u, v in zip(x, y)]
+            held = None if done else cut(rows, last, None)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([min(f) for f in found], pa.binary()),
+                 pa.array([max(f) for f in found], pa.binary())], names=["a", "b"])
+    return run
+
+
+def _open_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Possible links between classes of different components that share a bucket.
 
-    The classes of an open bucket are dealt to blocks; each pair of blocks is a join key of
-    its own, so a bucket of any size is spread over tasks of bounded work."""
-    known = buckets.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "key", "cls", F.coalesce("label", "cls").alias("comp"))
-    live = (known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                     F.count("*").alias("n"))
-            .where("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    members = materialise(known.join(live, "key"), "dup-open")
-    keys = members.groupBy("cls").agg(F.collect_set("key").alias("keys"))
-    words = [c for c in light.columns if c.startswith("k")]
-    full = (members.withColumn("at", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-            .join(keys, "cls").join(light.select("cls", "n", *words), "cls"))
+    The classes of a bucket are dealt to blocks; each pair of blocks is tested as a whole in
+    numpy, so a bucket of any size is spread over tasks of bounded work, and only what
+    passes becomes rows."""
+    words = _words(members)
+    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    full = members.join(blocks, "key").withColumn("at", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    left = full.select("*", F.explode(F.filter(every, lambda j: j >= F.col("at"))).alias("to")).alias("x")
-    right = full.select("*", F.explode(F.filter(every, lambda j: j <= F.col("at"))).alias("from")).alias("y")
-    x, y = lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")
-    once = (x("at") != y("at")) | (x("cls") < y("cls"))
-    first = F.array_min(F.array_intersect(x("keys"), y("keys"))) == x("key")
-    return left.join(right, (x("key") == y("key")) & (x("at") == y("from")) & (x("to") == y("at"))
-                     & once & (x("comp") != y("comp"))
-                     & _possible(x("n"), y("n"), [x(k) for k in words], [y(k) for k in words], percent)
-                     & first).select(x("cls").alias("a"), y("cls").alias("b"))
+    dealt = full.select("key", "at", "cls", "comp", "n", "spare", *words, F.explode(every).alias("to"))
+    dealt = dealt.select("key", F.least("at", "to").alias("p"), F.greatest("at", "to").alias("q"),
+                         "at", "cls", "comp", "n", F.col("spare").cast("long").alias("spare"), *words)
+    return (dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+            .mapInArrow(_meet(words, percent), "a binary, b binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -187,25 +281,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              F.first("n_shingles").alias("n")), "dup-classes")
 
     member = classes.select("cls", F.explode("bands").alias("key"))
-    reps = (member.groupBy("key").agg(F.min("cls").alias("rep"), F.count("*").alias("n"))
-            .where("n > 1").select("key", "rep"))
-    buckets = materialise(member.join(reps, "key").select("key", "cls", "rep"), "dup-buckets")
+    shared = member.groupBy("key").agg(F.count("*").alias("with")).where(F.col("with") > 1)
+    buckets = materialise(member.join(shared, "key"), "dup-buckets")
+    names = [f"k{i}" for i in range(-(-4 * rows * groups // 64))] + [f"m{i}" for i in range(BITMAP // 64)]
+    light = materialise(
+        buckets.groupBy("cls").agg(F.sum("with").alias("central")).join(classes, "cls").select(
+            "cls", "central", "n", "row",
+            *[F.element_at("sketch", i + 1).alias(c) for i, c in enumerate(names)]), "dup-light")
+    spare = F.col("n") - sum((F.bit_count(m) for m in names if m.startswith("m")), F.lit(0))
     # the full sets of the classes that share a bucket with another
-    count = -(-4 * rows * groups // 64)
-    light = materialise(buckets.select("cls").distinct().join(classes, "cls").select(
-        "cls", "n", "row", *[F.element_at("sketch", i + 1).alias(f"k{i}") for i in range(count)]),
-        "dup-light")
     wanted = light.select("cls", F.col("row.doc").alias("doc"), F.col("row.tkey").alias("tkey"))
     sets = materialise(join_rows(src, wanted, ["doc", "tkey"]).select("cls", "text")
                        .mapInArrow(_sets, "cls binary, shingles array<long>")
                        .dropDuplicates(["cls"]), "dup-sets")
 
-    links = materialise(_verify(_star_pairs(buckets, light, percent), sets, percent), "dup-links")
-    labels = components(links)
-    rest = buckets.where("cls != rep").select("key", "cls")   # a star has met all others
-    more = materialise(_verify(_open_pairs(rest, labels, light, percent), sets, percent), "dup-links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    members = buckets.select("key", "cls").join(light.drop("row").withColumn("spare", spare), "cls")
+    links = labels = None
+    for step in (*CENTRAL, None):
+        state = _open(members, labels)
+        pairs = _open_pairs(state, percent) if step is None else _central_pairs(state, step, percent)
+        found = materialise(_verify(pairs, sets, percent), "dup-links")
+        if labels is None or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = components(links)
 
     firsts = (labels.join(classes.select(F.col("cls").alias("node"), "first"), "node"))
     roots = firsts.groupBy("label").agg(F.min("first").alias("root"))
