@@ -6,6 +6,7 @@ from __future__ import annotations
 import math
 
 import duckdb
+import pandas as pd
 
 from pricelens.sources.fixtures import TABLES
 
@@ -18,6 +19,8 @@ def duck(sf_dir: str):
 
 
 def _norm(v, digits):
+    if v is pd.NA or v is pd.NaT:
+        return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
