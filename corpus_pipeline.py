@@ -19,8 +19,9 @@ from pricelens.llm.queries import contaminated, sharded
 from pricelens.llm.util import (held_out, join_rows, materialise, reach_package, read_table,
                                 text_key)
 
-#: A text whose best language has a smaller share than this is in no learned language.
-LEAST_SCORE = 0.5
+#: A text whose best language has a smaller share than this says nothing about its language;
+#: short clean texts between two close languages stay.
+LEAST_SCORE = 0.3
 KEYS = ["_doc", "_tkey"]
 
 
