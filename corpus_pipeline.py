@@ -22,6 +22,8 @@ from pricelens.llm.util import (held_out, join_rows, materialise, reach_package,
 #: A text whose best language has a smaller share than this says nothing about its language;
 #: short clean texts between two close languages stay.
 LEAST_SCORE = 0.3
+#: Documents whose sets of five-word shingles are similar to 0.80 or more are near-duplicates.
+DUPLICATE_PERCENT = 80
 KEYS = ["_doc", "_tkey"]
 
 
@@ -41,10 +43,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, that with the smallest id, and
+    """Keeps one document of each group of near-duplicates (similarity of five-word shingles
+    0.80 or more, against 0.85 in the query of the operator), that with the smallest id, and
     every document without words (those are linked with nothing)."""
     reach_package(spark)
-    groups = near_duplicates(docs)
+    groups = near_duplicates(docs, percent=DUPLICATE_PERCENT)
     first = (groups.where("n_shingles > 0").groupBy("group")
              .agg(F.min(F.struct(F.col("doc").isNull().alias("x"), "doc", "tkey")).alias("m"))
              .select(F.col("m.doc").alias("_doc"), F.col("m.tkey").alias("_tkey"),

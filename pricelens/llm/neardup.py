@@ -3,11 +3,13 @@
 Each hash function gives a document two signature values, the smallest and the largest hash
 of its shingles; both agree between two sets with a probability equal to their similarity,
 so half the evaluations fill the same signature. ``ROWS`` minima (or maxima) of different
-functions make a band. At the linking threshold of 0.85 a pair misses all 40 bands with
+functions make a band. Lower thresholds get shorter bands (``layout``): at 0.85 there are 40
+bands of 6, at 0.80 48 bands of 5, and a pair right at the threshold misses all of them with
 probability 6e-9. Before full sets are fetched, a pair passes three tests: sizes; a bitmap
 of ``BITMAP`` bits per set, whose bits on one side only are members on one side only, an
 exact bound; and a sketch of two bits of every signature value, which drops pairs of larger
-sets that it puts under ``LEAST_ESTIMATE``, 5 standard deviations below the threshold.
+sets that differ in more bits than a pair at the threshold does with probability 1e-7
+(``most_differing``).
 
 Documents with the same set form one class, compared once. Within a bucket of a band, all
 classes are first compared with the bucket's most central class only, that which shares most
@@ -25,7 +27,9 @@ a null id is never the smallest of a group that has another id; extra columns ar
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -41,13 +45,40 @@ SHINGLE = 5
 ROWS = 6
 GROUPS = 20                     # of ROWS hash functions each, a minimum and a maximum band
 PERCENT = 85
-LEAST_ESTIMATE = 0.70
+MISS_BANDS = 6e-9               # of a pair at the threshold: sharing no band,
+MISS_SKETCH = 1e-7              # and being dropped by the sketch
 BITMAP = 1024
 SURE_SIZE = 30                  # sets smaller than this are always compared in full
 CENTRAL = (1, 4)                # most central classes of a bucket that each round compares
 BLOCK = 256                     # classes of a bucket that meet in one task
 
 
+def layout(percent: int) -> tuple[int, int]:
+    """Rows of a band and groups of functions for a threshold: the longest bands which a pair
+    at the threshold misses, all of them, with a probability of ``MISS_BANDS`` at most."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be over 0 and at most 100, not {percent}")
+    for rows in range(ROWS, 0, -1):
+        groups = ROWS * GROUPS // rows
+        missed = 1 - (percent / 100) ** rows
+        if missed ** (2 * groups) <= MISS_BANDS:
+            return rows, groups
+    return 1, math.ceil(math.log(MISS_BANDS) / math.log(missed) / 2)
+
+
+@cache
+def most_differing(values: int, percent: int) -> int:
+    """The bits in which the sketches of ``values`` signature values may differ: a pair at
+    the threshold differs in more with a probability of ``MISS_SKETCH`` at most. A value
+    differs with probability 1 - similarity, and then each of its two bits in half the cases."""
+    apart = 1 - percent / 100
+    one, chance = np.array([1 - 0.75 * apart, 0.5 * apart, 0.25 * apart]), np.ones(1)
+    for _ in range(values):
+        chance = np.convolve(chance, one)
+    more = np.cumsum(chance[::-1])[::-1]                # of differing in so many bits or more
+    return int(np.count_nonzero(more > MISS_SKETCH)) - 1
+
+
 def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
     x = T.mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
     return x[:n] | np.uint64(1), x[n:]
@@ -122,17 +153,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                           pa.list_(pa.int64()))], names=["cls", "shingles"])
 
 
-def _possible(x, y, words: list[str], percent: int) -> Column:
+def _possible(x, y, words: list[str], percent: int, most: int) -> Column:
     """Whether sizes, bitmaps and sketches leave room for a link. ``x`` and ``y`` give the
     columns of either side; ``spare`` is the set's size less the bits of its bitmap, so the
-    bits in common and the smaller spare bound the intersection from above."""
+    bits in common and the smaller spare bound the intersection from above; sketches may
+    differ in ``most`` bits."""
     common = sum((F.bit_count(x(m).bitwiseAND(y(m))) for m in words if m.startswith("m")), F.lit(0))
     room = ((100 + percent) * common >= percent * (x("n") + y("n"))
             - (100 + percent) * F.least(x("spare"), y("spare")))
     values = [w for w in words if w.startswith("k")]
     differ = sum((F.bit_count(x(k).bitwiseXOR(y(k))) for k in values), F.lit(0))
-    close = differ <= int((1 - LEAST_ESTIMATE) / 2 * 64 * len(values))
-    return room & (close | (F.least(x("n"), y("n")) < SURE_SIZE))
+    return room & ((differ <= most) | (F.least(x("n"), y("n")) < SURE_SIZE))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -148,8 +179,8 @@ def _words(members: DataFrame) -> list[str]:
     return [c for c in members.columns if c[:1] in "km" and c[1:].isdigit()]
 
 
-def _pair_test(x, y, words: list[str], percent: int) -> Column:
-    return (x("comp") != y("comp")) & _possible(x, y, words, percent)
+def _pair_test(x, y, words: list[str], percent: int, most: int) -> Column:
+    return (x("comp") != y("comp")) & _possible(x, y, words, percent, most)
 
 
 def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -163,19 +194,20 @@ def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return materialise(known.join(live, "key"), "dup-open")
 
 
-def _central_pairs(members: DataFrame, top: int, percent: int) -> DataFrame:
+def _central_pairs(members: DataFrame, top: int, percent: int, most: int) -> DataFrame:
     """Possible links with the ``top`` most central classes of each bucket. Only that many
     rows of a bucket leave each map task for the ranking."""
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("central"), "cls"))
     hubs = members.withColumn("rank", rank).where(F.col("rank") <= top).alias("x")
     x, y = lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")
     return (members.alias("y").join(hubs, (x("key") == y("key"))
-                                    & _pair_test(x, y, _words(members), percent))
+                                    & _pair_test(x, y, _words(members), percent, most))
             .select(F.least(x("cls"), y("cls")).alias("a"), F.greatest(x("cls"), y("cls")).alias("b"))
             .distinct())
 
 
-def _block_links(batch: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _block_links(batch: dict[str, np.ndarray], percent: int,
+                 most: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the possible links in the rows of one pair of blocks."""
     one = batch["at"] == batch["p"]
     left = np.flatnonzero(one)
@@ -196,12 +228,11 @@ def _block_links(batch: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray
     i, j = left[i], right[j]
     differ = sum((np.bitwise_count(k[i] ^ k[j]).astype(np.int64) for k in batch["values"]),
                  np.zeros(len(i), np.int64))
-    near = ((differ <= int((1 - LEAST_ESTIMATE) / 2 * 64 * len(batch["values"])))
-            | (np.minimum(n[i], n[j]) < SURE_SIZE))
+    near = (differ <= most) | (np.minimum(n[i], n[j]) < SURE_SIZE)
     return i[near], j[near]
 
 
-def _meet(words: list[str], percent: int):
+def _meet(words: list[str], percent: int, most: int):
     """Rows sorted by pair of blocks -> possible links."""
     def arrays(b: pa.RecordBatch) -> dict[str, np.ndarray]:
         num = lambda c: b.column(c).to_numpy(zero_copy_only=False)
@@ -234,7 +265,7 @@ def _meet(words: list[str], percent: int):
                 ends, last = ends[:-1], (ends[-2] if len(ends) > 1 else 0)
             found: list[tuple[np.ndarray, np.ndarray]] = []
             for lo, hi in zip([0, *ends], ends):
-                i, j = _block_links(cut(rows, lo, hi), percent)
+                i, j = _block_links(cut(rows, lo, hi), percent, most)
                 if len(i):
                     x, y = rows["cls"][lo:hi][i], rows["cls"][lo:hi][j]
                     found += [(u.tobytes(), v.tobytes()) for u, v in zip(x, y)]
@@ -245,7 +276,7 @@ def _meet(words: list[str], percent: int):
     return run
 
 
-def _open_pairs(members: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(members: DataFrame, percent: int, most: int) -> DataFrame:
     """Possible links between classes of different components that share a bucket.
 
     The classes of a bucket are dealt to blocks; each pair of blocks is tested as a whole in
@@ -259,14 +290,19 @@ def _open_pairs(members: DataFrame, percent: int) -> DataFrame:
     dealt = dealt.select("key", F.least("at", "to").alias("p"), F.greatest("at", "to").alias("q"),
                          "at", "cls", "comp", "n", F.col("spare").cast("long").alias("spare"), *words)
     return (dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-            .mapInArrow(_meet(words, percent), "a binary, b binary").distinct())
+            .mapInArrow(_meet(words, percent, most), "a binary, b binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    percent: int = PERCENT, rows: int = ROWS, groups: int = GROUPS) -> DataFrame:
+                    percent: int = PERCENT, rows: int | None = None,
+                    groups: int | None = None) -> DataFrame:
     """Per document row: doc, tkey, n_shingles, component (smallest id of the documents it
     is linked with, directly or through others; its own id if with none) and group (a digest
-    that all rows of a component share; null without words)."""
+    that all rows of a component share; null without words).
+    Documents are linked at a similarity of ``percent`` hundredths or more; bands and sketch
+    follow from it (``rows`` and ``groups`` override the bands)."""
+    rows, groups = rows or layout(percent)[0], groups or layout(percent)[1]
+    most = most_differing(2 * rows * groups, percent)
     src = docs.select(F.col(doc_id).alias("doc"), text_key(text).alias("tkey"),
                       F.col(text).alias("text"))
     kind = src.schema["doc"].dataType.simpleString()
@@ -299,7 +335,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = labels = None
     for step in (*CENTRAL, None):
         state = _open(members, labels)
-        pairs = _open_pairs(state, percent) if step is None else _central_pairs(state, step, percent)
+        pairs = (_open_pairs(state, percent, most) if step is None
+                 else _central_pairs(state, step, percent, most))
         found = materialise(_verify(pairs, sets, percent), "dup-links")
         if labels is None or not found.isEmpty():
             links = found if links is None else links.union(found)

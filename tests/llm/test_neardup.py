@@ -95,3 +95,36 @@ def test_components_of_a_path_a_star_and_loops(spark):
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a string, b string")).collect()}
     assert {got[f"{i:03}"] for i in range(41)} == {"000"}
     assert {got[f"{i}"] for i in range(900, 950)} == {"900"} and "x" not in got
+
+
+def test_links_between_80_and_85_equal_brute_force(spark):
+    """Copies of every length with scattered edits, in pairs: links at 80 are those of full sets."""
+    rng = random.Random(12)
+    docs = []
+    for i in range(150):
+        w = [f"w{rng.randint(0, 10**6)}" for _ in range(rng.choice((40, 100, 300, 900)))]
+        docs.append((2 * i, " ".join(w)))
+        for at in rng.sample(range(len(w)), max(1, round(len(w) * rng.choice((.018, .02, .022, .025))))):
+            w[at] = f"x{rng.randint(0, 10**6)}"
+        docs.append((2 * i + 1, " ".join(w)))
+    want, between = {}, 0
+    for (a, s), (b, t) in zip(docs[::2], docs[1::2]):
+        both, either = len(shingles(s) & shingles(t)), len(shingles(s) | shingles(t))
+        want[a], want[b] = a, a if 100 * both >= 80 * either else b
+        between += 80 * either <= 100 * both < 85 * either
+    got = N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=80)
+    assert between >= 20 and len(set(want.values())) > 155
+    assert {r["doc"]: r["component"] for r in got.collect()} == want
+
+
+def test_bands_and_sketch_follow_the_threshold():
+    """At every threshold a pair right at it is missed as rarely as documented."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    assert N.layout(85) == (N.ROWS, N.GROUPS) and N.layout(80) == (5, 24)
+    for percent in (1, 30, 50, 70, 80, 85, 95, 100):
+        rows, groups = N.layout(percent)
+        assert (1 - (percent / 100) ** rows) ** (2 * groups) <= N.MISS_BANDS
+        values = 2 * rows * groups
+        apart = rng.binomial(values, 1 - percent / 100, 400_000)
+        assert (rng.binomial(2 * apart, 0.5) > N.most_differing(values, percent)).sum() <= 1

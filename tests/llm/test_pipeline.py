@@ -53,3 +53,12 @@ def test_empty_and_odd_tables(spark, odd_docs, no_docs, corpus):
             assert out.count() >= 0
             if "slot" not in out.columns:
                 assert out.columns == docs.columns and (table is docs or out.isEmpty())
+
+
+def test_copies_of_similarity_80_to_85_go(spark):
+    """100 words, two scattered ones changed: 86 of 106 shingles in common, 0.81."""
+    words = [f"w{i}" for i in range(100)]
+    edited = [f"x{i}" if i in (30, 70) else w for i, w in enumerate(words)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(edited)), (3, "another text of six words")],
+                                 "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in C.near_duplicate_removal(spark, docs, "").collect()) == [1, 3]
