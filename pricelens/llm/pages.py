@@ -2,14 +2,15 @@
 
 Pages are parsed once into text blocks. Elements that are boilerplate by name or class
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) give
-none. Every other element that could be part of a site's template is hashed with its
-subtree; Spark counts, per host, the pages on which each hash occurs, and subtrees that recur
-on at least ``LEAST_PAGES`` pages and ``LEAST_SHARE`` of the host's pages are deleted.
+none. Every other element that holds a text block, inside the article or not, could be part of
+a site's template and is hashed with its subtree.
 
-The content of ``article`` (else ``main``) elements is the main text where a page has any;
-inside it only subtrees that consist mostly of links count as template, because articles
-that are copied within a host are content. Pages without such elements keep all blocks that
-no deleted subtree holds.
+The content of ``article`` (else ``main``) elements is the main text where a page has any, else
+all of its blocks. With each hash goes a digest of the rest: the page's main text without the
+blocks that the hash's subtrees hold. Spark counts, per host and hash, the different rests.
+Copies of a page or article have the same rest and count once, so that they are content;
+subtrees that recur with at least ``LEAST_PAGES`` rests and on ``LEAST_SHARE`` of the host's
+pages are deleted, with all blocks they hold.
 
 Defined cases: null html is empty; a page without text has the empty text; unclosed,
 crossed and unknown tags are closed as browsers do, a ``<`` that starts no tag is text;
@@ -57,12 +58,12 @@ _SCOPE = {"table", "ul", "ol", "dl", "article", "main", "section", "body", "html
 
 
 class _Element:
-    __slots__ = ("tag", "number", "drop", "zone", "digest", "text", "link")
+    __slots__ = ("tag", "number", "drop", "zone", "digest", "text")
 
     def __init__(self, tag: str, number: int, drop: bool, zone: int, names: str):
         self.tag, self.number, self.drop, self.zone = tag, number, drop, zone
         self.digest = hashlib.blake2b(f"{tag}|{names}".encode(), digest_size=8)
-        self.text = self.link = 0
+        self.text = 0
 
 
 def _boilerplate(tag: str, attrs: str) -> tuple[bool, str]:
@@ -75,8 +76,9 @@ def _boilerplate(tag: str, attrs: str) -> tuple[bool, str]:
     return drop and tag not in ("html", "body"), joined
 
 
-def parse_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """(main blocks with the hashes of template candidates that hold them, all candidates)."""
+def parse_page(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, int]]]:
+    """(main blocks with the hashes of template candidates that hold them; of each candidate
+    its hash and the digest of the main blocks that it does not hold)."""
     stack: list[_Element] = [_Element("", 0, False, 0, "")]
     blocks: list[tuple[int, str, list[int]]] = []       # zone, text, numbers of open elements
     hashes: dict[int, int] = {}                           # number -> subtree hash of candidates
@@ -109,9 +111,7 @@ def parse_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
         digest = e.digest.digest()
         up.digest.update(b"\x02" + digest)
         up.text += e.text
-        up.link += e.text if e.tag == "a" else e.link
-        if e.text and e.tag not in ("html", "body", "article", "main") and (
-                e.zone == 0 or 2 * e.link >= e.text and e.tag not in ("a", "p")):
+        if e.text and e.tag not in ("html", "body", "article", "main"):
             hashes[e.number] = int.from_bytes(digest, "little", signed=True)
 
     def close_to(depth: int) -> None:
@@ -172,22 +172,33 @@ def parse_page(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     flush()
     close_to(1)
     best = max((zone for zone, _, _ in blocks), default=0)
-    return ([(text, sorted({hashes[n] for n in open_ if n in hashes}))
-             for zone, text, open_ in blocks if zone == best], sorted(set(hashes.values())))
+    main, total = [], 0
+    without: dict[int, int] = {}                          # hash -> sum of the main blocks it holds
+    for zone, text, open_ in blocks:
+        held = {hashes[n] for n in open_ if n in hashes}
+        value = 0
+        if zone == best:
+            main.append((text, sorted(held)))
+            value = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+            total += value
+        for mark in held:
+            without[mark] = without.get(mark, 0) + value
+    return main, [(mark, (total - value + 2**63) % 2**64 - 2**63) for mark, value in sorted(without.items())]
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = pa.struct([("text", pa.string()), ("held", pa.list_(pa.int64()))])
+    mark = pa.struct([("mark", pa.int64()), ("rest", pa.int64())])
     for b in batches:
         blocks, marks = [], []
         for page in b.column("html").to_pylist():
             got, hashes = parse_page(page or "")
             blocks.append([{"text": t, "held": h} for t, h in got])
-            marks.append(hashes)
+            marks.append([{"mark": m, "rest": r} for m, r in hashes])
         rest = [c for c in b.schema.names if c != "html"]
         yield pa.RecordBatch.from_arrays(
             [*(b.column(c) for c in rest), pa.array(blocks, pa.list_(block)),
-             pa.array(marks, pa.list_(pa.int64()))], names=[*rest, "blocks", "marks"])
+             pa.array(marks, pa.list_(mark))], names=[*rest, "blocks", "marks"])
 
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
@@ -201,10 +212,12 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         F.xxhash64(F.col(url), F.col(html)).alias("pkey"), F.col(html).alias("html"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     parsed = materialise(rows.mapInArrow(
-        _parse, f"{kinds}, blocks array<struct<text:string,held:array<bigint>>>, marks array<long>"),
+        _parse, f"{kinds}, blocks array<struct<text:string,held:array<bigint>>>, "
+        "marks array<struct<mark:bigint,rest:bigint>>"),
         "pages-parsed")
-    seen = parsed.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(
-        F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    # copies leave the same rest and count once
+    seen = (parsed.select("host", F.inline("marks")).distinct().groupBy("host", "mark")
+            .agg(F.count("*").alias("n")).where(F.col("n") >= least_pages))
     hosts = parsed.groupBy("host").agg(F.count("*").alias("pages"))
     template = seen.join(hosts, "host").where(F.col("n") >= least_share * F.col("pages")).select(
         "host", "mark")

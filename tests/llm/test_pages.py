@@ -56,3 +56,20 @@ def test_odd_rows_and_empty_table(spark):
     assert got == sorted([(1, None, 0), (1, None, 0), (None, "u", 1), (2, "no host", 0),
                           (3, "http://x/y", 999_999), (3, "http://x/y", 1)], key=str)
     assert extract_pages(df.where("false")).count() == 0
+
+
+def texts(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["pid"]: r["text"] for r in extract_pages(pages).collect()}
+
+
+def test_inserts_that_recur_in_different_articles_go(spark):
+    """A neutral box inside the article goes; copied articles keep everything else."""
+    box = '<div class="x17"><p>Get our letter every week</p></div>'
+    page = lambda i, body: (i, f"http://h.example/{i}", f"<article><p>{body}</p>{box}<p>End of {body}</p></article>")
+    rows = [page(i, f"story {i}") for i in range(20)] + [page(100 + i, "a copied story") for i in range(20)]
+    rows += [(200, "http://small.example/1", f"<article><p>alone</p>{box}</article>")]
+    got = texts(spark, rows)
+    assert all(got[i] == f"story {i}\n\nEnd of story {i}" for i in range(20))
+    assert {got[100 + i] for i in range(20)} == {"a copied story\n\nEnd of a copied story"}
+    assert got[200] == "alone\n\nGet our letter every week"
