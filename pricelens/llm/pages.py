@@ -9,13 +9,13 @@ The content of ``article`` (else ``main``) elements is the main text where a pag
 all of its blocks. With each hash goes a digest of the rest: the page's main text without the
 blocks that the hash's subtrees hold. Spark counts, per host and hash, the different rests.
 Copies of a page or article have the same rest and count once, so that they are content;
-subtrees that recur with at least ``LEAST_PAGES`` rests and on ``LEAST_SHARE`` of the host's
-pages are deleted, with all blocks they hold.
+subtrees that recur with at least ``LEAST_PAGES`` rests are deleted, with all blocks they
+hold. The bound is a number, not a share, so that the menu of a section of a large host goes.
 
 Defined cases: null html is empty; a page without text has the empty text; unclosed,
 crossed and unknown tags are closed as browsers do, a ``<`` that starts no tag is text;
-pages without a host count as one host; repeated rows count as pages of their own and get
-the same text; any nesting depth is handled without recursion; extra columns are ignored."""
+pages without a host count as one host; repeated rows count as one page and get the same
+text; any nesting depth is handled without recursion; extra columns are ignored."""
 
 from __future__ import annotations
 
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from .util import join_rows, materialise
 
 LEAST_PAGES = 8
-LEAST_SHARE = 0.2
+#: Bits of the filter of pages that lose blocks: at most 65,536 words on every executor.
+FILTER_BITS = 1 << 22
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
@@ -202,8 +203,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
-                  html: str = "html", least_pages: int = LEAST_PAGES,
-                  least_share: float = LEAST_SHARE) -> DataFrame:
+                  html: str = "html", least_pages: int = LEAST_PAGES) -> DataFrame:
     """Per page row: pid, url, text."""
     rows = pages.select(
         F.col(page_id).alias("pid"), F.col(url).alias("url"),
@@ -216,20 +216,24 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         "marks array<struct<mark:bigint,rest:bigint>>"),
         "pages-parsed")
     # copies leave the same rest and count once
-    seen = (parsed.select("host", F.inline("marks")).distinct().groupBy("host", "mark")
-            .agg(F.count("*").alias("n")).where(F.col("n") >= least_pages))
-    hosts = parsed.groupBy("host").agg(F.count("*").alias("pages"))
-    template = seen.join(hosts, "host").where(F.col("n") >= least_share * F.col("pages")).select(
-        "host", "mark")
+    template = (parsed.select("host", F.inline("marks")).distinct().groupBy("host", "mark")
+                .agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+                .select("host", "mark"))
     keys = ["pid", "pkey"]
     held = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["held"])))
-    plain = F.size(held) == 0
-    drops = (parsed.where(~plain).select(*keys, "host", F.explode(held).alias("mark"))
-             .join(template, ["host", "mark"])
-             .groupBy(*keys).agg(F.collect_set("mark").alias("gone")))
-    other = join_rows(parsed.where(~plain), drops, keys, "left")
+    drops = materialise(parsed.select(*keys, "host", F.explode(held).alias("mark"))
+                        .join(template, ["host", "mark"])
+                        .groupBy(*keys).agg(F.collect_set("mark").alias("gone")), "pages-drops")
+    # pages that lose nothing aren't shuffled: a bit filter of those that do tells most of them
+    slot = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    bits = (drops.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")))
+    told = (parsed.withColumn("slot", slot).withColumn("word", F.expr("slot div 64"))
+            .join(F.broadcast(bits), "word", "left"))
+    hit = F.expr("coalesce(shiftrightunsigned(bits, cast(slot % 64 as int)) & 1, 0) = 1")
+    other = join_rows(told.where(hit), drops, keys, "left")
     kept = F.expr("filter(blocks, b -> gone is null or not arrays_overlap(b.held, gone))")
-    both = parsed.where(plain).select("pid", "url", "blocks").union(
+    both = told.where(~hit).select("pid", "url", "blocks").union(
         other.select("pid", "url", kept.alias("blocks")))
     return both.select("pid", "url", F.array_join(
         F.transform("blocks", lambda b: b["text"]), "\n\n").alias("text"))

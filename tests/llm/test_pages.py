@@ -73,3 +73,14 @@ def test_inserts_that_recur_in_different_articles_go(spark):
     assert all(got[i] == f"story {i}\n\nEnd of story {i}" for i in range(20))
     assert {got[100 + i] for i in range(20)} == {"a copied story\n\nEnd of a copied story"}
     assert got[200] == "alone\n\nGet our letter every week"
+
+
+def test_different_pages_count_not_rows_or_shares(spark):
+    """Without an article: copied pages keep their text, a section's menu goes on a large host."""
+    page = lambda i, menu, body: (i, f"http://h.example/{i}", f"<div><div><div>{menu}</div></div><p>{body}</p></div>")
+    rows = [page(i, "Menu of the section" if i < 12 else f"menu {i}", f"story {i}") for i in range(80)]
+    rows += [page(100 + i, "A copied start", "and a copied end") for i in range(30)]
+    got = texts(spark, rows)
+    assert all(got[i] == f"story {i}" for i in range(12))
+    assert all(got[i] == f"menu {i}\n\nstory {i}" for i in range(12, 80))
+    assert {got[100 + i] for i in range(30)} == {"A copied start\n\nand a copied end"}
