@@ -1,15 +1,18 @@
 """Learning-curve experiment.
 
 Every (size, sampling method, repetition) cell is a slice of ONE DataFrame keyed by
-``cell``. The robust regressions of all cells are fitted together in a single grouped
-job (``applyInPandas`` per cell; a cell holds at most ``n_size`` rows), the forest of
-each cell is a Spark ML fit, and all predictions are scored in one ``groupBy``.
+``cell``. Each cell fits its own preparation (medians, scaling, category index) on its
+training rows alone, so a small cell knows nothing of the rest of the pool. The robust
+regressions of all cells are fitted together in a single grouped job (``applyInPandas`` per
+cell; a cell holds at most ``n_size`` rows), the forest of each cell is a Spark ML fit, and
+all predictions are scored in one ``groupBy``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -126,13 +129,7 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
     # Both inputs are used by every cell; freezing them first also keeps the optimizer
     # away from re-deriving constraints through the long upstream lineage for each use.
     train, test = checkpointed(train), checkpointed(test)
-    # One preparation (impute, index, one-hot, scale) fitted on the whole pool
-    prep = Pipeline(stages=prep_stages(numeric, categorical, scale=True,
-                                       clean_categories=True)).fit(train)
-    # both inputs are read once per cell: freeze them in the checkpoint folder first
-    ptrain = checkpointed(prep.transform(train).select(key, group, label, global_pred, "features"))
-    ptest = checkpointed(prep.transform(test).select(key, group, label, global_pred, "features"))
-    ctrain, ctest, meta = build_cells(ptrain, ptest, key, group, cfg)
+    ctrain, ctest, meta = build_cells(train, test, key, group, cfg)
     ctrain = checkpointed(ctrain)  # cut the long union lineage once
     ctest = checkpointed(ctest)
     sizes = {r["cell"]: r["n"] for r in ctrain.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
@@ -149,9 +146,30 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
     # Baseline: the global prediction on each cell's test rows
     base = ctest.select("cell", label, F.col(global_pred).alias("pred"), F.lit(BASELINE).alias("model"))
 
+    # Each cell's own preparation (impute, index, one-hot, scale). A column without any
+    # value in a cell has no median there and is left out of that cell.
+    known = {r["cell"]: r for r in ctrain.groupBy("cell").agg(
+        *[F.count(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))).alias(c)
+          for c in numeric]).collect()}
+
+    def prepare(c: int) -> tuple[DataFrame, DataFrame]:
+        tr_c, te_c = ctrain.where(F.col("cell") == c), ctest.where(F.col("cell") == c)
+        prep = Pipeline(stages=prep_stages([n for n in numeric if known[c][n]], categorical,
+                                           scale=True, clean_categories=True)).fit(tr_c)
+        cols = ["cell", label, global_pred, "features"]
+        return checkpointed(prep.transform(tr_c).select(*cols)), checkpointed(prep.transform(te_c).select(*cols))
+
+    prepared = dict(zip(good, run_concurrently([lambda c=c: prepare(c) for c in good])))
+
+    def vectors(side: int) -> DataFrame:
+        """Rows of all prepared cells; the vectors of two cells can differ in length."""
+        none = ctrain.limit(0).select("cell", label, global_pred, F.lit(None).cast("array<double>").alias("x"))
+        parts = [prepared[c][side].select("cell", label, global_pred, vector_to_array("features").alias("x"))
+                 for c in good]
+        return reduce(DataFrame.unionByName, parts, none)
+
     # Robust regressions for all cells in one grouped job (hybrid on residuals, calibrated)
-    xs = ctrain.where(F.col("cell").isin(good)).select(
-        "cell", label, global_pred, vector_to_array("features").alias("x"))
+    xs = vectors(0)
     eps, alpha = cfg.huber_epsilon, cfg.huber_alpha
 
     def fit_cell(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -165,8 +183,7 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
 
     coefs = xs.groupBy("cell").applyInPandas(
         fit_cell, "cell int, w_h array<double>, b_h double, w_c double, b_c double")
-    tx = ctest.where(F.col("cell").isin(good)).select(
-        "cell", label, global_pred, vector_to_array("features").alias("x")).join(coefs, "cell")
+    tx = vectors(1).join(coefs, "cell")
     dot = F.aggregate(F.zip_with("x", "w_h", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     hybrid = tx.select("cell", label, (F.col(global_pred) + dot + F.col("b_h")).alias("pred"),
                        F.lit(HYBRID).alias("model"))
@@ -175,16 +192,15 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
 
     # Local forest per cell (Spark ML); predictions stay distributed
     def fit_forest(c: int):
-        tr_c = ctrain.where(F.col("cell") == c)
         return RandomForestRegressor(featuresCol="features", labelCol=label,
                                      numTrees=cfg.rf_trees, maxDepth=cfg.rf_depth,
                                      featureSubsetStrategy="all", seed=cfg.seed,
-                                     cacheNodeIds=True).fit(tr_c)
+                                     cacheNodeIds=True).fit(prepared[c][0])
 
     forests = run_concurrently([lambda c=c: fit_forest(c) for c in good])
     preds = [base, hybrid, calib]
     for c, rf in zip(good, forests):
-        p = rf.transform(ctest.where(F.col("cell") == c))
+        p = rf.transform(prepared[c][1])
         preds.append(p.select("cell", label, F.col("prediction").alias("pred"),
                               F.lit(LOCAL).alias("model")))
     allp = preds[0]

@@ -34,6 +34,43 @@ def test_learning_curve_cells_and_models(spark):
     assert all(r.display_name for r in agg)
 
 
+def test_each_cell_fits_its_preparation_on_its_own_rows(spark, monkeypatch):
+    """No preparation sees more than its cell; a column that is empty in a cell is left out."""
+    test, train = _pool(spark)
+    train = train.withColumn("beds", F.lit(None).cast("double"))
+    fitted = []
+
+    class Spy(curve.Pipeline):
+        def fit(self, rows, params=None):
+            fitted.append(rows.count())
+            return super().fit(rows, params)
+
+    monkeypatch.setattr(curve, "Pipeline", Spy)
+    cfg = curve.CurveConfig(sizes=(20, 40), block_sizes=(1, 1), repetitions=1, rf_trees=2,
+                            rf_depth=3, min_test_rows=10)
+    res = curve.run_learning_curve(train, test, curveplan.BASE_NUMERIC,
+                                   curveplan.LOCAL_CATEGORICAL, cfg).collect()
+    assert sorted(fitted)[-2:] == [20, 40] < [train.count()]
+    assert {r.model for r in res if r.n_size == 20} >= {curve.LOCAL, curve.HYBRID, curve.CALIBRATED}
+
+
+def test_registered_curve_is_the_full_grid(monkeypatch):
+    seen = []
+    monkeypatch.setattr(curveplan, "diamond", lambda spark, d: (None, None))
+    monkeypatch.setattr(curveplan, "checkpointed", lambda df: df)
+    monkeypatch.setattr(curveplan, "_RESULTS", {})
+    monkeypatch.setattr(curve, "run_learning_curve", lambda *a: seen.append(a[4]))
+
+    class Context:
+        applicationId = "x"
+
+    class Session:
+        sparkContext = Context()
+
+    curveplan.learning_curve(Session(), "d")
+    assert seen == [curve.CurveConfig()]
+
+
 def test_calibration_beats_raw_on_biased_source(spark):
     ts = fx.two_source(spark, SF0001)
     test, train = split.hash_split(ts, "id", 20, 42)
