@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from paths import SF0001
 from pricelens.operators import curve, model, split
 from pricelens.plans import curveplan
 from pricelens.plans.models import _numeric_flags

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001, SF0001
+from paths import SF001, SF0001
 from oracle_compare import duck, frames_equal, types_differ
 
 ORACLE = E.oracle_sql()

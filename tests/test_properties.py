@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from pricelens.functions.columns import haversine_km
 from pricelens.operators import dist, geo, split
 from pricelens.sources import fixtures as fx

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from pricelens.operators import clean, split, stats
 from pricelens.sources import fixtures as fx
 
