@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, quality, toxicity
+from .clustering import cluster
 from .decontaminate import decontaminate
 from .fingerprints import fingerprint_documents
 from .mixing import mix_sources
@@ -98,10 +99,18 @@ def sharded(docs: DataFrame) -> DataFrame:
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_equal_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster(read_table(spark, sf_dir, "embeddings"))
+    components = F.transform("centroid", lambda c: c.cast("string"))
+    return found.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.array_join(components, ",").cast("binary"), 256).alias("centroid_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_winnowing, op2_ppm, op3_invertible_sketch, op4_cube_sampling, op5_warc_index,
     op6_min_max_hashing, op7_ftrl, op8_site_templates, op9_random_indexing,
-    op10_minimax_shards)}
+    op10_minimax_shards, op13_equal_average)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
@@ -156,4 +165,27 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
 FROM p LEFT JOIN f ON f.d = p.d
 """
 
-ORACLE = {"op1_winnowing": _OP1, "op5_warc_index": _OP5, "op6_min_max_hashing": _OP6}
+# the rounds are one text: every vector to its nearest centroid, then exact floored means
+_ASSIGN = """a{i} AS (SELECT r, vec_id, v, c, d FROM (
+  SELECT k.r, k.vec_id, k.v, m.c, CAST(list_sum(list_transform(list_zip(k.v, m.m),
+           lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d,
+         row_number() OVER (PARTITION BY k.r ORDER BY d, m.c) AS best FROM k, m{i} m) WHERE best = 1)"""
+_MOVE = """m{j} AS (SELECT c, list(t ORDER BY i) AS m FROM (
+  SELECT c, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS t FROM (
+    SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{i}, unnest(range(1, 65)) AS u(i) GROUP BY c, i)) GROUP BY c
+  UNION ALL SELECT c, m FROM m{i} WHERE c NOT IN (SELECT c FROM a{i}))"""
+_OP13 = """
+WITH k AS (SELECT row_number() OVER () AS r, vec_id,
+  list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+m0 AS (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS c, v AS m
+  FROM (SELECT sha256('1:' || vec_id) AS h, v FROM k ORDER BY h NULLS LAST, v LIMIT 16)),
+""" + ",\n".join(_ASSIGN.format(i=i) + ",\n" + _MOVE.format(i=i, j=i + 1) for i in range(3)) + ",\n" \
+    + _ASSIGN.format(i=3) + """
+SELECT vec_id, a3.c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a3.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m3.m, ',')) AS centroid_sha256
+FROM a3 JOIN m3 ON m3.c = a3.c
+"""
+
+ORACLE = {"op1_winnowing": _OP1, "op5_warc_index": _OP5, "op6_min_max_hashing": _OP6,
+          "op13_equal_average": _OP13}
