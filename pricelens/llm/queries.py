@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import langid, quality, toxicity
 from .clustering import cluster
+from .conversations import repair
 from .decontaminate import decontaminate
 from .fingerprints import fingerprint_documents
 from .mixing import mix_sources
@@ -17,7 +18,7 @@ from .neardup import near_duplicates
 from .neighbours import search
 from .pages import extract_pages
 from .sharding import shard
-from .util import held_out, read_table
+from .util import held_out, join_rows, read_table
 from .warc import read_records, write_archives
 
 
@@ -106,6 +107,30 @@ def op11_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The faults that the query plants, by crc32 of conversation and turn."""
+    known = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat(known["conv_id"], F.lit(":"), known["turn"]).cast("binary")) % 20
+    return (rows.select("conv_id", "turn", known["role"].alias("role"), known["text"].alias("text"), kind.alias("kind"))
+            .where("kind != 0")
+            .withColumns({"text": F.when(F.col("kind") == 1, "").when(
+                F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")),
+                "role": F.when(F.col("kind") == 4, "user").otherwise(F.col("role")),
+                "copy": F.explode(F.array_repeat(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1)))})
+            .select("conv_id", "turn", "role", "text"))
+
+
+def op12_bidirectional_dijkstra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    found = repair(damaged(rows)).withColumnRenamed("conv", "conv_id")
+    every = join_rows(rows.select("conv_id").distinct(), found, ["conv_id"], "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op13_equal_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cluster(read_table(spark, sf_dir, "embeddings"))
     components = F.transform("centroid", lambda c: c.cast("string"))
@@ -117,7 +142,8 @@ def op13_equal_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_winnowing, op2_ppm, op3_invertible_sketch, op4_cube_sampling, op5_warc_index,
     op6_min_max_hashing, op7_ftrl, op8_site_templates, op9_random_indexing,
-    op10_minimax_shards, op11_multi_index_hashing, op13_equal_average)}
+    op10_minimax_shards, op11_multi_index_hashing,
+    op12_bidirectional_dijkstra, op13_equal_average)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
@@ -184,6 +210,60 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
+# a step of the recursion takes one row: the cheapest (cost, letters) that end in each of the
+# four states of (s?(ua)+)?, first without, then with insertions behind the row
+_OP12 = r"""
+WITH RECURSIVE t AS (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''),
+      lambda ch: CAST(ascii(ch) AS BIGINT))), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS kind
+  FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations)),
+d AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS k, turn, kind, copy,
+    CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, conv_id
+  FROM t, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS u(copy)),
+n AS (SELECT k, turn, role, text, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen, left(role, 1) AS ini
+  FROM d WHERE kind <> 0),
+f AS (SELECT *, CASE WHEN seen = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1
+    THEN 'duplicate' WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    lag(ini) OVER (PARTITION BY k ORDER BY i) || ini AS pair FROM n),
+g AS (SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS gone,
+    CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more FROM f),
+w AS (SELECT k, CAST(0 AS BIGINT) AS i, [{'c': 0, 'a': ''}, {'c': 1000000000, 'a': ''},
+      {'c': 5, 'a': 'I'}, {'c': 10, 'a': 'II'}] AS b FROM (SELECT DISTINCT k FROM d)
+  UNION ALL
+  SELECT k, i, [b[1], b[2], b[3], list_min([b[4], {'c': b[3].c + 5, 'a': b[3].a || 'I'}])] AS b FROM (
+    SELECT k, i, [b[1], b[2], list_min([b[3], {'c': b[1].c + 5, 'a': b[1].a || 'I'},
+        {'c': b[2].c + 5, 'a': b[2].a || 'I'}, {'c': b[4].c + 5, 'a': b[4].a || 'I'}]), b[4]] AS b FROM (
+      SELECT w.k, g.i, [
+        {'c': b[1].c + 2, 'a': b[1].a || 'D'},
+        list_min([{'c': b[2].c + 2, 'a': b[2].a || 'D'},
+          {'c': CASE WHEN ini = 's' AND NOT gone THEN b[1].c + more ELSE 1000000000 END, 'a': b[1].a || 'K'}]),
+        list_min(list_concat([{'c': b[3].c + 2, 'a': b[3].a || 'D'}], list_transform([b[1], b[2], b[4]], lambda x:
+          {'c': CASE WHEN gone THEN 1000000000 WHEN ini = 'u' THEN x.c + more ELSE x.c + more + 1 END,
+           'a': x.a || CASE WHEN ini = 'u' THEN 'K' ELSE 'R' END}))),
+        list_min([{'c': b[4].c + 2, 'a': b[4].a || 'D'},
+          {'c': CASE WHEN gone THEN 1000000000 WHEN ini = 'a' THEN b[3].c + more ELSE b[3].c + more + 1 END,
+           'a': b[3].a || CASE WHEN ini = 'a' THEN 'K' ELSE 'R' END}])] AS b
+      FROM w JOIN g ON g.k = w.k AND g.i = w.i + 1))),
+e AS (SELECT k, list_min([b[1], b[4]]) AS x FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY i DESC) = 1),
+l AS (SELECT k, j, x.a[j] AS edit, len(replace(left(x.a, j), 'I', '')) AS i,
+    len(replace(left(x.a, j), 'D', '')) - 1 - len(replace(x.a, 'D', '')) % 2 AS place
+  FROM e, unnest(range(1, len(x.a) + 1)) AS u(j)),
+o AS (SELECT l.k, string_agg(CASE WHEN edit = 'K' THEN role WHEN place % 2 = 0 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS t
+  FROM l JOIN g ON g.k = l.k AND g.i = greatest(l.i, 1) WHERE edit <> 'D' GROUP BY l.k),
+c AS (SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY k)
+SELECT z.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(e.x.c AS BIGINT) AS cost, e.x.a AS audit, sha256(coalesce(o.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT k, conv_id FROM d) z JOIN e USING (k) LEFT JOIN c USING (k) LEFT JOIN o USING (k)
+"""
+
 # the rounds are one text: every vector to its nearest centroid, then exact floored means
 _ASSIGN = """a{i} AS (SELECT r, vec_id, v, c, d FROM (
   SELECT k.r, k.vec_id, k.v, m.c, CAST(list_sum(list_transform(list_zip(k.v, m.m),
@@ -207,4 +287,5 @@ FROM a3 JOIN m3 ON m3.c = a3.c
 """
 
 ORACLE = {"op1_winnowing": _OP1, "op5_warc_index": _OP5, "op6_min_max_hashing": _OP6,
-          "op11_multi_index_hashing": _OP11, "op13_equal_average": _OP13}
+          "op11_multi_index_hashing": _OP11, "op12_bidirectional_dijkstra": _OP12,
+          "op13_equal_average": _OP13}
