@@ -1,32 +1,33 @@
 """Learning-curve experiment.
 
 Every (size, sampling method, repetition) cell is a slice of ONE DataFrame keyed by
-``cell``. Each cell fits its own preparation (medians, scaling, category index) on its
-training rows alone, so a small cell knows nothing of the rest of the pool. The robust
-regressions of all cells are fitted together in a single grouped job (``applyInPandas`` per
-cell; a cell holds at most ``n_size`` rows), the forest of each cell is a Spark ML fit, and
-all predictions are scored in one ``groupBy``.
+``cell`` (see ``cells``), which also fits the preparations of all cells in one table. The
+robust regressions of all cells are fitted together (see ``robust``). The forest of a cell is
+a Spark ML fit; it is scored on the cell's test rows at once and let go, so the driver holds
+the forests of the few cells at work, whatever the grid. A cell's result rows are written to
+a log keyed by cell: a run that starts again goes on with the cells that are not there yet.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed, scratch_path
+from . import cells as cl
 from .metrics import dollar_metrics
-from .model import prep_stages, run_concurrently
-from .sampling import choose_blocks, exact_sample, group_blocks
-from ..session import checkpointed
+from .model import TARGET_PARTITION_BYTES, run_concurrently
+from .robust import huber_groups
+from .runlog import done_keys, keyed_table, write_keyed
 
 # Fixed display names of the compared models.
 BASELINE = "Global (Baseline)"
@@ -34,6 +35,10 @@ LOCAL = "Local Standalone"
 HYBRID = "Hybrid (Residuals)"
 CALIBRATED = "Global Calibrated (POC)"
 
+WORKERS = 8                # cells whose forests are fitted side by side
+SMALL_CELL = 6_000         # rows; larger cells use the cluster one after another
+NODES_AT_ONCE = 2_500_000  # tree nodes that a fit may bring to the driver
+
 
 @dataclass
 class CurveConfig:
@@ -47,173 +52,128 @@ class CurveConfig:
     huber_epsilon: float = 1.35
     huber_alpha: float = 1e-4
 
+    def tag(self) -> str:
+        """Names the settings (and the version of the method) in the path of a log."""
+        return hashlib.md5(f"2 {self}".encode()).hexdigest()[:12]
+
+
+RESULT = ("n_size long, sampling_method string, model string, dollar_rmse double, dollar_mae double, "
+          "dollar_r2 double, dollar_mape double, iteration int")
+
+
+def grid(train: DataFrame, test: DataFrame, key: str, group: str, cfg: CurveConfig
+         ) -> tuple[DataFrame, list[cl.Cell]]:
+    """Training rows of all cells (keyed by ``cell``) and the cells with the rows drawn (a
+    size above the pool draws the whole pool) and the rows they are tested on."""
+    planned = cl.plan_cells(train, group, cfg.sizes, cfg.block_sizes, cfg.repetitions, cfg.seed)
+    drawn, cells = cl.draw_cells(train, planned, key, group)
+    tested = cl.rows_per_cell(test, cells, group)
+    return drawn, [cl.replace(c, test_rows=tested[c.cell]) for c in cells]
+
+
+def baseline_predictions(test: DataFrame, label: str, global_pred: str) -> DataFrame:
+    return test.select(F.col(label).alias("y"), F.col(global_pred).alias("pred"), F.lit(BASELINE).alias("model"))
+
+
+def result_rows(predictions: DataFrame, n: int, method: str, iteration: int) -> DataFrame:
+    """Metrics per model of the (y, pred, model) rows of one cell, in the columns of the log."""
+    m = dollar_metrics(predictions, "y", "pred", ["model"])
+    return m.select(F.lit(n).cast("long").alias("n_size"), F.lit(method).alias("sampling_method"), "model",
+                    "dollar_rmse", "dollar_mae", "dollar_r2", "dollar_mape",
+                    F.lit(iteration).cast("int").alias("iteration"))
+
+
+def robust_fits(prepared: DataFrame, label: str, global_pred: str, cfg: CurveConfig) -> dict:
+    """{cell: (hybrid weights, intercept, calibration slope, intercept)} of all cells."""
+    both = prepared.select((F.col("cell") * 2).alias("fit"), "x", (F.col(label) - F.col(global_pred)).alias("y")) \
+        .unionByName(prepared.select((F.col("cell") * 2 + 1).alias("fit"), F.array(global_pred).alias("x"),
+                                     F.col(label).alias("y")))
+    fits = huber_groups(both, cfg.huber_epsilon, cfg.huber_alpha)
+    return {f // 2: (fits[f][0], fits[f][1], float(fits[f + 1][0][0]), fits[f + 1][1]) for f in fits if f % 2 == 0}
+
 
-def huber_irls(x: np.ndarray, y: np.ndarray, epsilon: float = 1.35, alpha: float = 1e-4,
-               max_iter: int = 200, tol: float = 1e-8) -> tuple[np.ndarray, float, float]:
-    """Huber regression with a concomitant scale (objective sum(sigma + H(r/sigma) sigma)
-    + alpha |w|^2) by iteratively reweighted least squares. Returns (w, intercept, sigma)."""
-    n, p = x.shape
-    xa = np.hstack([x, np.ones((n, 1))])
-    reg = np.eye(p + 1) * alpha
-    reg[p, p] = 0.0
-    beta = np.linalg.lstsq(xa, y, rcond=None)[0]
-    r = y - xa @ beta
-    sigma = max(float(np.median(np.abs(r))) / 0.6745, 1e-12)
-    for _ in range(max_iter):
-        a = np.abs(r) / sigma
-        w = np.where(a <= epsilon, 1.0, epsilon / np.maximum(a, 1e-300))
-        xtw = xa.T * w
-        # least squares, not solve: a small cell may have fewer rows than features or a
-        # constant column; the minimum-norm solution keeps the fit defined
-        new = np.linalg.lstsq(xtw @ xa + reg * sigma, xtw @ y, rcond=None)[0]
-        r = y - xa @ new
-        a = np.abs(r) / sigma
-        inl = a <= epsilon
-        denom = n - epsilon ** 2 * float((~inl).sum())
-        new_sigma = float(np.sqrt(np.sum(r[inl] ** 2) / denom)) if denom > 0 and inl.any() \
-            else sigma
-        new_sigma = max(new_sigma, 1e-12)
-        done = np.max(np.abs(new - beta)) < tol and abs(new_sigma - sigma) < tol
-        beta, sigma = new, new_sigma
-        if done:
-            break
-    return beta[:p], float(beta[p]), sigma
-
-
-def build_cells(train: DataFrame, test: DataFrame, key: str, group: str,
-                cfg: CurveConfig) -> tuple[DataFrame, DataFrame, list[dict]]:
-    """Cell training rows and cell test rows (both keyed by ``cell``) plus cell metadata.
-
-    Random cells: exact-n hash samples of the pool (seed per size and repetition).
-    Spatial cells: blocks of neighbourhoods in a seeded order; ``repetitions`` blocks are
-    chosen; each block is capped at n rows; its test rows are those of its neighbourhoods.
-    Sizes larger than the pool give the whole pool (the actual n is recorded)."""
-    trains, tests, meta = [], [], []
-    cell = 0
-    for it, (n, bs) in enumerate(zip(cfg.sizes, cfg.block_sizes), start=1):
-        blocks = group_blocks(train, group, bs, cfg.seed)
-        chosen = [r["block"] for r in choose_blocks(blocks, cfg.repetitions, cfg.seed)
-                  .orderBy("block").collect()]  # at most ``repetitions`` block ids
-        for i in range(cfg.repetitions):
-            seed = cfg.seed * 1000 + it * 10 + i
-            s = exact_sample(train, key, n, seed)
-            trains.append(s.withColumn("cell", F.lit(cell)))
-            tests.append(test.withColumn("cell", F.lit(cell)))
-            meta.append({"cell": cell, "n_size": n, "sampling_method": "random", "iteration": it})
-            cell += 1
-            if i < len(chosen):
-                groups = blocks.where(F.col("block") == chosen[i]).select(group)
-                pool = train.join(groups, group, "left_semi")
-                s = exact_sample(pool, key, n, seed)
-                trains.append(s.withColumn("cell", F.lit(cell)))
-                tests.append(test.join(groups, group, "left_semi").withColumn("cell", F.lit(cell)))
-                meta.append({"cell": cell, "n_size": None, "sampling_method": "spatial",
-                             "iteration": it})
-                cell += 1
-    tr = trains[0]
-    for t in trains[1:]:
-        tr = tr.unionByName(t)
-    te = tests[0]
-    for t in tests[1:]:
-        te = te.unionByName(t)
-    return tr, te, meta
+def forest_predictions(train: DataFrame, test: DataFrame, rows: int, label: str, cfg: CurveConfig) -> DataFrame:
+    """``test`` with ``forest``: the mean of ``rf_trees`` trees fitted on ``train`` (both have
+    a ``features`` vector). Trees are grown in lots that fit NODES_AT_ONCE; with more than one
+    lot, the sums so far are written before the next lot grows."""
+    lot = min(cfg.rf_trees, max(1, NODES_AT_ONCE // (2 * max(rows, 1))))
+    done, out = 0, test.withColumn("forest", F.lit(0.0))
+    while done < cfg.rf_trees:
+        trees = min(lot, cfg.rf_trees - done)
+        model = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees,
+                                      maxDepth=cfg.rf_depth, featureSubsetStrategy="all",
+                                      seed=cfg.seed + done, maxMemoryInMB=1024).fit(train)
+        out = model.transform(out).withColumn("forest", F.col("forest") + F.col("prediction") * trees).drop("prediction")
+        done += trees
+        if done < cfg.rf_trees:
+            out = checkpointed(out)
+    return out.withColumn("forest", F.col("forest") / cfg.rf_trees)
 
 
 def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str],
                        categorical: Sequence[str], cfg: CurveConfig, key: str = "id",
                        group: str = "neighbourhood_cleansed", label: str = "log_price",
-                       global_pred: str = "global_pred_log") -> DataFrame:
+                       global_pred: str = "global_pred_log", log: str | None = None) -> DataFrame:
     """Results table: n_size, sampling_method, model, dollar_rmse, dollar_mae, dollar_r2,
-    dollar_mape, iteration (one row per evaluated model and cell, plus the full baseline)."""
+    dollar_mape, iteration (one row per evaluated model and cell, plus the full baseline),
+    kept in ``log`` (a folder of this run; a scratch folder if not given)."""
     spark = train.sparkSession
+    log = log or scratch_path(spark, f"curve-{uuid.uuid4().hex}")
+    schema = f"cell int, {RESULT}"
+    finished = done_keys(keyed_table(spark, log, "cell", schema), "cell")
+    if -2 in finished:  # the whole grid is there
+        return keyed_table(spark, log, "cell", schema).where("cell >= -1").drop("cell")
     # Both inputs are used by every cell; freezing them first also keeps the optimizer
     # away from re-deriving constraints through the long upstream lineage for each use.
     train, test = checkpointed(train), checkpointed(test)
-    ctrain, ctest, meta = build_cells(train, test, key, group, cfg)
-    ctrain = checkpointed(ctrain)  # cut the long union lineage once
-    ctest = checkpointed(ctest)
-    sizes = {r["cell"]: r["n"] for r in ctrain.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-             .collect()}
-    tsizes = {r["cell"]: r["n"] for r in ctest.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-              .collect()}
-    # n_size is the rows actually drawn (a request above the pool gets the whole pool)
-    metas = spark.createDataFrame(
-        [(m["cell"], sizes.get(m["cell"], 0), m["sampling_method"], m["iteration"]) for m in meta],
-        "cell int, n_size long, sampling_method string, iteration int")
-    good = [m["cell"] for m in meta if tsizes.get(m["cell"], 0) >= cfg.min_test_rows
-            and sizes.get(m["cell"], 0) > 0]
-
-    # Baseline: the global prediction on each cell's test rows
-    base = ctest.select("cell", label, F.col(global_pred).alias("pred"), F.lit(BASELINE).alias("model"))
-
-    # Each cell's own preparation (impute, index, one-hot, scale). A column without any
-    # value in a cell has no median there and is left out of that cell.
-    known = {r["cell"]: r for r in ctrain.groupBy("cell").agg(
-        *[F.count(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))).alias(c)
-          for c in numeric]).collect()}
-
-    def prepare(c: int) -> tuple[DataFrame, DataFrame]:
-        tr_c, te_c = ctrain.where(F.col("cell") == c), ctest.where(F.col("cell") == c)
-        prep = Pipeline(stages=prep_stages([n for n in numeric if known[c][n]], categorical,
-                                           scale=True, clean_categories=True)).fit(tr_c)
-        cols = ["cell", label, global_pred, "features"]
-        return checkpointed(prep.transform(tr_c).select(*cols)), checkpointed(prep.transform(te_c).select(*cols))
-
-    prepared = dict(zip(good, run_concurrently([lambda c=c: prepare(c) for c in good])))
-
-    def vectors(side: int) -> DataFrame:
-        """Rows of all prepared cells; the vectors of two cells can differ in length."""
-        none = ctrain.limit(0).select("cell", label, global_pred, F.lit(None).cast("array<double>").alias("x"))
-        parts = [prepared[c][side].select("cell", label, global_pred, vector_to_array("features").alias("x"))
-                 for c in good]
-        return reduce(DataFrame.unionByName, parts, none)
-
-    # Robust regressions for all cells in one grouped job (hybrid on residuals, calibrated)
-    xs = vectors(0)
-    eps, alpha = cfg.huber_epsilon, cfg.huber_alpha
-
-    def fit_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.vstack(pdf["x"].to_numpy())
-        y = pdf[label].to_numpy()
-        g = pdf[global_pred].to_numpy()
-        wh, bh, _ = huber_irls(x, y - g, eps, alpha)
-        wc, bc, _ = huber_irls(g.reshape(-1, 1), y, eps, alpha)
-        return pd.DataFrame({"cell": [int(pdf["cell"].iloc[0])], "w_h": [wh.tolist()],
-                             "b_h": [bh], "w_c": [float(wc[0])], "b_c": [bc]})
-
-    coefs = xs.groupBy("cell").applyInPandas(
-        fit_cell, "cell int, w_h array<double>, b_h double, w_c double, b_c double")
-    tx = vectors(1).join(coefs, "cell")
-    dot = F.aggregate(F.zip_with("x", "w_h", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    hybrid = tx.select("cell", label, (F.col(global_pred) + dot + F.col("b_h")).alias("pred"),
-                       F.lit(HYBRID).alias("model"))
-    calib = tx.select("cell", label, (F.col(global_pred) * F.col("w_c") + F.col("b_c")).alias("pred"),
-                      F.lit(CALIBRATED).alias("model"))
-
-    # Local forest per cell (Spark ML); predictions stay distributed
-    def fit_forest(c: int):
-        return RandomForestRegressor(featuresCol="features", labelCol=label,
-                                     numTrees=cfg.rf_trees, maxDepth=cfg.rf_depth,
-                                     featureSubsetStrategy="all", seed=cfg.seed,
-                                     cacheNodeIds=True).fit(prepared[c][0])
-
-    forests = run_concurrently([lambda c=c: fit_forest(c) for c in good])
-    preds = [base, hybrid, calib]
-    for c, rf in zip(good, forests):
-        p = rf.transform(prepared[c][1])
-        preds.append(p.select("cell", label, F.col("prediction").alias("pred"),
-                              F.lit(LOCAL).alias("model")))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    per_cell = dollar_metrics(allp, label, "pred", ["cell", "model"]).join(metas, "cell")
-    full = dollar_metrics(test.select(label, global_pred), label, global_pred).select(
-        F.lit(0).cast("long").alias("n_size"), F.lit("baseline_full").alias("sampling_method"),
-        F.lit(BASELINE).alias("model"), "dollar_rmse", "dollar_mae", "dollar_r2", "dollar_mape",
-        F.lit(0).alias("iteration"))
-    cols = ["n_size", "sampling_method", "model", "dollar_rmse", "dollar_mae", "dollar_r2",
-            "dollar_mape", "iteration"]
-    return per_cell.select(*cols).unionByName(full)
+    drawn, cells = grid(train, test, key, group, cfg)
+    todo = [c for c in cells if c.cell not in finished and c.rows and c.test_rows >= cfg.min_test_rows]
+    if -1 not in finished:
+        full = result_rows(baseline_predictions(test, label, global_pred), 0, "baseline_full", 0)
+        write_keyed(full, log, "cell", -1)
+    if todo:
+        # a size above the pool draws the whole pool in every repetition: one fit serves them
+        same: dict[tuple, list[cl.Cell]] = {}
+        for c in todo:
+            same.setdefault(c.draw, []).append(c)
+        first = [cells_of[0] for cells_of in same.values()]
+        mine = drawn.where(F.col("cell").isin([c.cell for c in first]))
+        preparation = checkpointed(cl.fit_preparation(mine, numeric, categorical))
+        prepared = checkpointed(cl.apply_preparation(mine, preparation, numeric, categorical)
+                                .select("cell", label, global_pred, "x"))
+        fits = robust_fits(prepared, label, global_pred, cfg)
+
+        def evaluate(c: cl.Cell) -> None:
+            own = preparation.where(F.col("cell") == c.cell)
+            w, b, slope, shift = fits[c.cell]
+            dot = F.aggregate(F.zip_with("x", F.lit(np.asarray(w)), lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+            asked = cl.apply_preparation(cl.test_rows(test, c, group).withColumn("cell", F.lit(c.cell)), own,
+                                         numeric, categorical)
+            rows = (prepared.where(F.col("cell") == c.cell).select(label, array_to_vector("x").alias("features"))
+                    .repartition(1 + c.rows * (8 * len(w) + 32) // TARGET_PARTITION_BYTES)
+                    .persist(StorageLevel.MEMORY_AND_DISK))
+            try:
+                scored = forest_predictions(
+                    rows, asked.select(label, global_pred, "x", array_to_vector("x").alias("features")),
+                    c.rows, label, cfg)
+                models = {BASELINE: F.col(global_pred), LOCAL: F.col("forest"),
+                          HYBRID: F.col(global_pred) + dot + b, CALIBRATED: F.col(global_pred) * slope + shift}
+                each = scored.select(F.col(label).alias("y"), F.explode(F.array(*[
+                    F.struct(F.lit(m).alias("model"), p.alias("pred")) for m, p in models.items()])).alias("m"))
+                found = result_rows(each.select("y", "m.pred", "m.model"), c.rows, c.method, c.iteration).collect()
+                for twin in same[c.draw]:  # four rows each
+                    of_twin = spark.createDataFrame(found, RESULT).withColumn("iteration", F.lit(twin.iteration))
+                    write_keyed(of_twin.coalesce(1), log, "cell", twin.cell)
+            finally:
+                rows.unpersist()
+
+        # the largest first, so that the last ones to end are short
+        small = sorted((c for c in first if c.rows <= SMALL_CELL), key=lambda c: -c.rows)
+        run_concurrently([lambda c=c: evaluate(c) for c in small], WORKERS)
+        for c in (c for c in first if c.rows > SMALL_CELL):
+            evaluate(c)
+    write_keyed(spark.createDataFrame([(0, "complete", "", 0.0, 0.0, 0.0, 0.0, 0)], RESULT), log, "cell", -2)
+    return keyed_table(spark, log, "cell", schema).where("cell >= -1").drop("cell")
 
 
 # Fixed display names for the learning-curve chart.

@@ -1,9 +1,13 @@
 """Model and learning-curve structure on the smallest fixture (rows-only queries)."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from paths import SF0001
-from pricelens.operators import curve, model, split
+from pricelens.operators import cells as cl
+from pricelens.operators import curve, model, sampling, split
+from pricelens.operators.robust import huber_groups
 from pricelens.plans import curveplan
 from pricelens.plans.models import _numeric_flags
 from pricelens.sources import fixtures as fx
@@ -34,41 +38,109 @@ def test_learning_curve_cells_and_models(spark):
     assert all(r.display_name for r in agg)
 
 
-def test_each_cell_fits_its_preparation_on_its_own_rows(spark, monkeypatch):
-    """No preparation sees more than its cell; a column that is empty in a cell is left out."""
+def test_a_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    """Cells in the log are not fitted again; equal draws are fitted once; the rows of a run
+    that was broken off and resumed equal those of a run in one go."""
     test, train = _pool(spark)
-    train = train.withColumn("beds", F.lit(None).cast("double"))
+    cfg = curve.CurveConfig(sizes=(30, 10000), block_sizes=(2, 3), repetitions=2, rf_trees=4,
+                            rf_depth=4, min_test_rows=1)
+    args = (train, test, curveplan.BASE_NUMERIC, curveplan.LOCAL_CATEGORICAL, cfg)
     fitted = []
-
-    class Spy(curve.Pipeline):
-        def fit(self, rows, params=None):
-            fitted.append(rows.count())
-            return super().fit(rows, params)
-
-    monkeypatch.setattr(curve, "Pipeline", Spy)
-    cfg = curve.CurveConfig(sizes=(20, 40), block_sizes=(1, 1), repetitions=1, rf_trees=2,
-                            rf_depth=3, min_test_rows=10)
-    res = curve.run_learning_curve(train, test, curveplan.BASE_NUMERIC,
-                                   curveplan.LOCAL_CATEGORICAL, cfg).collect()
-    assert sorted(fitted)[-2:] == [20, 40] < [train.count()]
-    assert {r.model for r in res if r.n_size == 20} >= {curve.LOCAL, curve.HYBRID, curve.CALIBRATED}
-
-
-def test_registered_curve_is_the_full_grid(monkeypatch):
-    seen = []
-    monkeypatch.setattr(curveplan, "diamond", lambda spark, d: (None, None))
-    monkeypatch.setattr(curveplan, "checkpointed", lambda df: df)
-    monkeypatch.setattr(curveplan, "_RESULTS", {})
-    monkeypatch.setattr(curve, "run_learning_curve", lambda *a: seen.append(a[4]))
-
-    class Context:
-        applicationId = "x"
-
-    class Session:
-        sparkContext = Context()
-
-    curveplan.learning_curve(Session(), "d")
-    assert seen == [curve.CurveConfig()]
+    forest = curve.forest_predictions
+
+    def counted(rows, *rest):
+        fitted.append(rows.count())
+        if len(fitted) == 3 and not resumed:
+            raise RuntimeError("lost")
+        return forest(rows, *rest)
+
+    monkeypatch.setattr(curve, "forest_predictions", counted)
+    resumed, log = False, str(tmp_path / "log")
+    with pytest.raises(RuntimeError):
+        curve.run_learning_curve(*args, log=log)
+    at_first, resumed = len(fitted), True
+    plain = lambda df: sorted(tuple(x if not isinstance(x, float) else round(x, 6) for x in r)
+                              for r in df.collect())
+    got = plain(curve.run_learning_curve(*args, log=log))
+    in_all = len(fitted)
+    assert plain(curve.run_learning_curve(*args, log=log)) == got and len(fitted) == in_all
+    fitted.clear()
+    assert plain(curve.run_learning_curve(*args, log=str(tmp_path / "other"))) == got
+    whole = train.count()
+    assert fitted.count(whole) == 1  # two repetitions drew the whole pool
+    assert in_all - at_first < len(fitted)
+
+
+def test_drawn_cells_equal_one_sample_each(spark):
+    _, train = _pool(spark)
+    cells = [cl.Cell(0, "random", 1, 25, 7), cl.Cell(1, "random", 1, 10 ** 6, 8),
+             cl.Cell(2, "spatial", 1, 5, 9, ("france", "FRANCE", "CHINA", "JAPAN", "PERU", "IRAN"))]
+    drawn, cells = cl.draw_cells(train, cells, "id", curveplan.GROUP)
+    assert [c.whole for c in cells] == [False, True, cells[2].rows < 5]
+    for c in cells:
+        pool = train.where(F.col(curveplan.GROUP).isin(list(c.groups))) if c.groups else train
+        want = {r.id for r in sampling.exact_sample(pool, "id", c.n, c.seed).collect()}
+        assert {r.id for r in drawn.where(F.col("cell") == c.cell).collect()} == want and c.rows == len(want)
+
+
+def test_prepared_cells_see_their_own_rows_only(spark):
+    rows = [(0, 1.0, None, "A"), (0, float("nan"), None, "a"), (0, 3.0, None, "b"), (0, 9.0, None, None),
+            (1, 5.0, 2.0, "z")]
+    df = spark.createDataFrame(rows, "cell int, p double, q double, c string")
+    prep = cl.fit_preparation(df, ["p", "q"], ["c"])
+    a, b = prep.orderBy("cell").collect()
+    assert a.medians == [3.0, None] and a.means[0] == 4.0 and a.categories == [{"a": 0, "b": 1, "other": 2}]
+    assert b.medians == [5.0, 2.0] and b.deviations == [0.0, 0.0] and b.categories == [{"z": 0}]
+    new = spark.createDataFrame([(0, 4.0, 7.0, "B"), (0, None, 7.0, "new"), (1, 6.0, 2.0, "z")], df.schema)
+    x = [r.x for r in cl.apply_preparation(new, prep, ["p", "q"], ["c"]).orderBy("cell", "p").collect()]
+    sd = 9.0 ** 0.5
+    assert x[0] == pytest.approx([-1 / sd, 0, 0, 0, 0]) and x[1] == pytest.approx([0, 0, 0, 1, 0])
+    assert x[2] == [0.0, 0.0, 1.0]
+
+
+def huber_brute(x, y, epsilon=1.35, alpha=1e-4):
+    """The same objective for one matrix at once, to full convergence."""
+    n, p = x.shape
+    xa = np.hstack([x, np.ones((n, 1))])
+    ridge = np.diag(np.append(np.full(p, alpha), 0.0))
+    beta = np.linalg.lstsq(xa, y, rcond=None)[0]
+    sigma = max(float(np.std(y - xa @ beta)), 1e-9)
+    for _ in range(20_000):
+        r = y - xa @ beta
+        a = np.abs(r) / sigma
+        w = np.where(a <= epsilon, 1.0, epsilon / np.maximum(a, 1e-300))
+        new = np.linalg.solve((xa.T * w) @ xa + ridge * sigma, (xa.T * w) @ y)
+        r = y - xa @ new
+        inlier = np.abs(r) <= epsilon * sigma
+        scale = np.sqrt(np.sum(r[inlier] ** 2) / (n - epsilon ** 2 * (~inlier).sum()))
+        still = np.max(np.abs(new - beta)) < 1e-13 and abs(scale - sigma) < 1e-13
+        beta, sigma = new, scale
+        if still:
+            break
+    return beta[:-1], beta[-1], sigma
+
+
+def test_grouped_huber_equals_one_matrix_at_a_time(spark):
+    rng = np.random.default_rng(2)
+    data, rows = {}, []
+    for fit, (n, p) in enumerate([(400, 5), (60, 12), (900, 1), (30, 2)]):
+        x = rng.normal(size=(n, p))
+        y = x @ rng.normal(size=p) + 2 + rng.normal(size=n) * 0.3 + (rng.random(n) < 0.1) * 20
+        data[fit] = (x, y)
+        rows += [(fit, [float(v) for v in a], float(b)) for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "fit int, x array<double>, y double").repartition(6)
+    got = huber_groups(df)
+    assert got.keys() == data.keys()
+    for fit, (x, y) in data.items():
+        w, b, sigma = huber_brute(x, y)
+        assert np.allclose(got[fit][0], w, atol=1e-6) and abs(got[fit][1] - b) < 1e-6
+        assert abs(got[fit][2] - sigma) < 1e-6
+
+
+def test_huber_runs_through_exact_points(spark):
+    rows = [(7, [float(i)], 3.0 * i + 1) for i in range(20)]
+    w, b, sigma, steps = huber_groups(spark.createDataFrame(rows, "fit int, x array<double>, y double"))[7]
+    assert abs(w[0] - 3) < 1e-5 and abs(b - 1) < 1e-4 and sigma < 1e-4 and steps < 100
 
 
 def test_calibration_beats_raw_on_biased_source(spark):

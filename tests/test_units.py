@@ -171,17 +171,6 @@ def test_csv_multiline_quoted(spark, tmp_path):
     assert rows[1].price == "$5.00"
 
 
-def test_huber_irls_resists_outliers():
-    import numpy as np
-    from pricelens.operators.curve import huber_irls
-    rng = np.random.default_rng(0)
-    x = rng.normal(size=(200, 1))
-    y = 3.0 * x[:, 0] + 1.0 + rng.normal(scale=0.1, size=200)
-    y[:10] += 50.0
-    w, b, _ = huber_irls(x, y)
-    assert abs(w[0] - 3.0) < 0.1 and abs(b - 1.0) < 0.1
-
-
 def test_leak_counts_use_keys_not_pairs(spark):
     """Duplicate test keys do not inflate the count (semi join, not inner join)."""
     test = spark.createDataFrame([(1,), (1,), (1,)], "id long")
