@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import inverse_normal_cdf, nan_to_null
-from .stats import Ranked, exact_quantiles, long_form
+from ..session import checkpointed
+from .select import Selection
+from .stats import QUARTILES, exact_quantiles, long_form
 
 
 def _series_frame(df: DataFrame, series: Mapping[str, str | Column] | None, value: str | None):
@@ -124,17 +126,16 @@ def kde_2d_binned(df: DataFrame, x: str, y: str, key: str, per_width: int = 5,
 
 def box_stats(df: DataFrame, series: Mapping[str, str | Column]) -> DataFrame:
     """Box-plot numbers per series: q1, median, q3, iqr, fences at 1.5 IQR, whiskers (most
-    extreme values inside the fences), outlier count. One ranked materialisation feeds
-    both the quantiles and the fence pass."""
+    extreme values inside the fences), outlier count. The fences take a third pass."""
     lf = _series_frame(df, series, None)
-    r = Ranked(lf, "value", ["series"])
-    q = r.quantiles_wide({"q1": 0.25, "median": 0.5, "q3": 0.75})
+    s = Selection(lf, "value", ["series"], QUARTILES.values())
+    q = checkpointed(s.quantiles_wide(QUARTILES))  # one row per series
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr"))
           .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr")))
     inside = (F.col("_v") >= F.col("lower_fence")) & (F.col("_v") <= F.col("upper_fence"))
     # the fence table has one row per literal series name
-    agg = (r.frame.join(F.broadcast(q.select("series", "lower_fence", "upper_fence")), "series")
+    agg = (s.rows.join(F.broadcast(q.select("series", "lower_fence", "upper_fence")), "series")
            .groupBy("series").agg(F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
                                   F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
                                   F.count_if(~inside).alias("outliers")))

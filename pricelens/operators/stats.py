@@ -1,9 +1,8 @@
 """Distributed summary statistics.
 
-Exact quantiles never gather a group into one task: values are range-partitioned on
-(group, value, tie-break), every task counts its slice, a tiny prefix sum over the
-per-slice counts turns local positions into global ranks, and only the rows at the
-wanted ranks are joined back. A hot group is spread over many range partitions.
+Exact quantiles come from ``select``. ``Ranked`` gives every row its rank: values are
+range-partitioned on (group, value, tie-break), every task counts its slice, and a tiny prefix
+sum over the per-slice counts turns local positions into global ranks.
 """
 
 from __future__ import annotations
@@ -15,25 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, safe_corr
 from ..session import checkpointed
+from .select import Selection
 
-MAX_BROADCAST_RANKS = 200_000  # rows of (group, probability)
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
-    cond = None
-    for c in cols:
-        t = left[c].eqNullSafe(right[c])
-        cond = t if cond is None else cond & t
-    return cond
-
-
 class Ranked:
     """Values of ``value`` per group, range-partitioned and sorted, with frozen positions.
 
     ``frame`` has the group columns (``_g`` when ungrouped), ``_v``, ``_pid`` and ``_pos``.
-    Build it once and derive quantiles and the ordinary aggregates from it, so the input
-    plan runs once."""
+    Built once, so that ranks do not change when a stage is repeated."""
 
     def __init__(self, df: DataFrame, value: str | Column, by: Sequence[str] = (),
                  tie_break: Column | None = None, num_partitions: int | None = None,
@@ -89,79 +79,23 @@ class Ranked:
                          "_n")
         return out
 
-    def groups(self) -> int:
-        """Number of groups, from the slice counts."""
-        return self.frame.select(*self.gcols).distinct().count()
-
-    def aggregate(self, *aggs: Column) -> DataFrame:
-        """Ordinary aggregates of ``_v`` per group (no second pass over the input)."""
-        out = self.frame.groupBy(*self.gcols).agg(*aggs)
-        return out.drop("_g") if not self.by else out
-
-    def quantiles(self, probs: Sequence[float]) -> DataFrame:
-        """Long form ``by..., prob, quantile`` (linear interpolation)."""
-        s, gcols = self.frame, self.gcols
-        slices = self._slices()
-        wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(kind).alias("kind"))
-                           for p in probs for kind in ("lo", "hi")])
-        hh = (F.col("_n") - 1).cast("double") * F.col("prob")
-        needed = (slices.select("_pid", *gcols, "_first", "_before", "_cnt", "_n",
-                                F.explode(wanted).alias("w"))
-                  .select("_pid", *gcols, "_first", "_before", "_cnt", "w.prob", "w.kind",
-                          F.when(F.col("w.kind") == "lo", F.floor(hh)).otherwise(F.ceil(hh))
-                          .cast("long").alias("rank"),
-                          (hh - F.floor(hh)).alias("frac"))
-                  .where((F.col("rank") >= F.col("_before"))
-                         & (F.col("rank") < F.col("_before") + F.col("_cnt")))
-                  .select("_pid", *[F.col(c).alias("_k_" + c) for c in gcols],
-                          (F.col("rank") - F.col("_before") + F.col("_first")).alias("_want"),
-                          "prob", "kind", "frac"))
-        # ``needed`` has exactly 2 x len(probs) rows per group: with few groups it is sent to
-        # the sorted rows, which then don't move again
-        if not self.by or self.groups() * len(probs) <= MAX_BROADCAST_RANKS:
-            needed = F.broadcast(needed)
-        cond = (s["_pid"] == needed["_pid"]) & (s["_pos"] == needed["_want"])
-        for c in gcols:
-            cond = cond & s[c].eqNullSafe(needed["_k_" + c])
-        picked = s.join(needed, cond, "inner").select(*[s[c] for c in gcols], "prob", "kind",
-                                                      "frac", "_v")
-        out = (picked.groupBy(*gcols, "prob")
-               .agg(F.max(F.when(F.col("kind") == "lo", F.col("_v"))).alias("_lo"),
-                    F.max(F.when(F.col("kind") == "hi", F.col("_v"))).alias("_hi"),
-                    F.max("frac").alias("_frac"))
-               .select(*gcols, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo"))
-                                        * F.col("_frac")).alias("quantile")))
-        return out.drop("_g") if not self.by else out
-
-    def quantiles_wide(self, named: Mapping[str, float]) -> DataFrame:
-        q = self.quantiles(list(named.values()))
-        aggs = [F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("quantile"))).alias(name)
-                for name, p in named.items()]
-        return q.groupBy(*self.by).agg(*aggs) if self.by else q.agg(*aggs)
+
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
-                    by: Sequence[str] = (), tie_break: Column | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
+                    by: Sequence[str] = ()) -> DataFrame:
     """Exact linearly-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
 
-    Returns long form: ``by..., prob, quantile``. Null and NaN values are ignored.
-    Cost: one range shuffle of (group, value), one checkpoint write of the sorted
-    (group, value) pairs, and two small aggregates.
-    """
-    return Ranked(df, value, by, tie_break, num_partitions).quantiles(probs)
+    Returns long form: ``by..., prob, quantile``. Null and NaN values are ignored. Two passes
+    over the input, no sort of it (see ``select``)."""
+    return Selection(df, value, by, probs).quantiles()
 
 
 def quantiles_wide(df: DataFrame, value: str | Column, named: Mapping[str, float],
-                   by: Sequence[str] = (), tie_break: Column | None = None) -> DataFrame:
+                   by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles as one column per name: ``by..., <name>...``."""
-    q = exact_quantiles(df, value, list(named.values()), by, tie_break)
-    gcols = list(by)
-    aggs = [F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("quantile"))).alias(name)
-            for name, p in named.items()]
-    if gcols:
-        return q.groupBy(*gcols).agg(*aggs)
-    return q.agg(*aggs)
+    return Selection(df, value, by, list(named.values())).quantiles_wide(named)
 
 
 def _join_by(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -180,17 +114,14 @@ def _join_by(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     return left.join(r, cond, "left").drop(*["_r_" + c for c in by])
 
 
-def summary_stats(df: DataFrame, value: str, by: Sequence[str] = (), digits: int | None = 2,
-                  tie_break: Column | None = None) -> DataFrame:
+def summary_stats(df: DataFrame, value: str, by: Sequence[str] = (), digits: int | None = 2) -> DataFrame:
     """count, min, q1, median, mean, q3, max, std (sample) per group, optionally rounded.
-    The input plan runs once: everything is derived from one ranked materialisation."""
+    The first pass of the quantiles takes the plain aggregates along."""
     by = list(by)
-    r = Ranked(df, F.col(value), by, tie_break)
-    simple = r.aggregate(F.count("_v").alias("count"), F.min("_v").alias("min"),
-                         F.avg("_v").alias("mean"), F.max("_v").alias("max"),
-                         F.stddev_samp("_v").alias("std"))
-    q = r.quantiles_wide({"q1": 0.25, "median": 0.5, "q3": 0.75})
-    out = _join_by(simple, q, by)
+    s = Selection(df, value, by, QUARTILES.values(), [
+        F.count("_v").alias("count"), F.min("_v").alias("min"), F.avg("_v").alias("mean"),
+        F.max("_v").alias("max"), F.stddev_samp("_v").alias("std")])
+    out = _join_by(s.aggregate(), s.quantiles_wide(QUARTILES), by)
     cols = ["count", "min", "q1", "median", "mean", "q3", "max", "std"]
     if digits is not None:
         return out.select(*by, "count", *[F.round(c, digits).alias(c) for c in cols[1:]])
@@ -210,19 +141,17 @@ def long_form(df: DataFrame, series: Mapping[str, str | Column], keep: Sequence[
 def moment_table(df: DataFrame, series: Mapping[str, str | Column]) -> DataFrame:
     """Per series: count, mean, median, std, min, q1, q3, max, skew, kurtosis (bias-corrected
     like pandas: G1 = g1*sqrt(n(n-1))/(n-2), G2 = (n-1)/((n-2)(n-3)) * ((n+1) g2 + 6))."""
-    lf = long_form(df, series)
-    r = Ranked(lf, "value", ["series"])
-    m = r.aggregate(F.count("_v").alias("count"), F.avg("_v").alias("mean"),
-                    F.stddev_samp("_v").alias("std"), F.min("_v").alias("min"),
-                    F.max("_v").alias("max"), F.skewness("_v").alias("_g1"),
-                    F.kurtosis("_v").alias("_g2"))
+    s = Selection(long_form(df, series), "value", ["series"], QUARTILES.values(), [
+        F.count("_v").alias("count"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"), F.skewness("_v").alias("_g1"),
+        F.kurtosis("_v").alias("_g2")])
+    m = s.aggregate()
     n = F.col("count").cast("double")
     m = m.select("series", "count", "mean", "std", "min", "max",
                  F.try_divide(F.col("_g1") * F.sqrt(n * (n - 1)), n - 2).alias("skew"),
                  (F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6))
                  .alias("kurtosis"))
-    q = r.quantiles_wide({"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return _join_by(m, q, ["series"]).select(
+    return _join_by(m, s.quantiles_wide(QUARTILES), ["series"]).select(
         "series", "count", "mean", "median", "std", "min", "q1", "q3", "max", "skew", "kurtosis")
 
 

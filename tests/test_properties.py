@@ -70,22 +70,37 @@ def test_kde_integrates_to_about_one(spark):
     assert 0.8 < area < 1.05
 
 
-def test_exact_quantiles_hot_value_is_spread_and_exact(spark):
-    """A third of the rows share one group and one value: still exact, and the ranked
-    data is spread over several range partitions instead of one task."""
+@pytest.mark.parametrize("accuracy,sorted_rows", [(2000, 1 << 20), (50, 1 << 20), (50, 40), (100, 10)])
+def test_selection_is_exact_with_a_hot_value(spark, accuracy, sorted_rows):
+    """A third of the rows share one group and one value; brackets that hold too much are
+    narrowed until they hold little; values that repeat are one row each."""
     import pandas as pd
-    from pricelens.operators import stats
-    rows = [("hot", 7.0)] * 3000 + [("hot", float(i)) for i in range(3000)] + \
-           [("cold", float(i % 97)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, v double").repartition(8)
-    r = stats.Ranked(df, "v", ["g"], num_partitions=8)
-    sizes = [row["n"] for row in r.frame.groupBy("_pid").count().withColumnRenamed("count", "n")
-             .collect()]
-    assert max(sizes) < 0.5 * len(rows)
-    got = {(x.g, x.prob): x.quantile for x in r.quantiles([0.1, 0.5, 0.99]).collect()}
-    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    from pricelens.operators.select import Selection
+    rows = [("hot", 7.0)] * 3000 + [("hot", i / 7.0) for i in range(3000)] + \
+           [("cold", float(i % 97)) for i in range(3000)] + [(None, 5.0), (None, 6.5), ("one", 1.0)]
+    df = spark.createDataFrame(rows + [("void", None), ("hot", float("nan"))], "g string, v double").repartition(8)
+    probs = [0.0, 0.1, 0.5, 0.75, 0.99, 1.0]
+    got = {(x.g, x.prob): x.quantile for x in
+           Selection(df, "v", ["g"], probs, accuracy=accuracy, sorted_rows=sorted_rows).quantiles().collect()}
+    assert got.keys() == {(g, p) for g in ("hot", "cold", None, "one") for p in probs}
     for (g, p), q in got.items():
-        assert q == pytest.approx(pdf[pdf.g == g].v.quantile(p))
+        assert q == pytest.approx(pd.Series([v for k, v in rows if k == g]).quantile(p))
+
+
+def test_selection_of_integers_that_doubles_cannot_tell_apart(spark):
+    from pricelens.operators.select import Selection
+    big = 1 << 60
+    df = spark.range(0, 500, 1, 4).select((F.lit(big) + F.col("id")).alias("v"))
+    s = Selection(df, "v", probs=[0.5], accuracy=100)
+    assert s.quantiles().first()["quantile"] == big + 249.5
+
+
+def test_selection_does_not_sort_its_input(spark):
+    from pricelens.operators.select import Selection
+    s = Selection(fx.points(spark, SF001), "log_price", ["grp"], [0.5], accuracy=50)
+    plan = s._marked(s._first_brackets())._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Sort " not in plan and "customer.parquet" in plan
+    assert "customer.parquet" not in s.quantiles()._jdf.queryExecution().executedPlan().toString()
 
 
 def test_kde_2d_binned_close_to_exact(spark):
