@@ -1,8 +1,10 @@
-from pricelens.llm.pages import extract_pages, parse_page
+import pytest
+
+from pricelens.llm.pages import extract_pages, parse_page, templates
 
 
 def text(page):
-    return "\n\n".join(t for t, _ in parse_page(page)[0])
+    return "\n\n".join(parse_page(page)[0])
 
 
 def test_article_without_boilerplate():
@@ -76,11 +78,66 @@ def test_inserts_that_recur_in_different_articles_go(spark):
 
 
 def test_different_pages_count_not_rows_or_shares(spark):
-    """Without an article: copied pages keep their text, a section's menu goes on a large host."""
-    page = lambda i, menu, body: (i, f"http://h.example/{i}", f"<div><div><div>{menu}</div></div><p>{body}</p></div>")
-    rows = [page(i, "Menu of the section" if i < 12 else f"menu {i}", f"story {i}") for i in range(80)]
-    rows += [page(100 + i, "A copied start", "and a copied end") for i in range(30)]
+    """Without an article: copied pages keep their text, sections' menus go on a large host."""
+    page = lambda i, menu, body: (i, f"http://h.example/{i}", f"<div>{menu}<p>{body}</p></div>")
+    menu = lambda i: f"<div class=m><div>Menu of section {i % 6}</div></div>" if i < 120 else f"<div>teaser {i}</div>"
+    rows = [page(i, menu(i), f"story {i}") for i in range(200)]
+    rows += [page(300 + i, "<div>A copied start</div>", "and a copied end") for i in range(30)]
     got = texts(spark, rows)
-    assert all(got[i] == f"story {i}" for i in range(12))
-    assert all(got[i] == f"menu {i}\n\nstory {i}" for i in range(12, 80))
+    assert all(got[i] == f"story {i}" for i in range(120))
+    assert all(got[i] == f"teaser {i}\n\nstory {i}" for i in range(120, 200))
+    got = {i: got[200 + i] for i in range(100, 130)}
     assert {got[100 + i] for i in range(30)} == {"A copied start\n\nand a copied end"}
+
+
+@pytest.mark.parametrize("others", [0, 3000])
+def test_headings_and_sentences_that_articles_share_stay(spark, others):
+    dish = lambda i: (i, f"http://h.example/{i}", f"<article><h1>Dish {i}</h1><h2>Ingredients</h2><ul><li>salt<li>item {i}</ul>"
+                      f"<h2>Method</h2><p>Mix well.</p><p>Serve dish {i}</p></article>")
+    rows = [dish(i) for i in range(8)] + [
+        (100 + i, f"http://h.example/{100 + i}", f"<article><h1>Page {i}</h1><h2>Part {i}</h2><p>Text {i}</p></article>")
+        for i in range(others)]
+    got = texts(spark, rows)
+    for i in range(8):
+        assert got[i] == f"Dish {i}\n\nIngredients\n\nsalt\n\nitem {i}\n\nMethod\n\nMix well.\n\nServe dish {i}"
+
+
+def test_names_that_tell_about_a_page_drop_nothing():
+    assert text('<div class="layout with-sidebar"><article>a</article></div>') == "a"
+    assert text('<article class="post no-comments">a</article>') == "a"
+    assert text('<div class="page-header"><h1>x</h1><main class="widget">a</main></div>') == "a"
+    assert text('<p class="sidebar">x</p><div class="sidebar"><article>card</article></div><p>long body</p>') == "long body"
+    assert text('<div id="cookie-notice">x</div><div class="site-footer">y</div><div class="a-b">z</div>') == "z"
+    assert text('<article>a<section class="comments"><article>me too</article></section></article>') == "a"
+
+
+def test_the_zone_with_the_text_is_the_main_text():
+    cards = "<main><h1>Title</h1><p>First paragraph</p><p>Second one</p><section><article>Card</article></section></main>"
+    assert text(cards) == "Title\n\nFirst paragraph\n\nSecond one\n\nCard"
+    assert text("<main><div>Home</div><article><h1>T</h1><p>long enough text</p></article></main>") == "T\n\nlong enough text"
+    assert text("<p>A page of text that is much longer</p><p>than its card</p><article>x</article>").startswith("A page")
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a '" * 250_000, '<a "' * 250_000 + ">", "<!-" * 300_000, "</p " * 250_000, "<b>" * 200_000 + "<hr>" * 100_000,
+    "<script>" + "</script " * 100_000, "<div>x" * 20_000, "<b>x</i>" * 100_000, "<li><b>" * 100_000, "<p>" * 200_000])
+def test_time_grows_with_the_page_only(page):
+    import time
+    start = time.process_time()
+    blocks, marks = parse_page(page)
+    assert time.process_time() - start < 4.0 and len(marks) <= len(page) // 3 and len(blocks) <= len(page) // 3
+
+
+def test_templates_equal_a_plain_count(spark):
+    import random
+    dice = random.Random(3)
+    rows = [(dice.choice("ab"), dice.randrange(4), dice.randrange(12), dice.randrange(30)) for _ in range(1500)]
+    got = {tuple(r) for r in templates(spark.createDataFrame(rows, "host string, path long, mark long, rest int"), 8).collect()}
+    rests, want = {}, set()
+    for host, path, mark, rest in rows:
+        rests.setdefault((host, path, mark), set()).add(rest)
+    for (host, path, mark), n in rests.items():
+        at = [len(x) for (h, p, _), x in rests.items() if (h, p) == (host, path)]
+        if len(n) >= 8 and 2 * sum(x for x in at if x >= 8) >= sum(at):
+            want.add((host, path, mark))
+    assert got == want and want
