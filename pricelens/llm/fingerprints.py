@@ -1,7 +1,9 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame operations only.
 
-A document is the set of its paragraphs (lines, in pieces of at most ``PIECE`` characters),
-each a 64-bit digest. In a sketch every digest falls into one cell of each of three tables;
+A document is the set of its paragraphs, each a 64-bit digest: a line, or pieces of a long one
+that end with a sentence or word, so that an insertion changes the pieces around it only. Short
+texts are cut finer (``SCALES``), so that each has enough pieces for its likeness to mean
+something; two texts are compared on the scale of the longer. In a sketch every digest falls into one cell of each of three tables;
 a cell keeps a count, the xor of its digests and the xor of their checksums. Sketches of two
 versions subtract cell by cell: what the versions share cancels out, and the rest is peeled.
 A cell that holds a single digest gives it away; taking that digest out of the other two
@@ -16,26 +18,37 @@ All sketches live in rows (document, cell) and every step is an aggregation by d
 one partitioning. Nothing depends on how large a document is.
 
 Defined cases: null is the empty text; texts without a paragraph are alike (1) and unlike
-any other (0); documents go by id, nulls first, equal ids by text; with one document the
-next is itself; equal rows are separate documents; extra columns are ignored."""
+any other (0); documents go by id in its own type and order, nulls first, equal ids by a hash
+of the text; with one document the next is itself; equal rows are separate documents; extra
+columns are ignored."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import materialise
+from .util import hash_unit, materialise
 
-PIECE = 128
+#: Texts of fewer characters than the first number are cut by the pattern: words (in parts of
+#: at most 12 characters), runs of 24 characters up to the end of a word, and runs of 64 up to
+#: the end of a sentence (or 128 more).
+SCALES = ((256, r"\S{1,12}"), (1024, r"[^\n]{1,24}\S{0,24}[^\S\n]*"), (None, r"[^\n]{1,64}(?:[^\n.!?]{0,128}[.!?]?)"))
+SAMPLE_PER_CUT = 64
 ROUNDS = 12
 BUCKETS_PER_TASK = 4
 GROW = 4
 
 
-def paragraphs(text: Column, piece: int = PIECE) -> Column:
+def scale_of(chars: Column) -> Column:
+    """Position in ``SCALES`` for a text of so many characters."""
+    return F.when(chars < SCALES[0][0], 0).when(chars < SCALES[1][0], 1).otherwise(2)
+
+
+def paragraphs(text: Column, scale: Column) -> Column:
     """Distinct paragraph digests of a text."""
-    parts = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{piece}}}"), F.lit(0))
-    return F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x)))
+    parts = [F.regexp_extract_all(text, F.lit(pattern), F.lit(0)) for _, pattern in SCALES]
+    return F.array_distinct(F.transform(
+        F.when(scale == 0, parts[0]).when(scale == 1, parts[1]).otherwise(parts[2]), lambda x: F.xxhash64(x)))
 
 
 def _cell(key: Column, table: int, cells: Column) -> Column:
@@ -50,38 +63,51 @@ def _check(key: Column) -> Column:
 def with_next(docs: DataFrame, doc_id: str, text: str, buckets: int) -> DataFrame:
     """doc, text and the text of the next document by id (after the last, the first).
 
-    Ids are cut into ranges of about equal numbers; each range also gets a copy of the first
-    document of the following one, so every range finds its own successors."""
-    rows = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    order = F.when(F.col("doc").isNull(), F.lit(float("-inf"))).otherwise(F.col("doc").cast("double"))
-    rows = rows.withColumn("at", order)
-    cuts = sorted(set(rows.where("doc is not null").approxQuantile(
-        "at", [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
+    Rows are cut into ranges of (id, hash of the text), null ids first, at cuts from a sample
+    of about ``SAMPLE_PER_CUT`` rows a range, so one id with many texts is several ranges; each
+    range also gets a copy of the first document of the following one, so every range finds
+    its own successors."""
+    rows = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
+        "h", F.xxhash64("text"))
+    share = buckets * SAMPLE_PER_CUT / max(rows.count(), 1)
+    some = rows.select("doc", "h")
+    if share < 1:
+        some = some.where(hash_unit(F.lit("cut"), F.col("doc"), F.col("h")) < share)
+    marks = sorted({(r["doc"] is not None, r["doc"], r["h"]) for r in some.collect()},
+                   key=lambda m: (m[0], m[1] if m[0] else 0, m[2]))  # about the sample's rows
+    cuts = sorted({len(marks) * i // buckets for i in range(1, buckets)} - {0})
+    kind = rows.schema["doc"].dataType
+    known, ids, hashes = (F.array(*[F.lit(marks[c][j]).cast(t) for c in cuts])
+                          for j, t in enumerate(("boolean", kind, "long")))
+
+    def reached(i: Column) -> Column:
+        """The row is at or behind cut ``i``."""
+        behind = F.get(hashes, i) <= F.col("h")
+        return F.when(F.col("doc").isNull(), ~F.get(known, i) & behind).otherwise(
+            ~F.get(known, i) | (F.get(ids, i) < F.col("doc")) | ((F.get(ids, i) == F.col("doc")) & behind))
+
     steps = [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
     # binary search of the range, in steps of falling powers of two
     bucket = F.aggregate(
         F.lit(steps), F.lit(0),
-        lambda lo, s: F.when((lo + s <= len(cuts)) & (F.get(F.lit(cuts), lo + s - 1) <= F.col("at")),
+        lambda lo, s: F.when((lo + s <= len(cuts)) & F.coalesce(reached(lo + s - 1), F.lit(False)),
                              lo + s).otherwise(lo)) if cuts else F.lit(0)
     rows = rows.withColumn("bucket", bucket)
     heads = sorted(
         ((r["bucket"], r["id"], r["h"]) for r in rows.groupBy("bucket").agg(
-            F.min(F.struct("at", F.xxhash64("text").alias("h"), "doc")).alias("m"))
+            F.min(F.struct(F.col("doc").isNotNull().alias("known"), "doc", "h")).alias("m"))
          .select("bucket", F.col("m.doc").alias("id"), F.col("m.h").alias("h")).collect()),
         key=lambda x: x[0])                                # at most ``buckets`` rows
     if not heads:
         return rows.select("doc", "text", F.lit("").alias("next"), F.lit(0).alias("bucket"),
                            F.lit(0).alias("pos"))
     guests = [(d, h, heads[i - 1][0]) for i, (_, d, h) in enumerate(heads)]
-    kind = rows.schema["doc"].dataType.simpleString()
-    host = F.broadcast(docs.sparkSession.createDataFrame(guests, f"gdoc {kind}, gh long, host int"))
-    guest = (rows.join(host, rows["doc"].eqNullSafe(F.col("gdoc"))
-                       & (F.xxhash64(rows["text"]) == F.col("gh")))
+    host = F.broadcast(docs.sparkSession.createDataFrame(guests, f"gdoc {kind.simpleString()}, gh long, host int"))
+    guest = (rows.join(host, rows["doc"].eqNullSafe(F.col("gdoc")) & (rows["h"] == F.col("gh")))
              .dropDuplicates(["gdoc", "gh"])
-             .select("doc", "text", F.col("host").alias("bucket"), F.lit(1).alias("guest")))
-    own = rows.select("doc", "text", "bucket", F.lit(0).alias("guest"))
-    by = Window.partitionBy("bucket").orderBy("guest", F.col("doc").asc_nulls_first(),
-                                              F.xxhash64("text"))
+             .select("doc", "text", "h", F.col("host").alias("bucket"), F.lit(1).alias("guest")))
+    own = rows.select("doc", "text", "h", "bucket", F.lit(0).alias("guest"))
+    by = Window.partitionBy("bucket").orderBy("guest", F.col("doc").asc_nulls_first(), "h")
     return (own.union(guest)
             .withColumn("next", F.lead("text").over(by))
             .withColumn("pos", F.row_number().over(by))
@@ -134,7 +160,7 @@ def _size(n: Column) -> Column:
 
 
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                          piece: int = PIECE, rounds: int = ROUNDS) -> DataFrame:
+                          rounds: int = ROUNDS) -> DataFrame:
     """Per document row: doc, n_chars, edited_sha256, fingerprint, edited_fingerprint (digest
     of the sketch's cells), near_edited, near_next (likeness by recovered digests) and the
     number of digests recovered from either difference."""
@@ -144,15 +170,19 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     quarter = F.floor(F.char_length("text") / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.char_length("text") - quarter),
                       F.substring(F.col("next"), F.lit(1), quarter))
+    scale, pair = scale_of(F.char_length("text")), scale_of(F.greatest(F.char_length("text"), F.char_length("next")))
     base = materialise(
-        ordered.withColumn("edited", edited).select(
+        ordered.withColumns({"edited": edited, "scale": scale, "pair": pair}).select(
             ((F.col("bucket").cast("long") * (1 << 40)) + F.col("pos")).alias("rid"), "doc",
             F.char_length("text").cast("long").alias("n_chars"),
             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-            paragraphs(F.col("text"), piece).alias("own"),
-            paragraphs(F.col("edited"), piece).alias("edit"),
-            paragraphs(F.col("next"), piece).alias("next")), "iblt-paragraphs")
-    keys = base.select("rid", "own", "edit", "next").repartition("rid")
+            paragraphs(F.col("text"), F.col("scale")).alias("own"),
+            paragraphs(F.col("edited"), F.col("scale")).alias("edit"),
+            # the longer of the two may ask for a coarser scale
+            F.when(F.col("pair") != F.col("scale"), paragraphs(F.col("text"), F.col("pair"))).alias("beside"),
+            paragraphs(F.col("next"), F.col("pair")).alias("next")), "iblt-paragraphs")
+    beside = F.coalesce("beside", "own")
+    keys = base.select("rid", "own", "edit", beside.alias("beside"), "next").repartition("rid")
 
     # sketches of the single texts, folded to a digest of their cells
     one = keys.select("rid", F.explode(F.array(
@@ -178,8 +208,8 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     while True:
         sides = [F.struct(F.lit(pair).alias("pair"), F.lit(sign).cast("long").alias("n"),
                           F.col(side).alias("keys"),
-                          (_size(F.greatest(F.size("own"), F.size(pair))) * grow).alias("cells"))
-                 for pair in ("edit", "next") for side, sign in (("own", 1), (pair, -1))]
+                          (_size(F.greatest(F.size(mine), F.size(pair))) * grow).alias("cells"))
+                 for pair, mine in (("edit", "own"), ("next", "beside")) for side, sign in ((mine, 1), (pair, -1))]
         units = todo.select("rid", *([] if grow == 1 else ["open"]), F.explode(F.array(*sides)).alias("s"))
         if grow > 1:
             units = units.where(F.array_contains("open", F.col("s.pair")))
@@ -195,15 +225,15 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         F.max(F.when(F.col("pair") == "edit", F.col("found"))).alias("found_edited"),
         F.max(F.when(F.col("pair") == "next", F.col("found"))).alias("found_next"))
 
-    def likeness(side: str, differ: str) -> Column:
-        total = (F.size("own") + F.size(side) + F.coalesce(differ, F.lit(0).cast("long"))) / 2.0
+    def likeness(mine: Column, side: str, differ: str) -> Column:
+        total = (F.size(mine) + F.size(side) + F.coalesce(differ, F.lit(0).cast("long"))) / 2.0
         return F.when(total > 0, 1.0 - F.coalesce(differ, F.lit(0).cast("long")) / total).otherwise(1.0)
 
     blank = F.lit("0" * 32)
     return (base.join(prints, "rid", "left").join(found, "rid", "left").select(
         "doc", "n_chars", "edited_sha256", F.coalesce("fingerprint", blank).alias("fingerprint"),
         F.coalesce("edited_fingerprint", blank).alias("edited_fingerprint"),
-        likeness("edit", "found_edited").alias("near_edited"),
-        likeness("next", "found_next").alias("near_next"),
+        likeness(F.col("own"), "edit", "found_edited").alias("near_edited"),
+        likeness(beside, "next", "found_next").alias("near_next"),
         F.coalesce("found_edited", F.lit(0).cast("long")).alias("found_edited"),
         F.coalesce("found_next", F.lit(0).cast("long")).alias("found_next")))
