@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import time
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .metrics import calibration_report, log_model_metrics
+from .runlog import keyed_table, write_keyed
 
 
 @dataclass
@@ -87,10 +87,10 @@ def prep_stages(numeric: Sequence[str], categorical: Sequence[str],
 
 def compare_candidates(train: DataFrame, test: DataFrame, numeric: Sequence[str],
                        categorical: Sequence[str], candidates: Sequence[Candidate],
-                       label: str = "log_price", run_log: str | None = None) -> DataFrame:
+                       label: str = "log_price") -> DataFrame:
     """Fit shared preparation once, then each candidate; score the test slice; one metrics
-    row per candidate (n, mae, medae, mape_pct, rmse, r2_log, train_seconds), appended to
-    ``run_log`` (Parquet) when given. Returns the leaderboard sorted by MAE."""
+    row per candidate (n, mae, medae, mape_pct, rmse, r2_log, train_seconds). Returns the
+    leaderboard sorted by MAE."""
     prep = Pipeline(stages=prep_stages(numeric, categorical)).fit(train)
     tr = right_sized(prep.transform(train).select(label, "features"))
     te = prep.transform(test).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
@@ -120,8 +120,6 @@ def compare_candidates(train: DataFrame, test: DataFrame, numeric: Sequence[str]
                                 "model string, params string, n long, mae double, medae double, "
                                 "mape_pct double, rmse double, r2_log double, train_seconds double, "
                                 "skipped_train_rows long")
-    if run_log:
-        append_run_log(res, run_log)
     return res.orderBy("mae", "model")
 
 
@@ -152,12 +150,19 @@ def run_concurrently(tasks, max_workers: int = 4) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def append_run_log(results: DataFrame, path: str, run_id: str | None = None) -> None:
-    """Append-only run log (run id, time, model, params, metrics) as Parquet."""
-    rid = run_id or uuid.uuid4().hex
-    (results.withColumn("run_id", F.lit(rid))
-     .withColumn("logged_at", F.current_timestamp())
-     .write.mode("append").parquet(path))
+RUN_LOG = ("model string, params string, n long, mae double, medae double, mape_pct double, rmse double, "
+           "r2_log double, train_seconds double, skipped_train_rows long, logged_at timestamp, run_id string")
+
+
+def log_run(results: DataFrame, path: str, run_id: str) -> None:
+    """Keep the rows of a run (time, model, params, metrics) in the run log. A run that is
+    logged again replaces its rows, so that a retry leaves one copy."""
+    write_keyed(results.withColumn("logged_at", F.current_timestamp()).coalesce(1), path, "run_id", run_id)
+
+
+def run_log(spark: SparkSession, path: str) -> DataFrame:
+    """All runs that were logged; the key column is ``run_id``."""
+    return keyed_table(spark, path, "run_id", RUN_LOG)
 
 
 def fit_pipeline(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str],

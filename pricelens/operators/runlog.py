@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 def content_id(*frames: DataFrame) -> str:
     """An id of the rows' values, whatever their order or partitioning: the same data give
-    the same id, changed data another. One pass over each frame."""
+    the same id, changed data another. Doubles count with the digits of a float, as sums that
+    were added up in another order differ in the last ones. One pass over each frame."""
     parts = []
     for df in frames:
-        cols = sorted(df.columns)
+        cols = [F.col(f"`{f.name}`").cast("float") if f.dataType.simpleString() == "double" else F.col(f"`{f.name}`")
+                for f in sorted(df.schema.fields, key=lambda f: f.name)]
         r = df.select(F.xxhash64(*cols).alias("h"), F.xxhash64(F.lit("second"), *cols).alias("g")).agg(
             F.count("*"), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor("g")).first()
         parts.append("-".join(f"{int(x or 0) & (1 << 64) - 1:x}" for x in r))

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, model, split
 from ..operators.features import GLOBAL_CATEGORICAL, GLOBAL_NUMERIC
-from ..session import scratch_path
+from ..operators.runlog import content_id
+from ..session import checkpointed, scratch_path
 from ..sources import fixtures as fx
 from . import common as C
 
 GLOBAL_PCT, ORIGIN_SEED = 50, 11  # which listings stand for the global source
 SELECTION_SEED = 7  # model-selection split; differs from the hold-out seed on purpose
 
-_FITTED: dict = {}  # memo of a session: (application, folder) -> (rows, best name, model path)
-
 
 def _tag(d: str) -> str:
     return hashlib.md5(d.encode()).hexdigest()[:10]
@@ -52,26 +52,41 @@ def local_test(spark: SparkSession, d: str) -> DataFrame:
     return features.clean_cast(features.adapt_to_global(test), select=False)
 
 
+LOG = "pricelens/run_log"
+VERSION = 1  # of the settings below
+
+
 def _fit(spark: SparkSession, d: str):
-    at = (spark.sparkContext.applicationId, d)
-    if at in _FITTED:
-        return _FITTED[at]
-    gg = global_gold(spark, d)
-    # Feature columns by type after the cleaning cast (every numeric is double by now)
-    numeric = features.columns_of_type(gg, numeric=True, exclude=["log_price", "id"])
-    categorical = features.columns_of_type(gg, numeric=False, exclude=["log_price", "id"])
-    sel_test, sel_train = split.hash_split(gg, "id", 20, SELECTION_SEED)
-    board = model.compare_candidates(sel_train, sel_test, numeric, categorical,
-                                     model.reference_candidates(C.SEED),
-                                     run_log=scratch_path(spark, "pricelens/run_log"))
-    rows = board.collect()  # one row per candidate
-    best = rows[0]["model"]
-    cand = {c.name: c for c in model.reference_candidates(C.SEED)}[best]
-    fitted = model.fit_pipeline(gg, numeric, categorical, cand)
-    path = scratch_path(spark, f"pricelens/models/global_{_tag(d)}")
-    model.save_model(fitted, path)
-    _FITTED[at] = (rows, best, path)
-    return _FITTED[at]
+    """(rows of the leaderboard, name of the best, path of its model). A run is known by the
+    values of its rows: it is fitted once, and found in the run log after that."""
+    gg = checkpointed(global_gold(spark, d))
+    run = f"{VERSION}-{content_id(gg)}"
+    path, log = scratch_path(spark, f"pricelens/models/{run}"), scratch_path(spark, LOG)
+    rows = model.run_log(spark, log).where(F.col("run_id") == run).collect()  # one per candidate
+    if not rows:
+        # Feature columns by type after the cleaning cast (every numeric is double by now)
+        numeric = features.columns_of_type(gg, numeric=True, exclude=["log_price", "id"])
+        categorical = features.columns_of_type(gg, numeric=False, exclude=["log_price", "id"])
+        sel_test, sel_train = split.hash_split(gg, "id", 20, SELECTION_SEED)
+        board = model.compare_candidates(sel_train, sel_test, numeric, categorical, model.reference_candidates(C.SEED))
+        best = board.first()["model"]
+        cand = {c.name: c for c in model.reference_candidates(C.SEED)}[best]
+        model.save_model(model.fit_pipeline(gg, numeric, categorical, cand), path)
+        model.log_run(board, log, run)  # last: a run in the log has its model
+        rows = model.run_log(spark, log).where(F.col("run_id") == run).collect()
+    rows = sorted(rows, key=lambda r: (r["mae"], r["model"]))
+    return rows, rows[0]["model"], path
+
+
+def run_log(spark: SparkSession, d: str) -> DataFrame:
+    """The run of these data as the log has it, after it has been logged once more."""
+    rows, _, path = _fit(spark, d)
+    log, run = scratch_path(spark, LOG), path.rstrip("/").split("/")[-1]
+    mine = lambda: model.run_log(spark, log).where(F.col("run_id") == run)
+    model.log_run(spark.createDataFrame(rows, mine().schema).drop("run_id", "logged_at"), log, run)
+    return mine().groupBy("model", "params", "n", "skipped_train_rows").agg(
+        F.count("*").alias("copies"), (F.min("mae") > 0).alias("has_metrics"),
+        F.max("logged_at").isNotNull().alias("has_time"))
 
 
 def model_leaderboard(spark: SparkSession, d: str) -> DataFrame:
@@ -134,20 +149,34 @@ def visual_bundle(spark: SparkSession, d: str) -> DataFrame:
 
 def batch_score_rows(spark: SparkSession, d: str) -> DataFrame:
     """M11, what SQL can tell: every hold-out listing is scored once, its label and category
-    untouched, with a finite prediction near the label."""
-    s = batch_score(spark, d)
-    near = F.abs(F.col("global_pred_log") - F.col("log_price")) < 2.0
+    untouched, with a prediction within the range of the labels that the model has seen, and the
+    mean of the squared errors is under the variance of the labels."""
+    s = checkpointed(batch_score(spark, d))
+    seen = global_gold(spark, d).agg(F.min("log_price").alias("least"), F.max("log_price").alias("most"))
+    fit = s.agg((F.avg(F.pow(F.col("global_pred_log") - F.col("log_price"), 2)) < F.var_pop("log_price")).alias("better"))
+    s = s.crossJoin(F.broadcast(seen)).crossJoin(F.broadcast(fit))  # one row each
+    near = F.col("global_pred_log").between(F.col("least") - 0.05, F.col("most") + 0.05) & F.col("better")
     return s.select("id", F.round("log_price", 6).alias("log_price"), "neighbourhood_cleansed",
                     near.alias("near_label"))
 
 
 def model_checks(spark: SparkSession, d: str) -> DataFrame:
-    """M5-M9, what SQL can tell: each candidate is scored on all rows of the selection slice
-    and beats the slice's mean; mae is what its rank says."""
+    """M5-M9, what SQL can tell: each candidate is scored on all rows of the selection slice,
+    mae is what its rank says, and its errors lie under bounds taken from the same rows, which
+    are returned: those of a prediction that always says the mean of the log price."""
     rows, _, _ = _fit(spark, d)
     maes = sorted(r["mae"] for r in rows)
-    out = [(r["model"], r["n"], r["r2_log"] > 0, maes.index(r["mae"]) == i) for i, r in enumerate(rows)]
-    return spark.createDataFrame(out, "model string, n long, beats_mean boolean, in_order boolean")
+    sel_test, _ = split.hash_split(global_gold(spark, d), "id", 20, SELECTION_SEED)
+    level = sel_test.agg(F.avg("log_price").alias("level"))
+    y = F.expm1("log_price")
+    plain = sel_test.crossJoin(F.broadcast(level)).agg(  # one row
+        F.avg(F.abs(y - F.expm1("level"))).alias("mean_mae"), F.sqrt(F.avg(F.pow(y - F.expm1("level"), 2))).alias("mean_rmse"))
+    out = spark.createDataFrame([(r["model"], r["n"], r["mae"], r["rmse"], maes.index(r["mae"]) == i)
+                                 for i, r in enumerate(rows)],
+                                "model string, n long, mae double, rmse double, in_order boolean")
+    return C.round_doubles(out.crossJoin(F.broadcast(plain)).select(
+        "model", "n", "mean_mae", "mean_rmse", (F.col("mae") < F.col("mean_mae")).alias("mae_bounded"),
+        (F.col("rmse") < F.col("mean_rmse")).alias("rmse_bounded"), "in_order"))
 
 
 def importance_check(spark: SparkSession, d: str) -> DataFrame:
@@ -174,6 +203,7 @@ QUERIES = {
     "model_checks": model_checks,
     "importance_check": importance_check,
     "calibration_check": calibration_check,
+    "run_log": run_log,
     "visual_bundle": visual_bundle,
     "model_leaderboard": model_leaderboard,
     "score_holdout": score_holdout,
@@ -191,9 +221,18 @@ ORACLE = {
         FROM local_gold WHERE NOT ({_GLOBAL}) AND {C.sql_bucket('id')} < {C.TEST_PCT}""",
                                      "local_gold"),
     "model_checks": fx.with_ctes(f"""
-        SELECT model, n, TRUE AS beats_mean, TRUE AS in_order
+        SELECT model, n, round(mean_mae, 6) AS mean_mae, round(mean_rmse, 6) AS mean_rmse,
+               TRUE AS mae_bounded, TRUE AS rmse_bounded, TRUE AS in_order
         FROM (SELECT unnest(['GBT_Deep', 'GBT_Shallow', 'GBT_Robust_MAE', 'RandomForest_Baseline'])
                 AS model),
+             (SELECT count(*) AS n, avg(abs(y - m)) AS mean_mae, sqrt(avg(pow(y - m, 2))) AS mean_rmse
+              FROM (SELECT exp(log_price) - 1 AS y, exp(avg(log_price) OVER ()) - 1 AS m FROM local_gold
+                    WHERE {_GLOBAL} AND {C.sql_bucket('id', SELECTION_SEED)} < 20))""", "local_gold"),
+    "run_log": fx.with_ctes(f"""
+        SELECT model, params, n, CAST(0 AS BIGINT) AS skipped_train_rows, CAST(1 AS BIGINT) AS copies,
+               TRUE AS has_metrics, TRUE AS has_time
+        FROM (VALUES {", ".join(f"('{c.name}', '{json.dumps(c.params, sort_keys=True)}')"
+                                for c in model.reference_candidates(C.SEED))}) v(model, params),
              (SELECT count(*) AS n FROM local_gold
               WHERE {_GLOBAL} AND {C.sql_bucket('id', SELECTION_SEED)} < 20)""", "local_gold"),
     "importance_check": fx.with_ctes(f"""

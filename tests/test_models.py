@@ -8,6 +8,7 @@ from paths import SF0001
 from pricelens.operators import cells as cl
 from pricelens.operators import curve, model, sampling, split
 from pricelens.operators.robust import huber_groups
+from pricelens.operators.runlog import content_id
 from pricelens.plans import curveplan
 from pricelens.plans.models import _numeric_flags
 from pricelens.sources import fixtures as fx
@@ -178,3 +179,23 @@ def test_visual_tables_written(spark, tmp_path):
     assert 0 < spark.read.parquet(paths["scatter"]).count() <= 20
     hist = spark.read.parquet(paths["residuals"])
     assert hist.agg(F.sum("count")).first()[0] == g.count()
+
+
+def test_a_run_logged_twice_has_one_copy(spark, tmp_path):
+    g = _numeric_flags(fx.local_gold(spark, SF0001))
+    num = ["accommodates", "beds"]
+    g = g.withColumns({c: g[c].cast("double") for c in num})
+    board = model.compare_candidates(g, g, num, ["listing_type"], [
+        model.Candidate("RF", "rf", {"numTrees": 3, "maxDepth": 3, "seed": 42})])
+    log = str(tmp_path / "log")
+    assert model.run_log(spark, log).count() == 0
+    for run in ("a", "a", "b"):
+        model.log_run(board, log, run)
+    assert sorted(r.run_id for r in model.run_log(spark, log).collect()) == ["a", "b"]
+
+
+def test_content_ids_follow_the_values(spark):
+    a = spark.createDataFrame([(1, 0.1, "x"), (2, None, None), (2, None, None)], "id long, v double, s string")
+    assert content_id(a) == content_id(a.repartition(3).orderBy(F.desc("id")))
+    assert content_id(a) == content_id(a.withColumn("v", F.col("v") + 1e-17))
+    assert len({content_id(a), content_id(a.distinct()), content_id(a.fillna("", ["s"])), content_id(a, a)}) == 4
