@@ -1,31 +1,22 @@
 """Geographic features.
 
 * Site distances (J6): the site list is a small dimension (one output column per site),
-  so it is collected once behind a size check and unrolled into column expressions:
+  so it is collected once and unrolled into column expressions:
   a single projection, no join at all.
-* Nearest neighbour (J7): a tree over a bounded sample of the stations cuts space into at
-  most ``LEAVES`` regions with about equally many stations, dense or sparse. Each place is
-  matched with the regions that can hold its nearest station (box distance against the
-  distance of one known station per region), then joined with those regions' stations by an
-  equi-join. One pass, no levels and no product; the result equals brute force.
+* Nearest neighbour (J7): see ``nearest``.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (EARTH_RADIUS_KM, count_below, flag_above, flag_any_below,
                                  haversine_km, nan_to_null)
-from ..session import checkpointed
-
-MAX_SITES = 512  # one output column per site: beyond this the feature table is unusable
+from .nearest import nearest_neighbour  # noqa: F401
 
 
 def site_column(site_id: str, prefix: str = "dist_") -> str:
@@ -40,126 +31,13 @@ def site_distances(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: s
     only the ``only`` ids)."""
     chosen = sites.where(~F.col(site_id).isin(list(exclude))) if exclude else sites
     chosen = chosen.where(F.col(site_id).isin(list(only))) if only else chosen
-    rows = chosen.select(site_id, site_lat, site_lon).limit(MAX_SITES + 1).collect()
-    if len(rows) > MAX_SITES:
-        raise ValueError(f"more than {MAX_SITES} sites; use nearest_neighbour instead")
+    rows = chosen.select(site_id, site_lat, site_lon).collect()  # each names an output column
     rows = sorted(rows, key=lambda r: str(r[0]))
     cols = {site_column(r[0], prefix): haversine_km(lat, lon, F.lit(float(r[1])),
                                                      F.lit(float(r[2]))) for r in rows}
     return points.withColumns(cols)
 
 
-LEAVES = 4096            # regions of the station tree that every task holds (about 300 KB)
-SAMPLE_PER_LEAF = 16     # stations that the tree's cuts are taken from, per region
-
-
-def _unit(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
-    """Unit vectors; great-circle distance grows with the straight-line distance of these."""
-    la, lo = np.radians(lat), np.radians(lon)
-    return np.stack([np.cos(la) * np.cos(lo), np.cos(la) * np.sin(lo), np.sin(la)], axis=1)
-
-
-def _cuts(xyz: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray]:
-    """Axis and value of every inner node of a balanced tree over sampled stations, in heap
-    order; each node is cut at the median of its widest axis."""
-    depth = max(0, math.ceil(math.log2(max(1, min(leaves, len(xyz))))))
-    axis, value = np.zeros(1 << depth, np.int64), np.zeros(1 << depth)
-    groups = {1: xyz}
-    for node in range(1, 1 << depth):
-        pts = groups.pop(node)
-        if len(pts):
-            axis[node] = int(np.argmax(pts.max(axis=0) - pts.min(axis=0)))
-            value[node] = float(np.median(pts[:, axis[node]]))
-        right = pts[:, axis[node]] > value[node]
-        groups[2 * node], groups[2 * node + 1] = pts[~right], pts[right]
-    return axis, value
-
-
-def _leaf(xyz: np.ndarray, axis: np.ndarray, value: np.ndarray) -> np.ndarray:
-    node = np.ones(len(xyz), np.int64)
-    for _ in range(int(math.log2(len(axis)))):
-        node = 2 * node + (xyz[np.arange(len(xyz)), axis[node]] > value[node])
-    return node
-
-
-def _coordinates(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Distinct places; a coordinate that is null or NaN is no place."""
-    place = df.select(nan_to_null(F.col(lat).cast("double")).alias("_lat"),
-                      nan_to_null(F.col(lon).cast("double")).alias("_lon"))
-    return place.where("_lat is not null and _lon is not null").distinct()
-
-
-def nearest_neighbour(points: DataFrame, stations: DataFrame, p_id: str = "id",
-                      p_lat: str = "lat", p_lon: str = "lon", s_id: str = "station_id",
-                      s_lat: str = "lat", s_lon: str = "lon", s_keep: Sequence[str] = (),
-                      out_dist: str = "dist_km", leaves: int = LEAVES) -> DataFrame:
-    """Exact nearest station per point by great-circle distance; ties go to the smallest id.
-
-    Returns ``p_id, s_id, *s_keep, out_dist``, one row per point row. Points with a null or
-    NaN coordinate, or an empty station table, yield no row. The answer depends on a point's
-    place only, so it is found once per distinct place and joined back."""
-    sts = stations.select(
-        F.col(s_id).alias("_sid"), nan_to_null(F.col(s_lat).cast("double")).alias("_slat"),
-        nan_to_null(F.col(s_lon).cast("double")).alias("_slon"), *s_keep).where(
-        "_slat is not null and _slon is not null")
-    # Stations at the same location tie on distance, and ties go to the smallest id, so
-    # only that one can ever win.
-    sts = checkpointed(
-        sts.groupBy("_slat", "_slon").agg(F.min_by(F.struct("_sid", *s_keep), F.col("_sid")).alias("_s"))
-        .select("_s._sid", "_slat", "_slon", *[F.col("_s." + c).alias(c) for c in s_keep]))
-    total = sts.count()
-    share = leaves * SAMPLE_PER_LEAF / max(total, 1)
-    some = sts.where(F.pmod(F.xxhash64("_slat", "_slon"), F.lit(1 << 20)) < share * (1 << 20))
-    rows = some.select("_slat", "_slon").collect()          # about leaves * SAMPLE_PER_LEAF
-    ll = np.array([(r[0], r[1]) for r in sorted(rows)], float).reshape(-1, 2)
-    axis, value = _cuts(_unit(ll[:, 0], ll[:, 1]), leaves)
-
-    def place(batches):
-        for pdf in batches:
-            xyz = _unit(pdf["_slat"].to_numpy(float), pdf["_slon"].to_numpy(float))
-            out = pdf.assign(_leaf=_leaf(xyz, axis, value))
-            for i, c in enumerate("xyz"):
-                out[f"_{c}"] = xyz[:, i]
-            yield out
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sts.schema.fields)
-    placed = checkpointed(sts.mapInPandas(place, f"{kinds}, _leaf long, _x double, _y double, _z double"))
-    box = placed.groupBy("_leaf").agg(
-        *[f(c).alias(f"{n}{c}") for n, f in (("lo", F.min), ("hi", F.max)) for c in ("_x", "_y", "_z")],
-        F.min_by(F.struct("_x", "_y", "_z"), F.struct("_x", "_y", "_z")).alias("one")).collect()
-    box = sorted(box, key=lambda r: r["_leaf"])              # at most ``leaves`` regions
-    ids = np.array([r["_leaf"] for r in box], np.int64)
-    lo = np.array([[r[f"lo_{c}"] for c in "xyz"] for r in box], float).reshape(-1, 3)
-    hi = np.array([[r[f"hi_{c}"] for c in "xyz"] for r in box], float).reshape(-1, 3)
-    one = np.array([list(r["one"]) for r in box], float).reshape(-1, 3)
-
-    def regions(batches):
-        """The regions that can hold the nearest station of a place: no farther than the
-        nearest of one known station per region."""
-        for pdf in batches:
-            lat, lon = pdf["_lat"].to_numpy(float), pdf["_lon"].to_numpy(float)
-            for i in range(0, len(lat) if len(ids) else 0, 256):
-                p = _unit(lat[i:i + 256], lon[i:i + 256])
-                known = np.zeros((len(p), len(ids)))
-                least = np.zeros((len(p), len(ids)))
-                for c in range(3):
-                    x = p[:, c:c + 1]
-                    known += (x - one[:, c]) ** 2
-                    least += np.maximum(0, np.maximum(lo[:, c] - x, x - hi[:, c])) ** 2
-                bound = known.min(axis=1, keepdims=True)
-                at, leaf = np.nonzero(least <= bound * (1 + 1e-9) + 1e-20)
-                yield pd.DataFrame({"_lat": lat[i + at], "_lon": lon[i + at], "_leaf": ids[leaf]})
-    near = _coordinates(points, p_lat, p_lon).mapInPandas(
-        regions, "_lat double, _lon double, _leaf long").join(placed.drop("_x", "_y", "_z"), "_leaf")
-    near = near.withColumn("_d", haversine_km("_lat", "_lon", "_slat", "_slon"))
-    best = (near.groupBy("_lat", "_lon")
-            .agg(F.min_by(F.struct("_sid", "_d", *s_keep), F.struct("_d", "_sid")).alias("_b")))
-    pts = points.select(F.col(p_id), nan_to_null(F.col(p_lat).cast("double")).alias("_lat"),
-                        nan_to_null(F.col(p_lon).cast("double")).alias("_lon"))
-    return checkpointed(pts.join(best, ["_lat", "_lon"]).select(
-        p_id, F.col("_b._sid").alias(s_id), *[F.col("_b." + c).alias(c) for c in s_keep],
-        F.col("_b._d").alias(out_dist)))
-
-
 def near_flags(df: DataFrame, site_cols: Sequence[str], metro_col: str,
                near_km: float = 1.0, far_km: float = 0.5) -> DataFrame:
     """near_site: any site strictly < near_km; sites_nearby: how many; far_from_metro:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import clean, split
+from ..session import scratch_path
 from ..sources import fixtures as fx
 
 SEED = 42
@@ -169,10 +170,23 @@ def geo_features(spark: SparkSession, d: str) -> DataFrame:
     from ..operators import geo
     pts = fx.points(spark, d)
     with_sites = geo.site_distances(pts, fx.sites(spark, d), exclude=[EXCLUDED_SITE])
-    near = geo.nearest_neighbour(pts, fx.stations(spark, d), s_keep=["station_name"],
-                                 out_dist="dist_nearest_metro")
-    return with_sites.join(near.select("id", "station_id", "station_name",
-                                       "dist_nearest_metro"), "id", "left")
+    return with_sites.join(nearest_stations(spark, pts, fx.stations(spark, d)), "id", "left")
+
+
+def nearest_stations(spark: SparkSession, pts: DataFrame, stations: DataFrame) -> DataFrame:
+    """id, station_id, station_name, dist_nearest_metro: one stored table for all queries on the
+    same points and stations, known by their values."""
+    from ..operators import geo
+    from ..operators.runlog import content_id, keyed_table, write_keyed
+    kinds = {f.name: f.dataType.simpleString() for f in pts.select("id").schema.fields + stations.schema.fields}
+    schema = (f"id {kinds['id']}, station_id {kinds['station_id']}, station_name {kinds['station_name']}, "
+              "dist_nearest_metro double, run string")
+    key, path = content_id(pts.select("id", "lat", "lon"), stations), scratch_path(spark, "pricelens/nearest")
+    stored = lambda: keyed_table(spark, path, "run", schema).where(F.col("run") == key)
+    if stored().isEmpty():
+        near = geo.nearest_neighbour(pts, stations, s_keep=["station_name"], out_dist="dist_nearest_metro")
+        write_keyed(near.select("id", "station_id", "station_name", "dist_nearest_metro"), path, "run", key)
+    return stored().drop("run")
 
 
 def flagged(spark: SparkSession, d: str) -> DataFrame:

@@ -46,7 +46,7 @@ def test_nearest_equals_brute_force(spark):
     sts = fx.stations(spark, SF001)
     # few regions, so that every one holds several stations
     grid = {r.id: (r.station_id, r.dist_km)
-            for r in geo.nearest_neighbour(pts, sts, leaves=4).collect()}
+            for r in geo.nearest_neighbour(pts, sts, region=8, part=40).collect()}
     brute = {r.id: (r.station_id, r.dist_km) for r in brute_force_nearest(pts, sts).collect()}
     assert grid.keys() == brute.keys()
     for k, (sid, d) in brute.items():
@@ -148,7 +148,7 @@ def test_nearest_with_300_close_stations_far_points_and_the_date_line(spark):
     pts = pts.unionByName(spark.createDataFrame(extra, "id long, lat double, lon double"))
     for leaves in (8, 4096):
         got = {r.id: (r.station_id, r.dist_km)
-               for r in geo.nearest_neighbour(pts, sts, leaves=leaves).collect()}
+               for r in geo.nearest_neighbour(pts, sts, region=leaves, part=60).collect()}
         brute = {r.id: (r.station_id, r.dist_km) for r in brute_force_nearest(pts, sts).collect()}
         assert got.keys() == brute.keys()
         assert all(abs(got[k][1] - d) < 1e-9 for k, (_, d) in brute.items())
@@ -172,3 +172,24 @@ def test_samples_of_both_sides_of_a_split_have_the_asked_rate(spark):
     for side in (test, train):
         share = sampling.fraction_sample(side, "id", 5).count() / side.count()
         assert 0.045 < share < 0.055
+
+
+def test_what_a_place_is_compared_with_stays_flat_as_stations_grow():
+    """100 times the stations: about as many distances per place, and the true nearest."""
+    import numpy as np
+    from pricelens.operators import nearest
+    rng = np.random.default_rng(5)
+    met = {}
+    for n in (400, 40_000):
+        stations = nearest.unit(rng.uniform(48, 49, n), rng.uniform(2, 3, n))
+        places = nearest.unit(rng.uniform(48, 49, 500), rng.uniform(2, 3, 500))
+        p, s, d2 = nearest.candidates(stations, places, np.full(500, np.inf))
+        full = ((places[:, None] - stations[None]) ** 2).sum(axis=2)
+        assert np.allclose(full.min(axis=1)[p], d2, rtol=1e-8) and set(p) == set(range(500))
+        tree = nearest.Tree(stations, -(-n // nearest.BLOCK))
+        leaf = tree.leaf(stations)
+        order = np.argsort(leaf, kind="stable")
+        leaves, first = np.unique(leaf[order], return_index=True)
+        tree.set_boxes(leaves, np.minimum.reduceat(stations[order], first), np.maximum.reduceat(stations[order], first))
+        met[n] = len(tree.within(places, full.min(axis=1))[0]) / 500
+    assert met[40_000] < 2 * met[400] + 1
