@@ -54,23 +54,35 @@ def histogram(df: DataFrame, series: Mapping[str, str | Column], bins: int = 50,
     return out.select(*cols)
 
 
-def kde_1d(df: DataFrame, series: Mapping[str, str | Column], points: int = 100) -> DataFrame:
+CELLS_PER_WIDTH = 64
+
+
+def kde_1d(df: DataFrame, series: Mapping[str, str | Column], points: int = 100,
+           per_width: int = CELLS_PER_WIDTH) -> DataFrame:
     """Gaussian KDE per series on ``points`` evenly spaced grid points over [min, max],
-    Scott bandwidth h = std * n^(-1/5) (sample std). Exact: every value contributes to
-    every grid point; the explode is a fixed ``points`` per row and is folded by the
-    partial aggregate inside the task."""
+    Scott bandwidth h = std * n^(-1/5) (sample std), by linear binning: a value shares its
+    weight between the two nearest nodes of a grid of step h / ``per_width``, and the occupied
+    nodes are convolved with the kernel. A density is off by at most
+    1 / (8 per_width^2) of the kernel's top, 1 / (h sqrt(2 pi)): 3.1e-5 of it. Rows are folded
+    into nodes where they are read; only nodes (range / h * per_width at most) meet the points."""
     lf = _series_frame(df, series, None)
     st = lf.groupBy("series").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"),
                                   F.count(F.lit(1)).alias("_n"),
                                   F.stddev_samp("value").alias("_sd"))
     st = st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
+    at = F.try_divide(F.col("value") - F.col("_lo"), F.col("_h")) * per_width  # null without a width
+    cells = (lf.join(F.broadcast(st), "series").select("series", at.alias("_at"))
+             .withColumn("_c", F.floor("_at")).groupBy("series", "_c")
+             .agg(F.sum(1 - (F.col("_at") - F.col("_c"))).alias("_w0"), F.sum(F.col("_at") - F.col("_c")).alias("_w1")))
+    sides = F.explode(F.array(F.struct(F.col("_c").alias("c"), F.col("_w0").alias("w")),
+                              F.struct((F.col("_c") + 1).alias("c"), F.col("_w1").alias("w"))))
+    nodes = cells.select("series", sides.alias("s")).groupBy("series", "s.c").agg(F.sum("s.w").alias("w"))
     g = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
-    x = lf.join(F.broadcast(st), "series").select("series", "value", "_lo", "_hi", "_h", "_n", g)
-    gx = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("i") / F.lit(float(points - 1))
-    z = F.try_divide(gx - F.col("value"), F.col("_h"))
-    contrib = F.exp(F.lit(-0.5) * z * z)
-    s = x.groupBy("series", "i").agg(F.sum(contrib).alias("_s"))
-    return (s.join(st, "series")
+    x = nodes.join(F.broadcast(st), "series").select("series", "c", "w", "_lo", "_hi", "_h", g)
+    gx = (F.col("_hi") - F.col("_lo")) * F.col("i") / F.lit(float(points - 1))
+    z = F.try_divide(gx, F.col("_h")) - F.col("c") / F.lit(float(per_width))
+    s = x.groupBy("series", "i").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
+    return (s.join(F.broadcast(st), "series")
             .select("series", "i",
                     (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("i")
                      / F.lit(float(points - 1))).alias("x"),
@@ -80,48 +92,42 @@ def kde_1d(df: DataFrame, series: Mapping[str, str | Column], points: int = 100)
 
 def kde_2d_binned(df: DataFrame, x: str, y: str, key: str, per_width: int = 5,
                   widths: int = 5) -> DataFrame:
-    """2-D Gaussian KDE density at each row (Scott factor n^(-1/6), sample covariance) on a
-    grid whose cells are a ``per_width``-th of the bandwidth, so that the binning error stays
-    the same as rows grow and the bandwidth shrinks. Each row gets the density at its cell's
-    centre: the counts of the occupied cells within ``widths`` bandwidths (the rest weighs
-    under 4e-6), (2 * per_width * widths + 1)^2 offsets per cell."""
+    """2-D Gaussian KDE density at each row (Scott factor n^(-1/6), sample covariance).
+
+    Rows are turned by the Cholesky factor of the bandwidth matrix, so that the kernel is round
+    and splits into one factor per axis, and counted on a grid whose cells are a
+    ``per_width``-th of the bandwidth (the binning error stays the same as rows grow and the
+    bandwidth shrinks). The density at a cell's centre is then two passes of
+    2 * per_width * widths + 1 offsets, one along each axis, over occupied cells; what lies
+    beyond ``widths`` bandwidths weighs under 4e-6. Each row gets its cell's density."""
     base = df.select(key, nan_to_null(F.col(x)).alias("_x"), nan_to_null(F.col(y)).alias("_y")) \
              .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    st = base.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"),
-                  F.max("_y").alias("y1"), F.count(F.lit(1)).alias("n"),
+    st = base.agg(F.min("_x").alias("x0"), F.min("_y").alias("y0"), F.count(F.lit(1)).alias("n"),
                   F.var_samp("_x").alias("vx"), F.var_samp("_y").alias("vy"),
                   F.covar_samp("_x", "_y").alias("cxy")).first()
-    if not st["n"]:
-        return base.select(key, F.lit(None).cast("double").alias("density"))
     n = st["n"]
-    f2 = n ** (-2.0 / 6.0)
-    sxx, syy, sxy = st["vx"] * f2, st["vy"] * f2, st["cxy"] * f2
+    sxx, syy, sxy = ((st[c] or 0.0) * max(n, 1) ** (-2.0 / 6.0) for c in ("vx", "vy", "cxy"))
     det = sxx * syy - sxy * sxy
-    if not det or det <= 0:
+    if not n or det <= 0:
         return base.select(key, F.lit(None).cast("double").alias("density"))
-    ixx, iyy, ixy = syy / det, sxx / det, -sxy / det
-    wx, wy = math.sqrt(sxx) / per_width, math.sqrt(syy) / per_width
-
-    def cell(cv, lo, w):
-        return F.floor((F.col(cv) - F.lit(lo)) / F.lit(w)).cast("long")
-
-    binned = base.withColumn("_cx", cell("_x", st["x0"], wx)).withColumn("_cy", cell("_y", st["y0"], wy))
-    occ = binned.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_c"))
-    targets = occ.select(F.col("_cx").alias("_tx"), F.col("_cy").alias("_ty"))
+    dx, dy = F.col("_x") - F.lit(st["x0"]), F.col("_y") - F.lit(st["y0"])
+    u = dx / F.lit(math.sqrt(sxx))
+    v = (dy - F.lit(sxy / sxx) * dx) / F.lit(math.sqrt(det / sxx))
+    binned = base.withColumn("a", F.floor(u * per_width)).withColumn("b", F.floor(v * per_width))
+    cells = checkpointed(binned.groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("w")))
     reach = per_width * widths
-    near = F.sequence(F.lit(-reach).cast("long"), F.lit(reach).cast("long"))
-    src = occ.select("_cx", "_cy", "_c", F.explode(near).alias("_i"))
-    src = src.select("_cx", "_cy", "_c", (F.col("_cx") + F.col("_i")).alias("_tx"), F.explode(near).alias("_j"))
-    src = src.select("_cx", "_cy", "_c", "_tx", (F.col("_cy") + F.col("_j")).alias("_ty"))
-    src = src.join(targets, ["_tx", "_ty"], "left_semi")
-    dx = (F.col("_tx") - F.col("_cx")) * F.lit(wx)
-    dy = (F.col("_ty") - F.col("_cy")) * F.lit(wy)
-    q = dx * dx * F.lit(ixx) + dy * dy * F.lit(iyy) + F.lit(2.0) * dx * dy * F.lit(ixy)
-    norm = 1.0 / (2 * math.pi * math.sqrt(det) * n)
-    dens = src.groupBy("_tx", "_ty").agg((F.sum(F.col("_c") * F.exp(F.lit(-0.5) * q)) * F.lit(norm))
-                                         .alias("density"))
-    return binned.join(dens, (binned["_cx"] == dens["_tx"]) & (binned["_cy"] == dens["_ty"])) \
-                 .select(key, "density")
+
+    def along(axis: str, other: str, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        """Weights spread along one axis, to the cells that are ``wanted``."""
+        step = F.explode(F.sequence(F.lit(-reach).cast("long"), F.lit(reach).cast("long")))
+        spread = rows.select(axis, other, "w", step.alias("o")).select(
+            (F.col(axis) + F.col("o")).alias(axis), other,
+            (F.col("w") * F.exp(F.lit(-0.5 / per_width ** 2) * F.col("o") * F.col("o"))).alias("w"))
+        return spread.join(wanted, wanted.columns, "left_semi").groupBy("a", "b").agg(F.sum("w").alias("w"))
+
+    dens = along("b", "a", along("a", "b", cells, cells.select("a").distinct()), cells.select("a", "b"))
+    dens = dens.select("a", "b", (F.col("w") / F.lit(2 * math.pi * math.sqrt(det) * n)).alias("density"))
+    return binned.select(key, "a", "b").join(dens, ["a", "b"]).select(key, "density")
 
 
 def box_stats(df: DataFrame, series: Mapping[str, str | Column]) -> DataFrame:

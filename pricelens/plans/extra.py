@@ -64,13 +64,11 @@ ORACLE = {
                      var_samp(lon) * pow(count(*), -1.0 / 3) AS sxx,
                      var_samp(lat) * pow(count(*), -1.0 / 3) AS syy,
                      covar_samp(lon, lat) * pow(count(*), -1.0 / 3) AS sxy FROM points),
-        b AS (SELECT id, CAST(floor((lon - x0) / (sqrt(sxx) / 5)) AS BIGINT) AS cx,
-                CAST(floor((lat - y0) / (sqrt(syy) / 5)) AS BIGINT) AS cy FROM points, s),
+        b AS (SELECT id, CAST(floor((lon - x0) / sqrt(sxx) * 5) AS BIGINT) AS cx,
+                CAST(floor(((lat - y0) - sxy / sxx * (lon - x0)) / sqrt((sxx * syy - sxy * sxy) / sxx) * 5) AS BIGINT)
+                  AS cy FROM points, s),
         o AS (SELECT cx, cy, count(*) AS c FROM b GROUP BY cx, cy),
-        d AS (SELECT t.cx, t.cy, sum(o.c * exp(-0.5 * (
-                pow((t.cx - o.cx) * sqrt(sxx) / 5, 2) * syy + pow((t.cy - o.cy) * sqrt(syy) / 5, 2) * sxx
-                - 2 * (t.cx - o.cx) * sqrt(sxx) / 5 * (t.cy - o.cy) * sqrt(syy) / 5 * sxy)
-                / (sxx * syy - sxy * sxy)))
+        d AS (SELECT t.cx, t.cy, sum(o.c * exp(-0.02 * (pow(t.cx - o.cx, 2) + pow(t.cy - o.cy, 2))))
                 / (2 * pi() * sqrt(sxx * syy - sxy * sxy) * any_value(n)) AS density
               FROM o t JOIN o ON abs(t.cx - o.cx) <= 25 AND abs(t.cy - o.cy) <= 25, s
               GROUP BY t.cx, t.cy, sxx, syy, sxy)

@@ -271,13 +271,16 @@ ORACLE = {
         st AS (SELECT series, min(value) AS lo, max(value) AS hi, count(*) AS n,
                       stddev_samp(value) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h
                FROM lf GROUP BY 1),
-        g AS (SELECT st.*, CAST(i AS INTEGER) AS i,
-                     lo + (hi - lo) * i / {float(KDE_POINTS - 1)} AS x
+        p AS (SELECT lf.series, (value - lo) / h * {dist.CELLS_PER_WIDTH} AS pos FROM lf JOIN st USING (series)),
+        c AS (SELECT series, node, sum(w) AS w FROM (
+                SELECT series, floor(pos) AS node, 1 - (pos - floor(pos)) AS w FROM p
+                UNION ALL SELECT series, floor(pos) + 1, pos - floor(pos) FROM p) GROUP BY 1, 2),
+        g AS (SELECT st.*, CAST(i AS INTEGER) AS i, (hi - lo) * i / {float(KDE_POINTS - 1)} AS x
               FROM st, range(0, {KDE_POINTS}) t(i))
-        SELECT g.series, g.i, round(g.x, 6) AS x,
-               round(sum(exp(-0.5 * ((g.x - lf.value) / g.h) * ((g.x - lf.value) / g.h)))
+        SELECT g.series, g.i, round(g.lo + g.x, 6) AS x,
+               round(sum(w * exp(-0.5 * pow(g.x / g.h - node / {float(dist.CELLS_PER_WIDTH)}, 2)))
                      / (g.n * g.h * sqrt(2 * pi())) * 1000.0, 6) AS density_x1000
-        FROM g JOIN lf ON g.series = lf.series GROUP BY g.series, g.i, g.x, g.n, g.h"""),
+        FROM g JOIN c ON g.series = c.series GROUP BY g.series, g.i, g.lo, g.x, g.n, g.h"""),
     "box_stats": _study_sql(f"""
         WITH lf AS ({_sql_long({"price_local": "price_local", "price_global": "price_global",
                                 "price_diff": "price_diff"})}),

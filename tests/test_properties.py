@@ -103,6 +103,37 @@ def test_selection_does_not_sort_its_input(spark):
     assert "customer.parquet" not in s.quantiles()._jdf.queryExecution().executedPlan().toString()
 
 
+def test_kde_1d_is_within_its_bound_of_the_exact_sum(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    v = np.concatenate([rng.normal(size=400), rng.normal(5, 0.1, 200), [3.0] * 200, [40.0]])
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    got = dist.kde_1d(df, {"a": "v"}, 300).orderBy("i").toPandas()
+    h = v.std(ddof=1) * len(v) ** -0.2
+    z = (got["x"].to_numpy()[:, None] - v[None]) / h
+    top = 1 / (h * np.sqrt(2 * np.pi))
+    exact = np.exp(-0.5 * z * z).sum(axis=1) / len(v) * top
+    assert np.max(np.abs(got["density"] - exact)) <= top / (8 * dist.CELLS_PER_WIDTH ** 2) + 1e-12
+    flat = dist.kde_1d(spark.createDataFrame([(1.0,), (1.0,)], "v double"), {"a": "v"}, 5).collect()
+    assert len(flat) == 5 and all(r.density is None for r in flat)
+
+
+def test_kde_2d_with_finer_cells_comes_closer(spark):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    xy = rng.normal(size=(600, 2)) @ np.array([[1.0, 0.8], [0.0, 0.3]])  # strongly correlated
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "id long, x double, y double")
+    cov = np.cov(xy.T) * len(xy) ** (-2.0 / 6.0)
+    diff = xy[:, None] - xy[None]
+    exact = np.exp(-0.5 * np.einsum("ijk,kl,ijl->ij", diff, np.linalg.inv(cov), diff)).sum(axis=1) / (
+        2 * np.pi * np.sqrt(np.linalg.det(cov)) * len(xy))
+    off = []
+    for cells in (5, 25):
+        got = {r.id: r.density for r in dist.kde_2d_binned(df, "x", "y", "id", per_width=cells).collect()}
+        off.append(np.median(np.abs(np.array([got[i] for i in range(len(xy))]) - exact) / exact))
+    assert off[1] < off[0] / 2 and off[0] < 0.05
+
+
 def test_kde_2d_binned_close_to_exact(spark):
     """Binned 2-D KDE against the exact all-pairs density on a small fixture."""
     import numpy as np
