@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_bucket
+from ..session import checkpointed
+from .bloom import anti_join, semi_join
 
 
 class LeakError(Exception):
@@ -33,10 +35,11 @@ def remove_ids(df: DataFrame, ids: DataFrame, key: str = "id", test_pct: int | N
 
     When ``ids`` were drawn by :func:`test_ids` with ``test_pct``, only rows in the low
     buckets can match, so only that slice is shuffled for the anti join; the rest passes
-    straight through (saves (100 - test_pct) % of the shuffle on the large side).
+    straight through (saves (100 - test_pct) % of the shuffle on the large side). Of any other
+    id list a Bloom filter tells which rows may match.
     """
     if test_pct is None:
-        return df.join(ids, key, "left_anti")
+        return anti_join(df, ids, key)
     b = hash_bucket(F.col(key), seed)
     maybe = df.where(b < test_pct).join(ids, key, "left_anti")
     return df.where(b >= test_pct).unionByName(maybe)
@@ -45,12 +48,11 @@ def remove_ids(df: DataFrame, ids: DataFrame, key: str = "id", test_pct: int | N
 def leak_counts(sets: Mapping[str, DataFrame], test: DataFrame, key: str = "id") -> DataFrame:
     """One row per named set: rows of that set whose key appears in ``test``.
 
-    A semi join (not inner), so duplicate test keys cannot inflate counts; the join side
-    is chosen by AQE from runtime sizes rather than forced to broadcast, because a
-    hold-out set grows with the data.
+    A semi join (not inner), so duplicate test keys cannot inflate counts. A Bloom filter of
+    the test keys goes before it: of a clean set hardly a row is shuffled.
     """
-    ids = test.select(key).distinct()
-    parts = [s.join(ids, key, "left_semi").agg(F.count(F.lit(1)).alias("leaked_rows"))
+    ids = checkpointed(test.select(key).where(F.col(key).isNotNull()).distinct())
+    parts = [semi_join(s, ids, key).agg(F.count(F.lit(1)).alias("leaked_rows"))
                .select(F.lit(name).alias("set_name"), "leaked_rows")
              for name, s in sets.items()]
     out = parts[0]

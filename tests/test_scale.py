@@ -39,3 +39,34 @@ def test_summary_is_kept_apart_from_its_input(spark):
     # both passes are over when the result is read: it comes from the brackets' values
     s = stats.summary_stats(fx.points(spark, SF001), "log_price", ["grp"])
     assert "customer.parquet" not in _plan(s)
+
+
+def test_bloom_joins_are_exact_and_shuffle_little(spark):
+    from pricelens.operators import bloom
+    rows = [(7, "hot")] * 400 + [(i, "x") for i in range(2000)] + [(None, "none"), (None, "none")]
+    df = spark.createDataFrame(rows, "id long, v string").repartition(6)
+    for keys in ([7, 7, 55, 10 ** 12, None], [], list(range(0, 2000, 3))):
+        ids = spark.createDataFrame([(k,) for k in keys], "id long")
+        known = {k for k in keys if k is not None}
+        assert sorted(r.id for r in bloom.semi_join(df, ids, "id").collect()) == sorted(
+            i for i, _ in rows if i in known)
+        rest = bloom.anti_join(df, ids, "id").collect()
+        assert sorted((r.id, r.v) for r in rest if r.id is not None) == sorted(
+            r for r in rows if r[0] is not None and r[0] not in known)
+        assert sum(r.id is None for r in rest) == 2
+        words, bits = bloom.bloom_filter(ids, "id")
+        passed = bloom.marked(df, "id", words, bits).where("_maybe").count()
+        assert passed <= sum(i in known for i, _ in rows) + 0.05 * len(rows)
+        assert {r.id for r in bloom.marked(df, "id", words, bits).where("_maybe").collect()} >= {
+            i for i, _ in rows if i in known}
+
+
+def test_a_clean_set_is_not_shuffled_by_the_leak_check(spark):
+    from pricelens.operators import bloom
+    df, ids = fx.points(spark, SF001), spark.range(10 ** 6, 10 ** 6 + 50)
+    words, bits = bloom.bloom_filter(ids, "id")
+    plan = _plan(bloom.marked(df, "id", words, bits))
+    assert "Exchange hashpartitioning(_word" not in plan.replace("BroadcastExchange", "") \
+        and "SortMergeJoin" not in plan
+    assert bloom.marked(df, "id", words, bits).where("_maybe").count() < 0.05 * df.count()
+    assert {r.leaked_rows for r in split.leak_counts({"a": df}, ids).collect()} == {0}
