@@ -29,6 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.bloom import bloom_filter, marked
 from ..session import scratch_path
 from .util import materialise
 
@@ -36,6 +37,7 @@ LEAST = 100
 GAP = 1 << 16
 RANGE = 8 << 20
 ROLL = 512 << 20
+TASK_BYTES = 16 << 20  # compressed records that a reading task takes
 DATE = "2024-01-01T00:00:00Z"
 INDEX = "file string, offset long, length long, id string, url string, digest string, type string"
 RECORD = ("id string, url string, type string, refers string, payload_bytes long, "
@@ -130,12 +132,16 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     first = (rows.where(F.col("bytes") >= least).groupBy("digest")
              .agg(F.min("pid").alias("first"), F.count("*").alias("n")).where("n > 1")
              .select(F.col("digest").alias("known"), "first"))
+    first = materialise(first, "warc-repeated")
+    words, bits = bloom_filter(first, "known")
+    told = marked(rows, "digest", words, bits)  # only what may be repeated is shuffled
+    joined = told.where("_maybe").join(first, F.col("digest") == F.col("known"), "left").unionByName(
+        told.where("not _maybe"), allowMissingColumns=True)
     revisit = F.col("first").isNotNull() & ~F.col("pid").eqNullSafe(F.col("first"))
-    typed = (rows.join(first, F.col("digest") == F.col("known"), "left")
-             .select(F.col("pid").cast("string").alias("id"), "url",
-                     F.when(~revisit, F.col("html")).alias("html"), "digest", "bytes",
-                     F.when(revisit, "revisit").otherwise("response").alias("type"),
-                     F.when(revisit, F.col("first").cast("string")).alias("refers")))
+    typed = joined.select(F.col("pid").cast("string").alias("id"), "url",
+                          F.when(~revisit, F.col("html")).alias("html"), "digest", "bytes",
+                          F.when(revisit, "revisit").otherwise("response").alias("type"),
+                          F.when(revisit, F.col("first").cast("string")).alias("refers"))
     return materialise(typed.mapInArrow(_write(folder), INDEX), "warc-index")
 
 
@@ -185,6 +191,9 @@ def read_records(index: DataFrame, payloads: bool = True, gap: int = GAP, most:
                  ) -> DataFrame:
     """The records that the index rows name: id, url, type, refers, payload_bytes,
     payload_digest and, if wanted, the payload (null for revisits)."""
-    ordered = (index.select("file", "offset", "length").repartitionByRange("file", "offset")
+    # as many tasks as the payloads ask for, not as the index rows do
+    total = index.agg(F.sum("length")).first()[0] or 0
+    ordered = (index.select("file", "offset", "length")
+               .repartitionByRange(max(1, -(-total // TASK_BYTES)), "file", "offset")
                .sortWithinPartitions("file", "offset"))
     return ordered.mapInArrow(_read(gap, most, payloads), RECORD)
