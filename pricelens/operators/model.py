@@ -68,7 +68,7 @@ def prep_stages(numeric: Sequence[str], categorical: Sequence[str],
     imputed = [f"imputed_{c}" for c in numeric]
     if numeric:
         stages.append(Imputer(inputCols=list(numeric), outputCols=imputed, strategy="median",
-                              relativeError=0.001))
+                              relativeError=0.0001))
     num_vec = imputed
     if scale and numeric:
         from pyspark.ml.feature import StandardScaler

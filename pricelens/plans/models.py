@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, model, split
-from ..operators.features import GLOBAL_CATEGORICAL, GLOBAL_NUMERIC
+from ..operators.features import GLOBAL_CATEGORICAL, GLOBAL_NUMERIC, LOCAL_TO_GLOBAL
 from ..operators.runlog import content_id
 from ..session import checkpointed, scratch_path
 from ..sources import fixtures as fx
@@ -53,7 +53,7 @@ def local_test(spark: SparkSession, d: str) -> DataFrame:
 
 
 LOG = "pricelens/run_log"
-VERSION = 1  # of the settings below
+VERSION = 2  # of the settings of the fit
 
 
 def _fit(spark: SparkSession, d: str):
@@ -122,6 +122,21 @@ def batch_score(spark: SparkSession, d: str) -> DataFrame:
     return test.join(scored, "id")
 
 
+def model_preparation(spark: SparkSession, d: str) -> DataFrame:
+    """What the saved model has learnt to prepare its inputs with: the median of
+    every numeric column and the position of every category (the most frequent first)."""
+    from pyspark.ml.feature import ImputerModel, StringIndexerModel
+    _, _, path = _fit(spark, d)
+    rows: list[tuple] = []
+    for stage in model.load_model(path).stages:  # fitted parameters
+        if isinstance(stage, ImputerModel):
+            rows += [(c, None, None, float(v)) for c, v in stage.surrogateDF.first().asDict().items()]
+        if isinstance(stage, StringIndexerModel):
+            rows += [(stage.getInputCol(), label, i, None) for i, label in enumerate(stage.labels)]
+    return C.round_doubles(spark.createDataFrame(
+        rows, "column_name string, label string, position int, median double"))
+
+
 def calibration_report(spark: SparkSession, d: str) -> DataFrame:
     """M17 + A24: robust calibration of one source's price onto the other's."""
     ts = fx.two_source(spark, d)
@@ -206,6 +221,7 @@ QUERIES = {
     "importance_check": importance_check,
     "calibration_check": calibration_check,
     "run_log": run_log,
+    "model_preparation": model_preparation,
     "visual_bundle": visual_bundle,
     "model_leaderboard": model_leaderboard,
     "score_holdout": score_holdout,
@@ -216,6 +232,12 @@ QUERIES = {
 
 _GLOBAL = f"{C.sql_bucket('id', ORIGIN_SEED)} < {GLOBAL_PCT}"
 
+
+
+def _source(c: str) -> str:
+    return "CASE WHEN host_is_superhost = 't' THEN 1.0 ELSE 0.0 END" if c == "host_is_superhost" else c
+
+
 # Fits are iterative: their values are tested, SQL checks what it can tell of them.
 ORACLE = {
     "batch_score_rows": fx.with_ctes(f"""
@@ -230,6 +252,20 @@ ORACLE = {
              (SELECT count(*) AS n, avg(abs(y - m)) AS mean_mae, sqrt(avg(pow(y - m, 2))) AS mean_rmse
               FROM (SELECT exp(log_price) - 1 AS y, exp(avg(log_price) OVER ()) - 1 AS m FROM local_gold
                     WHERE {_GLOBAL} AND {C.sql_bucket('id', SELECTION_SEED)} < 20))""", "local_gold"),
+    "visual_bundle": fx.with_ctes(f"""
+        SELECT 'importance' AS table_name, CAST(10 AS BIGINT) AS rows
+        UNION ALL SELECT 'residuals', CAST(50 AS BIGINT)
+        UNION ALL SELECT 'scatter', least(10000, count(*)) FROM local_gold
+        WHERE NOT ({_GLOBAL}) AND {C.sql_bucket('id')} < {C.TEST_PCT}
+          AND {C.sql_bucket('id', purpose='sample')} < 5""", "local_gold"),
+    "model_preparation": fx.with_ctes(" UNION ALL ".join([
+        f"""SELECT '{dst}' AS column_name, CAST(NULL AS VARCHAR) AS label, CAST(NULL AS INTEGER) AS position,
+              round(quantile_disc(CAST({_source(src)} AS DOUBLE), 0.5), 6) AS median
+            FROM local_gold WHERE {_GLOBAL}""" for dst, src in ((c, LOCAL_TO_GLOBAL.get(c, c)) for c in GLOBAL_NUMERIC)] + [
+        f"""SELECT '{c}', v, CAST(row_number() OVER (ORDER BY count(*) DESC, v) - 1 AS INTEGER), NULL
+            FROM (SELECT lower(coalesce({src}, 'other')) AS v FROM local_gold WHERE {_GLOBAL}) GROUP BY v"""
+        for c, src in (("country", "neighbourhood_cleansed"), ("city", "neighbourhood_cleansed"),
+                       ("region", "listing_type"), ("listing_type", "listing_type"))]), "local_gold"),
     "run_log": fx.with_ctes(f"""
         SELECT model, params, n, CAST(0 AS BIGINT) AS skipped_train_rows, CAST(1 AS BIGINT) AS copies,
                TRUE AS has_metrics, TRUE AS has_time

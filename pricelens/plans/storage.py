@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import split
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import io, layout
@@ -41,6 +42,23 @@ def layout_audit(spark: SparkSession, d: str) -> DataFrame:
     return r6(layout.analyze_storage_layout(spark, d))
 
 
+BUCKETS = 8
+
+
+def bucketed_match(spark: SparkSession, d: str) -> DataFrame:
+    """S4, S6, J1-J4 on bucketed storage: fresh local listings matched with the global ones and
+    parted from the hold-out ids; no join moves a row."""
+    tag = hashlib.md5(d.encode()).hexdigest()[:10]
+    tables = {}
+    for name, df in (("local", C.local_fresh(spark, d).select("id", "row_key", "price")),
+                     ("global", fx.global_raw(spark, d).select(F.col("property_id").alias("id"), F.col("price").alias("asked"))),
+                     ("held", split.test_ids(C.local_silver(spark, d), "id", C.TEST_PCT, C.SEED))):
+        at = _area(spark, d, f"bucketed/{name}")
+        tables[name] = spark.table(io.save_bucketed(df, at, f"pricelens_{name}_{tag}", "id", BUCKETS))
+    both = tables["local"].join(tables["global"], "id").join(tables["held"], "id", "left_anti")
+    return r6(both.select("id", "row_key", "price", "asked"))
+
+
 def layer_inventory(spark: SparkSession, d: str) -> DataFrame:
     """Write the bronze / silver / gold / diamond artefacts, then inventory the folders."""
     root = _area(spark, d, "layers")
@@ -99,6 +117,7 @@ QUERIES = {
     "csv_ingest": csv_ingest,
     "save_and_profile": save_and_profile,
     "load_check_leak": load_check_leak,
+    "bucketed_match": bucketed_match,
 }
 
 _SILVER_COLS = sorted(["id", "row_key", "latitude", "longitude", "name", "listing_url",
@@ -129,6 +148,11 @@ ORACLE = {
           UNION ALL SELECT 'gold', 'local_gold', count(*) FROM local_gold
           UNION ALL SELECT 'diamond', 'geo_features', count(*) FROM points)""",
                                 "global_train", "local_raw", "global_raw", "local_gold", "points"),
+    "bucketed_match": sql_with(f"""
+        SELECT f.id, f.row_key, f.price, round(g.price, 6) AS asked
+        FROM local_fresh f JOIN global_raw g ON g.property_id = f.id
+        WHERE f.id NOT IN (SELECT id FROM local_silver WHERE {C.sql_bucket('id')} < {C.TEST_PCT})""",
+                               "local_silver", "local_raw", "global_raw"),
     "csv_ingest": fx.with_ctes("""
         SELECT count(*) AS rows, CAST(sum(row_key) AS BIGINT) AS sum_row_key,
                count(nullif(price, '')) AS priced_rows,

@@ -70,3 +70,24 @@ def test_a_clean_set_is_not_shuffled_by_the_leak_check(spark):
         and "SortMergeJoin" not in plan
     assert bloom.marked(df, "id", words, bits).where("_maybe").count() < 0.05 * df.count()
     assert {r.leaked_rows for r in split.leak_counts({"a": df}, ids).collect()} == {0}
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    from pricelens.sources import io
+    a = spark.range(0, 3000, 1, 5).select("id", (F.col("id") * 2).alias("x"))
+    b = spark.range(0, 3000, 3, 4).select("id", F.lit("y").alias("y"))
+    for name, df in (("a", a), ("b", b)):
+        io.save_bucketed(df, str(tmp_path / name), f"bucketed_{name}", "id", 4)
+        spark.sql(f"DROP TABLE bucketed_{name}")  # another session has the files only
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        x = io.open_bucketed(spark, str(tmp_path / "a"), "bucketed_a", "id long, x long", "id", 4)
+        y = io.open_bucketed(spark, str(tmp_path / "b"), "bucketed_b", "id long, y string", "id", 4)
+        for how, n in (("inner", 1000), ("left_semi", 1000), ("left_anti", 2000)):
+            joined = x.join(y, "id", how)
+            assert "Exchange" not in _plan(joined) and "SortMergeJoin" in _plan(joined)
+            assert joined.count() == n
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS bucketed_a")
+        spark.sql("DROP TABLE IF EXISTS bucketed_b")
