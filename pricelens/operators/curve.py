@@ -37,7 +37,7 @@ CALIBRATED = "Global Calibrated (POC)"
 
 WORKERS = 8                # cells whose forests are fitted side by side
 SMALL_CELL = 6_000         # rows; larger cells use the cluster one after another
-NODES_AT_ONCE = 2_500_000  # tree nodes that a fit may bring to the driver
+NODES_AT_ONCE = 1_000_000  # tree nodes that a fit may bring to the driver
 
 
 @dataclass
@@ -54,7 +54,7 @@ class CurveConfig:
 
     def tag(self) -> str:
         """Names the settings (and the version of the method) in the path of a log."""
-        return hashlib.md5(f"2 {self}".encode()).hexdigest()[:12]
+        return hashlib.md5(f"3 {self}".encode()).hexdigest()[:12]
 
 
 RESULT = ("n_size long, sampling_method string, model string, dollar_rmse double, dollar_mae double, "
@@ -102,7 +102,7 @@ def forest_predictions(train: DataFrame, test: DataFrame, rows: int, label: str,
         trees = min(lot, cfg.rf_trees - done)
         model = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees,
                                       maxDepth=cfg.rf_depth, featureSubsetStrategy="all",
-                                      seed=cfg.seed + done, maxMemoryInMB=1024).fit(train)
+                                      seed=cfg.seed + done).fit(train)
         out = model.transform(out).withColumn("forest", F.col("forest") + F.col("prediction") * trees).drop("prediction")
         done += trees
         if done < cfg.rf_trees:
