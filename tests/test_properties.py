@@ -118,6 +118,18 @@ def test_kde_1d_is_within_its_bound_of_the_exact_sum(spark):
     assert len(flat) == 5 and all(r.density is None for r in flat)
 
 
+def test_kde_1d_is_the_sum_over_all_values(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.normal(size=300), rng.normal(4, 0.2, 100), [2.0] * 50])
+    rows = [(float(x),) for x in v] + [(None,), (float("nan"),)]
+    got = dist.kde_1d(spark.createDataFrame(rows, "v double"), {"a": "v"}, 50).orderBy("i").toPandas()
+    h = v.std(ddof=1) * len(v) ** -0.2
+    z = (got["x"].to_numpy()[:, None] - v[None]) / h
+    exact = np.exp(-0.5 * z * z).sum(axis=1) / (len(v) * h * np.sqrt(2 * np.pi))
+    assert np.allclose(got["density"], exact, rtol=1e-9, atol=0)
+
+
 def test_kde_2d_with_finer_cells_comes_closer(spark):
     import numpy as np
     rng = np.random.default_rng(2)
