@@ -124,19 +124,25 @@ def compare_candidates(train: DataFrame, test: DataFrame, numeric: Sequence[str]
 
 
 TARGET_PARTITION_BYTES = 64 * 1024 * 1024
+SMALL_PARTITION_BYTES = 8 * 1024 * 1024
+SMALL_PARTITIONS = 256
+
+
+def training_partitions(rows: int, width: int) -> int:
+    """Partitions of a training table. Tree learners run one job per level: a table of a few
+    thousand rows stays in one task, beyond that a level's rows are spread over the cores
+    (~8 MB each, estimated from the row count and the feature-vector width). Every partition
+    sends its node statistics at every level, so past 256 of them they grow to ~64 MB first."""
+    est = rows * (8 * width + 32)
+    return 1 + max(min(est // SMALL_PARTITION_BYTES, SMALL_PARTITIONS), est // TARGET_PARTITION_BYTES)
 
 
 def right_sized(df: DataFrame, features: str = "features") -> DataFrame:
-    """Cache a training table in partitions of ~64 MB (estimated from the row count and
-    the feature-vector width). Tree learners run one job per level; with small data,
-    many near-empty tasks per job cost more than the work, and with large data this
-    still yields enough partitions to use the cluster."""
+    """Cache a training table in ``training_partitions``."""
     n = df.count()
     first = df.select(features).first()
     width = first[0].size if first is not None else 1
-    est = n * (8 * width + 32)
-    parts = max(1, int(est // TARGET_PARTITION_BYTES) + 1)
-    return df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.repartition(training_partitions(n, width)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def run_concurrently(tasks, max_workers: int = 4) -> list:

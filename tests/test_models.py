@@ -152,6 +152,14 @@ def test_calibration_beats_raw_on_biased_source(spark):
     assert rep.mae_cal < rep.mae_raw and rep.rmse_cal < rep.rmse_raw
 
 
+def test_training_rows_are_spread_over_the_cores():
+    assert model.training_partitions(7_500, 79) == 1    # one task: less than a job's overhead
+    assert model.training_partitions(75_000, 79) >= 4   # one task before
+    assert model.training_partitions(450_000, 79) >= 24
+    assert model.training_partitions(10 ** 7, 79) == 257
+    assert model.training_partitions(10 ** 9, 79) * model.TARGET_PARTITION_BYTES >= 10 ** 9 * (8 * 79 + 32)
+
+
 def test_save_reload_gives_identical_predictions(spark, tmp_path):
     g = _numeric_flags(fx.local_gold(spark, SF0001))
     cand = model.Candidate("GBT_Shallow", "gbt", {"maxIter": 5, "maxDepth": 3, "seed": 42})
