@@ -35,7 +35,7 @@ LOCAL = "Local Standalone"
 HYBRID = "Hybrid (Residuals)"
 CALIBRATED = "Global Calibrated (POC)"
 
-WORKERS = 8                # cells whose forests are fitted side by side
+WORKERS = 12               # cells whose forests are fitted side by side, each in one task
 SMALL_CELL = 6_000         # rows; larger cells use the cluster one after another
 NODES_AT_ONCE = 1_000_000  # tree nodes that a fit may bring to the driver
 
@@ -95,14 +95,15 @@ def robust_fits(prepared: DataFrame, label: str, global_pred: str, cfg: CurveCon
 def forest_predictions(train: DataFrame, test: DataFrame, rows: int, label: str, cfg: CurveConfig) -> DataFrame:
     """``test`` with ``forest``: the mean of ``rf_trees`` trees fitted on ``train`` (both have
     a ``features`` vector). Trees are grown in lots that fit NODES_AT_ONCE; with more than one
-    lot, the sums so far are written before the next lot grows."""
+    lot, the sums so far are written before the next lot grows. The nodes that the rows are in
+    are kept between levels: same trees, but the growing ones are not shipped with every job."""
     lot = min(cfg.rf_trees, max(1, NODES_AT_ONCE // (2 * max(rows, 1))))
     done, out = 0, test.withColumn("forest", F.lit(0.0))
     while done < cfg.rf_trees:
         trees = min(lot, cfg.rf_trees - done)
         model = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees,
                                       maxDepth=cfg.rf_depth, featureSubsetStrategy="all",
-                                      seed=cfg.seed + done).fit(train)
+                                      cacheNodeIds=True, seed=cfg.seed + done).fit(train)
         out = model.transform(out).withColumn("forest", F.col("forest") + F.col("prediction") * trees).drop("prediction")
         done += trees
         if done < cfg.rf_trees:

@@ -72,6 +72,27 @@ def test_a_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
     assert in_all - at_first < len(fitted)
 
 
+def test_forests_grow_without_shipping_their_trees(spark, monkeypatch):
+    """Node ids are kept between levels, and the predictions are those of a fit without."""
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import RandomForestRegressor
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4))
+    y = x[:, 0] - x[:, 1] ** 2 + rng.normal(size=300) * 0.1
+    df = spark.createDataFrame([(float(b), Vectors.dense(a)) for a, b in zip(x, y)], ["y", "features"]).coalesce(1).cache()
+    cfg, seen = curve.CurveConfig(rf_trees=7, rf_depth=30), []
+
+    def forest(keep):
+        def make(**k):
+            seen.append(k.get("cacheNodeIds", False))
+            return RandomForestRegressor(**{**k, **keep})
+        monkeypatch.setattr(curve, "RandomForestRegressor", make)
+        return [r.forest for r in curve.forest_predictions(df, df, 100_000, "y", cfg).collect()]
+
+    assert forest({}) == forest({"cacheNodeIds": False})
+    assert len(seen) == 4 and all(seen)  # lots of 5 and 2 trees
+
+
 def test_drawn_cells_equal_one_sample_each(spark):
     _, train = _pool(spark)
     cells = [cl.Cell(0, "random", 1, 25, 7), cl.Cell(1, "random", 1, 10 ** 6, 8),
