@@ -160,10 +160,11 @@ def _one_hot(size: Column, at: Column) -> Column:
 
 
 def apply_preparation(rows: DataFrame, preparation: DataFrame, numeric: Sequence[str],
-                      categorical: Sequence[str], by: str = "cell", out: str = "x") -> DataFrame:
+                      categorical: Sequence[str], by: str | None = "cell", out: str = "x") -> DataFrame:
     """``rows`` with ``out``: the scaled numbers, then one-hot categories (a value that the
-    cell has not seen is all zeros). ``preparation`` has one short row per cell."""
-    joined = rows.join(F.broadcast(preparation), by)
+    cell has not seen is all zeros). ``preparation`` has one short row per cell; without
+    ``by``, every cell prepares all ``rows``."""
+    joined = rows.join(F.broadcast(preparation), by) if by else rows.crossJoin(F.broadcast(preparation))
     numbers = []
     for i, c in enumerate(numeric):
         value = F.coalesce(nan_to_null(F.col(f"`{c}`").cast("double")), F.col("medians")[i])

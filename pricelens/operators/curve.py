@@ -2,10 +2,11 @@
 
 Every (size, sampling method, repetition) cell is a slice of ONE DataFrame keyed by
 ``cell`` (see ``cells``), which also fits the preparations of all cells in one table. The
-robust regressions of all cells are fitted together (see ``robust``). The forest of a cell is
-a Spark ML fit; it is scored on the cell's test rows at once and let go, so the driver holds
-the forests of the few cells at work, whatever the grid. A cell's result rows are written to
-a log keyed by cell: a run that starts again goes on with the cells that are not there yet.
+robust regressions of all cells are fitted together (see ``robust``). The forest of a cell
+whose rows fit one task grows inside tasks (see ``forest``), that of a larger one is a Spark ML
+fit; both give the same trees. It is scored on the cell's test rows at once and let go. A cell's
+result rows are written to a log keyed by cell: a run that starts again goes on with the cells
+that are not there yet.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed, scratch_path
 from . import cells as cl
+from .forest import with_forest
 from .metrics import dollar_metrics
 from .model import TARGET_PARTITION_BYTES, run_concurrently
 from .robust import huber_groups
@@ -35,8 +36,8 @@ LOCAL = "Local Standalone"
 HYBRID = "Hybrid (Residuals)"
 CALIBRATED = "Global Calibrated (POC)"
 
-WORKERS = 12               # cells whose forests are fitted side by side, each in one task
-SMALL_CELL = 6_000         # rows; larger cells use the cluster one after another
+WORKERS = 12               # cells at work side by side
+TASK_ROWS = 50_000         # rows of a cell whose trees grow inside tasks; larger ones take turns
 NODES_AT_ONCE = 1_000_000  # tree nodes that a fit may bring to the driver
 
 
@@ -92,12 +93,17 @@ def robust_fits(prepared: DataFrame, label: str, global_pred: str, cfg: CurveCon
     return {f // 2: (fits[f][0], fits[f][1], float(fits[f + 1][0][0]), fits[f + 1][1]) for f in fits if f % 2 == 0}
 
 
-def forest_predictions(train: DataFrame, test: DataFrame, rows: int, label: str, cfg: CurveConfig) -> DataFrame:
-    """``test`` with ``forest``: the mean of ``rf_trees`` trees fitted on ``train`` (both have
-    a ``features`` vector). Trees are grown in lots that fit NODES_AT_ONCE; with more than one
-    lot, the sums so far are written before the next lot grows. The nodes that the rows are in
+def forest_predictions(train: DataFrame, test: DataFrame, rows: int, label: str, cfg: CurveConfig,
+                       partitions: int = 1) -> DataFrame:
+    """``test`` with ``forest`` in place of its ``features`` vector: the mean of ``rf_trees``
+    trees fitted on ``train``. Trees are grown in lots that fit NODES_AT_ONCE. Up to TASK_ROWS in
+    one partition, a lot is a task. Beyond that it is a Spark ML fit, and with more than one
+    lot the sums so far are written before the next lot grows; the nodes that the rows are in
     are kept between levels: same trees, but the growing ones are not shipped with every job."""
     lot = min(cfg.rf_trees, max(1, NODES_AT_ONCE // (2 * max(rows, 1))))
+    if rows <= TASK_ROWS and partitions == 1:
+        lots = [(cfg.seed + done, min(lot, cfg.rf_trees - done)) for done in range(0, cfg.rf_trees, lot)]
+        return with_forest(train, test, rows, label, lots, cfg.rf_depth)
     done, out = 0, test.withColumn("forest", F.lit(0.0))
     while done < cfg.rf_trees:
         trees = min(lot, cfg.rf_trees - done)
@@ -108,7 +114,7 @@ def forest_predictions(train: DataFrame, test: DataFrame, rows: int, label: str,
         done += trees
         if done < cfg.rf_trees:
             out = checkpointed(out)
-    return out.withColumn("forest", F.col("forest") / cfg.rf_trees)
+    return out.withColumn("forest", F.col("forest") / cfg.rf_trees).drop("features")
 
 
 def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str],
@@ -143,22 +149,27 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
         prepared = checkpointed(cl.apply_preparation(mine, preparation, numeric, categorical)
                                 .select("cell", label, global_pred, "x"))
         fits = robust_fits(prepared, label, global_pred, cfg)
+        partitions = {c.cell: 1 + c.rows * (8 * len(fits[c.cell][0]) + 32) // TARGET_PARTITION_BYTES for c in first}
+
+        # the test rows as each cell sees them: one plan, of which every cell takes its own
+        robust = spark.createDataFrame([(c, [float(v) for v in w], b, slope, shift) for c, (w, b, slope, shift) in fits.items()],
+                                       "cell int, weights array<double>, hybrid_b double, slope double, shift double")
+        dot = F.aggregate(F.zip_with("x", "weights", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+        asked_by_all = cl.apply_preparation(test, checkpointed(preparation.join(robust, "cell")), numeric, categorical, by=None) \
+            .select("cell", group, label, global_pred, (F.col(global_pred) + dot + F.col("hybrid_b")).alias("hybrid"),
+                    (F.col(global_pred) * F.col("slope") + F.col("shift")).alias("calibrated"),
+                    array_to_vector("x").alias("features"))
+        trained_by_all = prepared.select("cell", label, array_to_vector("x").alias("features"))
 
         def evaluate(c: cl.Cell) -> None:
-            own = preparation.where(F.col("cell") == c.cell)
-            w, b, slope, shift = fits[c.cell]
-            dot = F.aggregate(F.zip_with("x", F.lit(np.asarray(w)), lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-            asked = cl.apply_preparation(cl.test_rows(test, c, group).withColumn("cell", F.lit(c.cell)), own,
-                                         numeric, categorical)
-            rows = (prepared.where(F.col("cell") == c.cell).select(label, array_to_vector("x").alias("features"))
-                    .repartition(1 + c.rows * (8 * len(w) + 32) // TARGET_PARTITION_BYTES)
-                    .persist(StorageLevel.MEMORY_AND_DISK))
+            asked = (cl.test_rows(asked_by_all.where(F.col("cell") == c.cell), c, group)
+                     .drop("cell", group).persist(StorageLevel.MEMORY_AND_DISK))
+            rows = (trained_by_all.where(F.col("cell") == c.cell).drop("cell")
+                    .repartition(partitions[c.cell]).persist(StorageLevel.MEMORY_AND_DISK))
             try:
-                scored = forest_predictions(
-                    rows, asked.select(label, global_pred, "x", array_to_vector("x").alias("features")),
-                    c.rows, label, cfg)
+                scored = forest_predictions(rows, asked, c.rows, label, cfg, partitions[c.cell])
                 models = {BASELINE: F.col(global_pred), LOCAL: F.col("forest"),
-                          HYBRID: F.col(global_pred) + dot + b, CALIBRATED: F.col(global_pred) * slope + shift}
+                          HYBRID: F.col("hybrid"), CALIBRATED: F.col("calibrated")}
                 each = scored.select(F.col(label).alias("y"), F.explode(F.array(*[
                     F.struct(F.lit(m).alias("model"), p.alias("pred")) for m, p in models.items()])).alias("m"))
                 found = result_rows(each.select("y", "m.pred", "m.model"), c.rows, c.method, c.iteration).collect()
@@ -167,11 +178,12 @@ def run_learning_curve(train: DataFrame, test: DataFrame, numeric: Sequence[str]
                     write_keyed(of_twin.coalesce(1), log, "cell", twin.cell)
             finally:
                 rows.unpersist()
+                asked.unpersist()
 
         # the largest first, so that the last ones to end are short
-        small = sorted((c for c in first if c.rows <= SMALL_CELL), key=lambda c: -c.rows)
+        small = sorted((c for c in first if c.rows <= TASK_ROWS and partitions[c.cell] == 1), key=lambda c: -c.rows)
         run_concurrently([lambda c=c: evaluate(c) for c in small], WORKERS)
-        for c in (c for c in first if c.rows > SMALL_CELL):
+        for c in (c for c in first if c not in small):
             evaluate(c)
     write_keyed(spark.createDataFrame([(0, "complete", "", 0.0, 0.0, 0.0, 0.0, 0)], RESULT), log, "cell", -2)
     return keyed_table(spark, log, "cell", schema).where("cell >= -1").drop("cell")

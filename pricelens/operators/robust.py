@@ -1,11 +1,12 @@
 """Huber regressions of many groups at once by weighted Gram matrices.
 
 Iteratively reweighted least squares with a concomitant scale: the objective per group is
-sum(sigma + H(r / sigma) sigma) + alpha |w|^2. A step is one aggregation: every task adds up
-w x x', w x y and the scale's sums of the groups it holds (p^2 numbers per group) and the
-partial sums meet per group, where the next coefficients are solved for. Rows never leave
-their tasks; the coefficients of the groups (groups x p numbers) are all that the driver
-sees."""
+sum(sigma + H(r / sigma) sigma) + alpha |w|^2. A group of up to TASK_ROWS is fitted by one
+task, which holds its rows for all steps: one job for all such groups. For larger ones a step
+is one aggregation: every task adds up w x x', w x y and the scale's sums of the groups it
+holds (p^2 numbers per group) and the partial sums meet per group, where the next coefficients
+are solved for. Rows never leave their tasks; the coefficients of the groups (groups x p
+numbers) are all that the driver sees."""
 
 from __future__ import annotations
 
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
+TASK_ROWS = 50_000  # rows of a group that one task fits
+
 _PARTIAL = "fit int, p int, gram array<double>, moment array<double>, n double, inner double, outer double, yy double"
 
 
@@ -53,15 +56,60 @@ def _step(gram, moment, n, inner, outer, yy, state, epsilon: float, alpha: float
     return beta, max(float(sigma), 1e-12)
 
 
+def _ended(state: tuple, was: tuple, first: float, tol: float) -> bool:
+    """Converged, or the scale fell to 1e-7 of its first one."""
+    beta, sigma = state
+    still = np.max(np.abs(beta - was[0])) <= tol * (1 + np.max(np.abs(beta))) and abs(sigma - was[1]) <= tol * was[1]
+    return bool(still or sigma <= 1e-7 * first)
+
+
+def _fitted(x: np.ndarray, y: np.ndarray, epsilon: float, alpha: float, max_steps: int, tol: float) -> tuple:
+    """(beta, sigma, steps) of one group whose rows are here."""
+    state = _step(*_sums(x, y, None, epsilon), None, epsilon, alpha)
+    first, steps = state[1], 1
+    while steps < max_steps:
+        was, state = state, _step(*_sums(x, y, state, epsilon), state, epsilon, alpha)
+        steps += 1
+        if _ended(state, was, first, tol):
+            break
+    return *state, steps
+
+
 def huber_groups(rows: DataFrame, epsilon: float = 1.35, alpha: float = 1e-4, max_steps: int = 100,
                  tol: float = 1e-8) -> dict[int, tuple[np.ndarray, float, float, int]]:
     """``rows`` (fit int, x array<double>, y double) -> {fit: (weights, intercept, sigma, steps)}.
 
-    All x of a fit have the same length. Fits that have converged leave the loop: later steps
-    read the rows of the others only. A fit whose scale falls to 1e-7 of its first one runs
+    All x of a fit have the same length. A fit whose scale falls to 1e-7 of its first one runs
     through its points; it ends there."""
-    rows = checkpointed(rows.select("fit", "x", "y").repartition("fit"))
-    state: dict[int, tuple | None] = {r["fit"]: None for r in rows.select("fit").distinct().collect()}
+    rows = rows.select("fit", "x", "y")
+    size = {r["fit"]: r["n"] for r in rows.groupBy("fit").agg(F.count("*").alias("n")).collect()}
+    small = sorted(f for f, n in size.items() if n <= TASK_ROWS)
+    large = sorted(size.keys() - set(small))
+    found = {}
+    if small:
+        def whole(t: pa.Table) -> pa.Table:
+            y = t.column("y").to_numpy()
+            x = t.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+            beta, sigma, steps = _fitted(x, y, epsilon, alpha, max_steps, tol)
+            return pa.table({"fit": pa.array([t.column("fit")[0].as_py()], pa.int32()),
+                             "beta": pa.array([beta], pa.list_(pa.float64())), "sigma": [float(sigma)],
+                             "steps": pa.array([steps], pa.int32())})
+
+        # as many parts as the shuffle has, or merging small ones would leave few tasks
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        mine = (rows if not large else rows.where(F.col("fit").isin(small))).repartition(parts, "fit")
+        for r in mine.groupBy("fit").applyInArrow(whole, "fit int, beta array<double>, sigma double, steps int").collect():
+            found[r["fit"]] = np.array(r["beta"][:-1]), float(r["beta"][-1]), r["sigma"], r["steps"]
+    if large:
+        found |= _in_steps(rows.where(F.col("fit").isin(large)), large, epsilon, alpha, max_steps, tol)
+    return found
+
+
+def _in_steps(rows: DataFrame, fits: list, epsilon: float, alpha: float, max_steps: int, tol: float) -> dict:
+    """The fits of groups that no task holds. Those that have converged leave the loop: later
+    steps read the rows of the others only."""
+    rows = checkpointed(rows.repartition("fit"))
+    state: dict[int, tuple | None] = {f: None for f in fits}
     first: dict[int, float] = {}
     steps, taken, open_fits = 0, {}, sorted(state)
     while open_fits and steps < max_steps:
@@ -102,8 +150,6 @@ def huber_groups(rows: DataFrame, epsilon: float = 1.35, alpha: float = 1e-4, ma
             if was is None:
                 first[f] = sigma
                 continue
-            still = (np.max(np.abs(beta - was[0])) <= tol * (1 + np.max(np.abs(beta)))
-                     and abs(sigma - was[1]) <= tol * was[1])
-            if still or sigma <= 1e-7 * first[f]:
+            if _ended(state[f], was, first[f], tol):
                 open_fits.remove(f)
     return {f: (s[0][:-1], float(s[0][-1]), float(s[1]), taken[f]) for f, s in state.items() if s is not None}
