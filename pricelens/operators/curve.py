@@ -36,7 +36,7 @@ LOCAL = "Local Standalone"
 HYBRID = "Hybrid (Residuals)"
 CALIBRATED = "Global Calibrated (POC)"
 
-WORKERS = 12               # cells at work side by side
+WORKERS = 4                # cells at work side by side, several tasks each (12 took 280 MB more of the driver)
 TASK_ROWS = 50_000         # rows of a cell whose trees grow inside tasks; larger ones take turns
 NODES_AT_ONCE = 1_000_000  # tree nodes that a fit may bring to the driver
 
